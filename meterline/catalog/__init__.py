@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = ["reports"]
+_MODULES = ["reports", "windowed", "models"]
 
 
 @dataclass(frozen=True)

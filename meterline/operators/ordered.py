@@ -5,7 +5,7 @@ while the largest key fits a task; it is checked first with a map-side count.
 Beyond ``task_rows`` the same answers come in two levels:
 
 1. ``numbered`` lays the rows out by range over (keys, order), so a large key
-   spreads over many partitions, stores that layout with ``checkpoint()`` and
+   spreads over many partitions, writes that layout to the shared folder and
    turns the place inside a partition into the place inside the key.
 2. Rows then fall into equal blocks of ``task_rows`` places. Frames of fixed
    width see a few rows of the next block (``framed``); running totals add the
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterline.operators.joins import bounded, null_safe_join
-from meterline.session import shared_folder
+from meterline.session import stored
 
 TASK_ROWS = 4_000_000
 _SLICE_BITS = 33  # monotonically_increasing_id keeps the row's place in the low 33 bits
@@ -33,9 +33,10 @@ def _order_columns(order: list[str | Column]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def largest_key(df: DataFrame, keys: list[str]) -> int:
-    """Rows of the largest key; one partial aggregation, one number returned."""
-    return df.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+def key_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
+    """Rows of the largest key and of all keys; a partial aggregation, two numbers returned."""
+    largest, total = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+    return largest or 0, total or 0
 
 
 def _window(keys: list[str], order: list[Column]) -> Window:
@@ -44,9 +45,8 @@ def _window(keys: list[str], order: list[Column]) -> Window:
 
 def _numbered_by_range(df: DataFrame, keys: list[str], order: list[Column], name: str,
                        rows: int, task_rows: int) -> DataFrame:
-    shared_folder(df.sparkSession)
     parts = max(2, math.ceil(rows / task_rows) * 2)
-    laid_out = (
+    laid_out = stored(
         # The partition id splits rows that agree in every ordering column.
         df.withColumn("_split", F.spark_partition_id())
         .repartitionByRange(parts, *[F.col(k) for k in keys], *order, F.col("_split"))
@@ -55,8 +55,8 @@ def _numbered_by_range(df: DataFrame, keys: list[str], order: list[Column], name
         .withColumn("_id", F.monotonically_increasing_id())
         .withColumn("_slice", F.shiftright("_id", _SLICE_BITS))
         .withColumn("_at", F.col("_id").bitwiseAND(F.lit((1 << _SLICE_BITS) - 1)))
-        .drop("_id")
-        .checkpoint()
+        .drop("_id"),
+        "ordered",
     )
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
@@ -76,9 +76,10 @@ def numbered(df: DataFrame, keys: list[str], order: list[str | Column], name: st
              task_rows: int = TASK_ROWS) -> DataFrame:
     """Row number within the keys. ``order`` should tell any two unlike rows apart."""
     cols = _order_columns(order)
-    if largest_key(df, keys) <= task_rows:
+    largest, total = key_sizes(df, keys)
+    if largest <= task_rows:
         return df.withColumn(name, F.row_number().over(_window(keys, cols)).cast("bigint"))
-    return _numbered_by_range(df, keys, cols, name, df.count(), task_rows)
+    return _numbered_by_range(df, keys, cols, name, total, task_rows)
 
 
 def _blocks(df: DataFrame, place: str, task_rows: int) -> DataFrame:
@@ -111,10 +112,11 @@ def framed(df: DataFrame, keys: list[str], order: list[str | Column],
            task_rows: int = TASK_ROWS) -> DataFrame:
     """Window columns that look at most ``before`` rows back and ``after`` rows ahead."""
     cols = _order_columns(order)
-    if largest_key(df, keys) <= task_rows:
+    largest, total = key_sizes(df, keys)
+    if largest <= task_rows:
         window = _window(keys, cols)
         return df.withColumns({name: make(window) for name, make in columns.items()})
-    placed = _numbered_by_range(df, keys, cols, "_place", df.count(), task_rows)
+    placed = _numbered_by_range(df, keys, cols, "_place", total, task_rows)
     return _framed_blocks(placed, keys, "_place", columns, before, after, task_rows).drop("_place")
 
 
@@ -147,10 +149,11 @@ def running(df: DataFrame, keys: list[str], order: list[str | Column],
             totals: dict[str, Column], task_rows: int = TASK_ROWS) -> DataFrame:
     """Running sums from the first row of the key to the current row."""
     cols = _order_columns(order)
-    if largest_key(df, keys) <= task_rows:
+    largest, total = key_sizes(df, keys)
+    if largest <= task_rows:
         window = _window(keys, cols).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({name: F.sum(value).over(window) for name, value in totals.items()})
-    placed = _numbered_by_range(df, keys, cols, "_place", df.count(), task_rows)
+    placed = _numbered_by_range(df, keys, cols, "_place", total, task_rows)
     sums = {name: ("sum", value) for name, value in totals.items()}
     return _running_blocks(placed, keys, "_place", sums, task_rows).drop("_place")
 
@@ -160,14 +163,15 @@ def ranked(df: DataFrame, keys: list[str], value: str, descending: bool, tie_bre
     """``row_number``, ``rank`` and ``dense_rank`` of a value within the keys."""
     by_value = F.col(value).desc() if descending else F.col(value).asc()
     full = [by_value, *_order_columns(tie_break)]
-    if largest_key(df, keys) <= task_rows:
+    largest, total = key_sizes(df, keys)
+    if largest <= task_rows:
         ties = _window(keys, [by_value])
         return df.withColumns({
             "row_number": F.row_number().over(_window(keys, full)).cast("bigint"),
             "rank": F.rank().over(ties).cast("bigint"),
             "dense_rank": F.dense_rank().over(ties).cast("bigint"),
         })
-    placed = _numbered_by_range(df, keys, full, "row_number", df.count(), task_rows)
+    placed = _numbered_by_range(df, keys, full, "row_number", total, task_rows)
     marked = _framed_blocks(
         placed, keys, "row_number",
         {"_starts": lambda w: (F.lag(F.lit(True)).over(w).isNull()

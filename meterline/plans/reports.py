@@ -59,9 +59,9 @@ def hourly_green_yellow(green: DataFrame, yellow: DataFrame) -> DataFrame:
 
 def revenue_with_zones(hourly: DataFrame, zones: DataFrame) -> DataFrame:
     """Zone names in place of zone ids; hours of unknown zones drop out."""
-    return lookup_join(hourly, zones, "zone", "LocationID",
+    return lookup_join(hourly.withColumnRenamed("zone", "_zone_id"), zones, "_zone_id", "LocationID",
                        {"Borough": "Borough", "Zone": "Zone", "service_zone": "service_zone"},
-                       how="inner").drop("zone")
+                       how="inner").drop("_zone_id")
 
 
 def zone_revenue_report(green: DataFrame, yellow: DataFrame, zones: DataFrame, start) -> DataFrame:
