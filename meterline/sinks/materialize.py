@@ -153,7 +153,7 @@ def materialize(df: DataFrame, target: str, strategy: str = "table", keys: list[
             return
         touched = _calendar(start, end) | _days(dated)
         before = _on_days(whole, touched)
-        _rewrite_days(dated, target, [d for d in touched if d in _days(before)], before.filter(outside))
+        _rewrite_days(dated, target, list(_days(before)), before.filter(outside))
         return
 
     if not keys:

@@ -39,6 +39,10 @@ def stream_upsert(df: DataFrame, target: str, keys: list[str], checkpoint: str,
     touches are rewritten.
     """
     def merge(batch: DataFrame, _batch_id: int) -> None:
-        materialize(batch, target, "merge", keys=keys, day_of=day_of)
+        batch.persist()  # the merge reads the batch several times
+        try:
+            materialize(batch, target, "merge", keys=keys, day_of=day_of)
+        finally:
+            batch.unpersist()
     return (df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
             .trigger(**_trigger(interval)).foreachBatch(merge).start())
