@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = ["reports", "windowed", "models", "streams", "checks"]
+_MODULES = ["reports", "windowed", "columns", "models", "files", "tables", "streams", "checks"]
 
 
 @dataclass(frozen=True)

@@ -24,27 +24,23 @@ def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", files:
 def write_months(df: DataFrame, path: str, ts: str, by: tuple[str, ...] = (), mode: str = "errorifexists") -> None:
     """Directories per (further columns,) year and month of a timestamp.
 
-    Rows are spread by day within the month, so that a full month is written by
-    many tasks and no task writes to many months.
+    The rebalance gathers each directory's rows into few files and lets AQE split
+    a directory that is too large for one task.
     """
     dated = df.withColumns({"year": F.year(ts), "month": F.month(ts)})
-    (dated.repartition(*by, "year", "month", F.dayofmonth(ts))
-     .write.mode(mode).partitionBy(*by, "year", "month").parquet(path))
+    keys = [*by, "year", "month"]
+    dated.hint("rebalance", *[F.col(k) for k in keys]).write.mode(mode).partitionBy(*keys).parquet(path)
 
 
 def write_partitioned(df: DataFrame, path: str, date_of: str, cluster_by: str, mode: str = "errorifexists",
-                      day_column: str = "day", spread: int = 1) -> None:
+                      day_column: str = "day") -> None:
     """Partition by the date of a timestamp and sort inside by a column.
 
     Sorting gives each row group a narrow value range, so filters on the
-    clustering column skip row groups. ``spread`` splits each day over that many
-    tasks, for days too large for one.
+    clustering column skip row groups. A day too large for one task is split.
     """
     dated = df.withColumn(day_column, F.to_date(date_of))
-    keys = [F.col(day_column)]
-    if spread > 1:
-        keys.append(F.pmod(F.hash(*df.columns), F.lit(spread)))
-    (dated.repartition(*keys).sortWithinPartitions(day_column, cluster_by)
+    (dated.hint("rebalance", F.col(day_column)).sortWithinPartitions(day_column, cluster_by)
      .write.mode(mode).partitionBy(day_column).parquet(path))
 
 
