@@ -23,6 +23,10 @@ def _cents(value):
     return F.floor(value * 100 + F.lit(0.5)).cast("double") / F.lit(100.0)
 
 
+def _plus_seconds(ts, seconds):
+    return F.timestamp_micros(F.unix_micros(ts) + seconds * 1_000_000)
+
+
 def trips(spark: SparkSession, folder: str) -> DataFrame:
     line = load_table(spark, folder, "lineitem")
     orders = load_table(spark, folder, "orders").select(
@@ -32,7 +36,7 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
     joined = (line.join(orders, line.l_orderkey == orders.o_orderkey)
               .join(customer, orders.o_custkey == customer.c_custkey)
               .join(supplier, line.l_suppkey == supplier.s_suppkey))
-    pickup = F.timestamp_add("SECOND", (F.col("o_orderkey") % 86400).cast("int"), F.col("o_orderdate"))
+    pickup = _plus_seconds(F.col("o_orderdate"), F.col("o_orderkey") % 86400)
     return (
         joined
         .select(
@@ -41,7 +45,7 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
             F.col("c_nationkey").alias("pickup_location_id"),
             F.col("s_nationkey").alias("dropoff_location_id"),
             pickup.alias("pickup_datetime"),
-            (F.col("l_quantity") * 60 + F.col("l_linenumber") * 7).cast("int").alias("_seconds"),
+            (F.col("l_quantity") * 60 + F.col("l_linenumber") * 7).cast("bigint").alias("_seconds"),
             F.col("l_linenumber").alias("passenger_count"),
             F.col("l_quantity").alias("trip_distance"),
             F.col("l_extendedprice").alias("fare_amount"),
@@ -61,7 +65,7 @@ def trips(spark: SparkSession, folder: str) -> DataFrame:
             F.col("l_partkey").alias("source_part"),
             F.col("l_suppkey").alias("source_supplier"),
         )
-        .withColumn("dropoff_datetime", F.timestamp_add("SECOND", F.col("_seconds"), F.col("pickup_datetime")))
+        .withColumn("dropoff_datetime", _plus_seconds(F.col("pickup_datetime"), F.col("_seconds")))
         .withColumn("total_amount", F.col("fare_amount") + F.col("tip_amount") + F.col("mta_tax"))
         .drop("_seconds")
     )

@@ -32,11 +32,12 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, key: str | Column, lookup_ke
     """Add lookup columns to a fact under new names (``{lookup column: new name}``).
 
     The same lookup can be joined again under another role. ``key`` may be an
-    expression; it is cast to the lookup key's type, so text ids meet numeric ones.
+    expression; it is cast to the lookup key's type, so text ids meet numeric ones and
+    text that is no id meets nothing.
     """
     side = lookup.select(F.col(lookup_key).alias("_key"), *[F.col(c).alias(n) for c, n in columns.items()])
     on = F.col(key) if isinstance(key, str) else key
-    on = on.cast(lookup.schema[lookup_key].dataType)
+    on = on.try_cast(lookup.schema[lookup_key].dataType)
     return fact.join(bounded(side, max_rows), on == F.col("_key"), how).drop("_key")
 
 
@@ -49,4 +50,4 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, field: str) -> Dat
     """Child rows whose non-null key is absent from the parent."""
     known = parent.select(F.col(field).alias("_field")).filter(F.col("_field").isNotNull()).distinct()
     return (child.filter(F.col(column).isNotNull())
-            .join(known, F.col(column) == F.col("_field"), "left_anti"))
+            .join(bounded(known), F.col(column) == F.col("_field"), "left_anti"))

@@ -193,8 +193,9 @@ def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float, name:
     """
     if not keys:
         raise ValueError("a percentile needs at least one key column")
-    counts = (df.filter(F.col(value).isNotNull()).groupBy(*keys, value)
-              .agg(F.count("*").alias("_n")))
+    # Stored, as the steps below read it several times and the input should be read once.
+    counts = stored(df.filter(F.col(value).isNotNull()).groupBy(*keys, value)
+                    .agg(F.count("*").alias("_n")), "counts")
     upto = running(counts, keys, [value], {"_upto": F.col("_n")}, task_rows)
     sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     spot = F.lit(p) * (F.col("_size") - 1)

@@ -9,6 +9,7 @@ from meterline.operators import ordered
 from meterline.operators.aggregates import top_k
 from meterline.operators.joins import bounded, null_safe_join
 from meterline.operators.ordered import TASK_ROWS
+from meterline.session import stored
 
 
 def top_amounts(df: DataFrame, value: str, tie_break: list[str], k: int, name: str = "ranking") -> DataFrame:
@@ -52,7 +53,7 @@ def moving_avg(df: DataFrame, keys: list[str], order: list[str], value: str, nam
 def percentile_in_group(df: DataFrame, keys: list[str], value: str, p: float, name: str,
                         task_rows: int = TASK_ROWS) -> DataFrame:
     """Every row with the exact percentile of its group."""
-    groups = ordered.exact_percentile(df, keys, value, p, name, task_rows)
+    groups = stored(ordered.exact_percentile(df, keys, value, p, name, task_rows), "percentiles")
     return null_safe_join(df, bounded(groups), keys, "left")
 
 

@@ -13,6 +13,7 @@ from meterline.operators.joins import lookup_join
 from meterline.operators.sets import concat_frames, union_trips
 from meterline.operators.windows import dedup
 from meterline.plans import reports
+from meterline.sinks.files import write_parquet
 from meterline.sources.files import read_parquet
 
 NUMERIC = "decimal(18,3)"  # fixed-point width of the embedded profile; pass a wider one if needed
@@ -177,7 +178,7 @@ def monthly_revenue_job(spark, green_path: str, yellow_path: str, output: str) -
     shared = P.common_columns(frames[0][0], frames[1][0])
     trips = union_trips(*[P.tag(raw.select(*shared), "service_type", name) for raw, name in frames])
     # Grouped rows only: months x zones x services, small enough for one file.
-    reports.monthly_zone_revenue(trips, zone="PULocationID").coalesce(1).write.mode("overwrite").parquet(output)
+    write_parquet(reports.monthly_zone_revenue(trips, zone="PULocationID"), output, mode="overwrite", files=1)
 
 
 def example_chain(first: DataFrame, second: DataFrame, column: str = "id", value=1) -> tuple[DataFrame, DataFrame]:

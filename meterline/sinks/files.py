@@ -13,10 +13,12 @@ from meterline.sources.files import path_exists, read_csv
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "errorifexists", files: int | None = None) -> None:
-    """Parquet write. ``files`` fixes the file count; one file merges without a shuffle."""
-    if files == 1:
-        df = df.coalesce(1)
-    elif files is not None:
+    """Parquet write. ``files`` fixes the file count.
+
+    The rows are shuffled to that many writers, so that what comes before keeps
+    its own parallelism even when one file is asked for.
+    """
+    if files is not None:
         df = df.repartition(files)
     df.write.mode(mode).parquet(path)
 
@@ -114,5 +116,6 @@ def convert_once(spark: SparkSession, source: str, target: str, schema: str | No
     """
     if path_exists(spark, f"{target.rstrip('/')}/_SUCCESS"):
         return False
-    read_csv(spark, source, schema).write.mode("overwrite").parquet(target)
+    # A gzip file is read by one task; the rebalance spreads its rows over the writers.
+    read_csv(spark, source, schema).hint("rebalance").write.mode("overwrite").parquet(target)
     return True

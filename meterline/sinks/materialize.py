@@ -161,8 +161,10 @@ def materialize(df: DataFrame, target: str, strategy: str = "table", keys: list[
     if not day_of:
         _write_version(_same_keys(stored, df, keys, "left_anti").unionByName(df), target)
         return
-    moved = _days(_same_keys(whole.select(DAY, *keys), df, keys, "left_semi"))
-    touched = moved | _days(dated)
+    touched = _days(dated)
+    # A key that holds the timestamp cannot have rows on other days.
+    moved = touched if day_of in keys else _days(_same_keys(whole.select(DAY, *keys), df, keys, "left_semi"))
+    touched = touched | moved
     _rewrite_days(dated, target, list(moved), _same_keys(_on_days(whole, touched), df, keys, "left_anti"))
 
 

@@ -31,26 +31,28 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: str | None = No
 def read_parquet(spark: SparkSession, *paths: str, by_name: bool = False) -> DataFrame:
     """Parquet from paths or globs.
 
-    ``by_name`` is for files whose columns differ: each path is read alone and
-    columns are matched by name. Where a column's type differs, all take the
-    widest type: numbers become double, anything else text.
+    ``by_name`` is for files whose columns differ. Paths with equal columns are
+    read together, and the groups are matched by name. Where a column's type
+    differs, all take the widest: integers bigint, numbers double, else text.
     """
     reader = prepare(spark).read
     if not by_name:
         return as_timestamps(reader.parquet(*paths))
-    frames = [as_timestamps(reader.parquet(p)) for p in paths]
+    groups: dict[tuple, list[str]] = {}
+    for path in paths:
+        fields = tuple((f.name, f.dataType.simpleString()) for f in reader.parquet(path).schema.fields)
+        groups.setdefault(fields, []).append(path)
+    frames = [as_timestamps(reader.parquet(*same)) for same in groups.values()]
     seen: dict[str, set] = {}
     for frame in frames:
         for field in frame.schema.fields:
             seen.setdefault(field.name, set()).add(field.dataType.simpleString())
-    numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
     whole = {"tinyint", "smallint", "int", "bigint"}
-    target: dict[str, str] = {}
-    for name, types in seen.items():
-        if len(types) > 1:
-            target[name] = "bigint" if types <= whole else "double" if types <= numeric else "string"
-    aligned = [f.withColumns({c: F.col(c).cast(t) for c, t in target.items() if c in f.columns}) for f in frames]
-    return concat_frames(*aligned)
+    numeric = whole | {"float", "double"}
+    target = {name: "bigint" if types <= whole else "double" if types <= numeric else "string"
+              for name, types in seen.items() if len(types) > 1}
+    return concat_frames(*[f.withColumns({c: F.col(c).cast(t) for c, t in target.items() if c in f.columns})
+                           if target else f for f in frames])
 
 
 def read_any(spark: SparkSession, path: str) -> DataFrame:
