@@ -79,6 +79,19 @@ def zero_tip_count(spark, folder):
     return trips(spark, folder).filter(F.col("tip_amount") == 0).agg(F.count("*").alias("n"))
 
 
+@query("A02 F05", over("SELECT count(*) AS n FROM trips WHERE fare_amount = 0"))
+def zero_fare_count(spark, folder):
+    return trips(spark, folder).filter(F.col("fare_amount") == 0).agg(F.count("*").alias("n"))
+
+
+@query("E01 P01 P07", over("""
+SELECT vendor_id AS "VendorID", pickup_datetime, pickup_location_id AS "PULocationID", total_amount,
+       lower(service_type) AS service_type FROM trips"""), name="union_trips")
+def union_trips_query(spark, folder):
+    return _both_services(spark, folder).select("VendorID", "pickup_datetime", "PULocationID", "total_amount",
+                                                "service_type")
+
+
 @query("A05", over("""
 SELECT coalesce(Zone, 'Unknown Zone') AS pickup_zone,
        date_trunc('month', pickup_datetime) AS revenue_month, service_type,
