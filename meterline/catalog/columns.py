@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from meterline import schemas
 from meterline.catalog import query
-from meterline.catalog.common import over
+from meterline.catalog.common import days_as_times, over
 from meterline.fixtures import TIE_BREAK, events, raw_service, trips
 from meterline.functions import scalars as X
 from meterline.functions.scoring import predict_duration
@@ -79,12 +79,13 @@ def concat_frames_query(spark, folder):
 
 
 @query("X01 X02 X03 X07", """
-SELECT event_id, date_trunc('month', ts) AS month, date_trunc('hour', ts) AS hour, CAST(ts AS DATE) AS day,
+SELECT event_id, date_trunc('month', ts) AS month, date_trunc('hour', ts) AS hour, date_trunc('day', ts) AS day,
        CAST(year(ts) AS INTEGER) AS year FROM events""")
 def time_parts(spark, folder):
-    return events(spark, folder).select("event_id", X.trunc_to("ts", "month").alias("month"),
-                                        X.trunc_to("ts", "hour").alias("hour"), X.day_of("ts").alias("day"),
-                                        X.year_of("ts").alias("year"))
+    out = events(spark, folder).select("event_id", X.trunc_to("ts", "month").alias("month"),
+                                       X.trunc_to("ts", "hour").alias("hour"), X.day_of("ts").alias("day"),
+                                       X.year_of("ts").alias("year"))
+    return days_as_times(out, "day")
 
 
 @query("X04 X05 X06", over(f"""

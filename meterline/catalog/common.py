@@ -17,6 +17,11 @@ def over(body: str, *ctes: str, trips: bool = True) -> str:
     return "WITH " + ",".join(parts) + "\n" + body
 
 
+def days_as_times(df: DataFrame, *columns: str) -> DataFrame:
+    """Dates as midnights: engines hand out dates in different client types, times in one."""
+    return df.withColumns({c: F.col(c).cast("timestamp") for c in columns})
+
+
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     """Round for comparison: float sums differ in their last bits by summing order."""
     return df.withColumns({c: F.round(F.col(c).cast("double"), digits) + F.lit(0.0) for c in columns})

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meterline.catalog import query
-from meterline.catalog.common import KNOWN_ZONES, over, rounded
+from meterline.catalog.common import KNOWN_ZONES, days_as_times, over, rounded
 from meterline.fixtures import for_hire, raw_service, trips, zones
 from meterline.lookups import PAYMENT_DESCRIPTIONS, PAYMENT_NAMES, VENDOR_NAMES, payment_descriptions, payment_names
 from meterline.operators import columns as P
@@ -207,13 +207,13 @@ def staging_trips(spark, folder):
 
 
 @query("C11 A27", over("""
-SELECT CAST(pickup_datetime AS DATE) AS trip_date, taxi_type, payment_type_name AS payment_type,
+SELECT date_trunc('day', pickup_datetime) AS trip_date, taxi_type, payment_type_name AS payment_type,
   count(*) AS trip_count, round(sum(fare_amount), 2) AS total_fare, round(avg(fare_amount), 8) AS avg_fare
 FROM staged GROUP BY 1, 2, 3""", _NAMES, _STAGED))
 def trips_report(spark, folder):
     staged = M.staging_trips(_pipeline_tables(spark, folder), _START, _END)
     out = M.trips_report({"staging_trips": staged}, _START, _END)
-    return rounded(rounded(out, 2, "total_fare"), 8, "avg_fare")
+    return days_as_times(rounded(rounded(out, 2, "total_fare"), 8, "avg_fare"), "trip_date")
 
 
 @query("P16 P06", over("""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meterline.catalog import query
-from meterline.catalog.common import KNOWN_ZONES, ZONES, over, rounded
+from meterline.catalog.common import KNOWN_ZONES, ZONES, days_as_times, over, rounded
 from meterline.fixtures import events, for_hire, raw_service, trips, zones
 from meterline.functions import scalars as X
 from meterline.operators import aggregates as A
@@ -183,10 +183,10 @@ def zone_revenue_report(spark, folder):
 
 
 @query("A07 O01 X03", over("""
-SELECT CAST(pickup_datetime AS DATE) AS pickup_day, max(trip_distance) AS max_trip_distance
+SELECT date_trunc('day', pickup_datetime) AS pickup_day, max(trip_distance) AS max_trip_distance
 FROM trips WHERE trip_distance < 50 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1"""))
 def longest_trip_per_day(spark, folder):
-    return R.longest_trip_per_day(trips(spark, folder), 50, 1)
+    return days_as_times(R.longest_trip_per_day(trips(spark, folder), 50, 1), "pickup_day")
 
 
 @query("J01 F03 O01", over("""
@@ -232,20 +232,21 @@ def top_zone_pairs(spark, folder):
 
 
 _DURATION_SQL = """
-SELECT CAST(pickup_datetime AS DATE) AS pickup_date,
+SELECT date_trunc('day', pickup_datetime) AS pickup_date,
        max(epoch(dropoff_datetime) - epoch(pickup_datetime)) AS seconds FROM trips GROUP BY 1"""
 
 
 @query("A08 X04 O01", over(f"""
 SELECT pickup_date, CAST(seconds AS BIGINT) AS duration FROM ({_DURATION_SQL}) ORDER BY 2 DESC, 1 LIMIT 5"""))
 def max_duration_per_day(spark, folder):
-    return R.max_duration_per_day(trips(spark, folder), 5)
+    return days_as_times(R.max_duration_per_day(trips(spark, folder), 5), "pickup_date")
 
 
 @query("A09 X19 O03", over(f"""
 SELECT pickup_date, round(seconds / 60.0, 6) AS duration FROM ({_DURATION_SQL}) ORDER BY 2 DESC, 1 LIMIT 10"""))
 def max_duration_minutes_per_day(spark, folder):
-    return rounded(R.max_duration_per_day(trips(spark, folder), 10, per=60), 6, "duration")
+    out = R.max_duration_per_day(trips(spark, folder), 10, per=60)
+    return days_as_times(rounded(out, 6, "duration"), "pickup_date")
 
 
 @query("A10 X04", over(f"SELECT round(max(seconds) / 3600.0, 6) AS max_hours FROM ({_DURATION_SQL})"))
@@ -348,10 +349,11 @@ def trips_by_payment(spark, folder):
 
 
 @query("A22 X03", over("""
-SELECT CAST(trip_pickup_date_time AS DATE) AS pickup_date, count(*) AS trip_count FROM api GROUP BY 1""", _API_SQL))
+SELECT date_trunc('day', trip_pickup_date_time) AS pickup_date, count(*) AS trip_count FROM api GROUP BY 1""", _API_SQL))
 def trips_per_day(spark, folder):
-    return A.count_by(_api_trips(spark, folder), X.day_of("trip_pickup_date_time").alias("pickup_date"),
-                      name="trip_count").orderBy("pickup_date")
+    out = A.count_by(_api_trips(spark, folder), X.day_of("trip_pickup_date_time").alias("pickup_date"),
+                     name="trip_count").orderBy("pickup_date")
+    return days_as_times(out, "pickup_date")
 
 
 @query("A23", over("SELECT payment_type, round(sum(tip_amt), 2) AS tips FROM api GROUP BY 1", _API_SQL))
