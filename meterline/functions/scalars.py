@@ -1,4 +1,4 @@
-"""Scalar expressions with the reference semantics of each spelled out."""
+"""Scalar expressions; each says what exactly it counts or accepts."""
 
 from __future__ import annotations
 

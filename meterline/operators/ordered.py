@@ -103,7 +103,9 @@ def _framed_blocks(df: DataFrame, keys: list[str], place: str,
         .withColumn("_home", F.explode(homes))
         .withColumns({name: make(window) for name, make in columns.items()})
         .filter(F.col("_home") == F.col("_block"))
-        .drop("_home", "_block")
+        # The rows are clustered and sorted by _home; under this name a running
+        # total over the same blocks finds them in place and shuffles nothing.
+        .drop("_block").withColumnRenamed("_home", "_block")
     )
 
 
@@ -117,13 +119,13 @@ def framed(df: DataFrame, keys: list[str], order: list[str | Column],
         window = _window(keys, cols)
         return df.withColumns({name: make(window) for name, make in columns.items()})
     placed = _numbered_by_range(df, keys, cols, "_place", total, task_rows)
-    return _framed_blocks(placed, keys, "_place", columns, before, after, task_rows).drop("_place")
+    return _framed_blocks(placed, keys, "_place", columns, before, after, task_rows).drop("_place", "_block")
 
 
 def _running_blocks(df: DataFrame, keys: list[str], place: str, totals: dict[str, tuple[str, Column]],
                     task_rows: int) -> DataFrame:
     fold = {"sum": F.sum, "max": F.max}
-    blocked = _blocks(df, place, task_rows)
+    blocked = df if "_block" in df.columns else _blocks(df, place, task_rows)
     inner = _window([*keys, "_block"], [F.col(place)]).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     carried = (

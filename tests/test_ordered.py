@@ -111,3 +111,10 @@ def test_nth_largest_with_ties(spark):
     assert W.nth_largest(df, "v", 2).collect() == []
     assert [tuple(r) for r in W.nth_largest(df, "v", 3).select("id", "v", "rank").collect()] == [(3, 7.0, 3)]
     assert sorted(r.id for r in W.nth_largest(df, "v", 1).collect()) == [1, 2]
+
+
+def test_ranks_shuffle_the_rows_once_after_numbering(hot):
+    out = W.all_ranks(hot, ["k"], "v", ["id"], 37)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    rows_side = plan.split("BroadcastExchange")[0]
+    assert rows_side.count("Exchange hashpartitioning") == 1

@@ -108,7 +108,7 @@ def test_rdd_form_gives_the_same_hourly_revenue(spark):
 def test_scoring_with_another_model(spark):
     df = spark.createDataFrame([(1, 2.0), (2, 4.0)], "id int, trip_distance double")
     assert sorted(map(tuple, predict_duration(df).collect())) == [(1, 2.0, 10.0), (2, 4.0, 20.0)]
-    custom = predict_duration(df, lambda b: b["id"] + 0.5, "minutes")
+    custom = predict_duration(df, lambda b: b["id"] + 0.5, ("id",), "minutes")
     assert sorted(r.minutes for r in custom.collect()) == [1.5, 2.5]
 
 
@@ -139,3 +139,21 @@ def test_green_fee_column_is_used_when_the_raw_table_has_it(spark):
     assert [float(r.ehail_fee) for r in staged.collect()] == [2.5, 2.5]
     assert M.stg_green_tripdata({"green_tripdata": raw}, target="dev").count() == 1
     assert M.stg_green_tripdata({"green_tripdata": raw.drop("ehail_fee")}).first().ehail_fee is None
+
+
+def test_monthly_revenue_job_by_arguments(spark, tmp_path):
+    from meterline.jobs.monthly_revenue import main
+    amounts = ("fare_amount double, extra double, mta_tax double, tip_amount double, tolls_amount double, "
+               "improvement_surcharge double, total_amount double, congestion_surcharge double, "
+               "passenger_count int, trip_distance double, PULocationID int")
+    for prefix, name in (("lpep", "green"), ("tpep", "yellow")):
+        spark.createDataFrame([(at("2020-01-05 10:00:00"), at("2020-01-05 10:09:00"), *[1.5] * 8, 2, 3.0, 7)] * 2,
+                              f"{prefix}_pickup_datetime timestamp, {prefix}_dropoff_datetime timestamp, {amounts}"
+                              ).write.parquet(str(tmp_path / name))
+    for _ in range(2):
+        main(["--input_green", str(tmp_path / "green"), "--input_yellow", str(tmp_path / "yellow"),
+              "--output", str(tmp_path / "out")])
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted((r.service_type, r.revenue_zone, r.revenue_monthly_total_amount, r.avg_monthly_trip_distance)
+                  for r in out.collect()) == [("green", 7, 3.0, 3.0), ("yellow", 7, 3.0, 3.0)]
+    assert len(list((tmp_path / "out").glob("part-*.parquet"))) == 1
