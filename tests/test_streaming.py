@@ -1,4 +1,6 @@
 import json
+import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,12 +19,15 @@ class Feed:
     """A folder of JSON lines that grows file by file."""
 
     def __init__(self, spark, folder):
-        self.spark, self.folder, self.files = spark, folder, 0
+        self.spark, self.folder, self.files, self.start = spark, folder, 0, time.time() - 1000
         folder.mkdir()
 
     def add(self, *events):
         lines = [e if isinstance(e, str) else json.dumps(dict(zip(("zone", "amount", "pickup"), e))) for e in events]
-        (self.folder / f"{self.files:03d}.txt").write_text("\n".join(lines) + "\n")
+        path = self.folder / f"{self.files:03d}.txt"
+        path.write_text("\n".join(lines) + "\n")
+        # The source takes files by their time; two written in one instant have no order.
+        os.utime(path, (self.start + self.files * 2,) * 2)
         self.files += 1
 
     def stream(self, on_error="skip"):
