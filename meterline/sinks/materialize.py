@@ -85,12 +85,15 @@ def _days(frame: DataFrame) -> set:
     return {r[0] for r in frame.select(DAY).distinct().collect()}
 
 
-def _rewrite_days(df: DataFrame, path: str, touched: list, kept: DataFrame | None) -> None:
-    """Write the new content of the touched days; days left without rows disappear."""
+def _rewrite_days(df: DataFrame, path: str, kept: DataFrame, emptied: set) -> None:
+    """Write the new content of the touched days.
+
+    ``emptied`` are the days that lose rows and get no new ones; those without
+    any row left disappear.
+    """
     spark = df.sparkSession
-    content = df if kept is None else kept.unionByName(df)
-    gone = set(touched) - _days(content) if kept is not None else set()
-    (content.hint("rebalance", F.col(DAY)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    gone = emptied - _days(_on_days(kept, emptied)) if emptied else set()
+    (kept.unionByName(df).hint("rebalance", F.col(DAY)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(DAY).parquet(path))
     for day in gone:
         _remove(spark, f"{path}/{DAY}={day if day is not None else '__HIVE_DEFAULT_PARTITION__'}")
@@ -151,9 +154,9 @@ def materialize(df: DataFrame, target: str, strategy: str = "table", keys: list[
         if not day_of:
             _write_version(stored.filter(outside).unionByName(df), target)
             return
-        touched = _calendar(start, end) | _days(dated)
-        before = _on_days(whole, touched)
-        _rewrite_days(dated, target, list(_days(before)), before.filter(outside))
+        new_days = _days(dated)
+        before = _on_days(whole, _calendar(start, end) | new_days)
+        _rewrite_days(dated, target, before.filter(outside), _days(before) - new_days)
         return
 
     if not keys:
@@ -161,11 +164,11 @@ def materialize(df: DataFrame, target: str, strategy: str = "table", keys: list[
     if not day_of:
         _write_version(_same_keys(stored, df, keys, "left_anti").unionByName(df), target)
         return
-    touched = _days(dated)
+    new_days = _days(dated)
     # A key that holds the timestamp cannot have rows on other days.
-    moved = touched if day_of in keys else _days(_same_keys(whole.select(DAY, *keys), df, keys, "left_semi"))
-    touched = touched | moved
-    _rewrite_days(dated, target, list(moved), _same_keys(_on_days(whole, touched), df, keys, "left_anti"))
+    old_days = set() if day_of in keys else _days(_same_keys(whole.select(DAY, *keys), df, keys, "left_semi"))
+    kept = _same_keys(_on_days(whole, new_days | old_days), df, keys, "left_anti")
+    _rewrite_days(dated, target, kept, old_days - new_days)
 
 
 def high_water(spark: SparkSession, target: str, time_column: str, lookback: str | None = None):
