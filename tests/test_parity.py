@@ -28,6 +28,8 @@ def test_query(spark, con, name):
     q = REGISTRY[name]
     df = q.fn(spark, FOLDER)
     mine = rows(df.columns, df.collect())
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
     if q.sql is None:
         assert mine[0]
         return
