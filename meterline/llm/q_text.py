@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from meterline.llm import packing
+from meterline.llm import packing, quality
 from meterline.llm.queries import query
 from meterline.llm.storage import table
 
@@ -15,3 +15,12 @@ RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")  # the vocabulary of byt
 @query("op2_best_fit_packing")
 def op2(spark, folder):
     return packing.pack(table(spark, folder, "documents"), RANKS, length=1024, end_id=2)
+
+
+@query("op4_quality_classifier")
+def op4(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.fitted(docs, table(spark, folder, "labels"))
+    scored = quality.score(docs, model).drop("text")
+    return scored.select("doc_id", quality.held_out("doc_id", 5).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
