@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from meterline.llm import packing, quality
+from meterline.llm import near, packing, quality
 from meterline.llm.queries import query
 from meterline.llm.storage import table
 
@@ -24,3 +24,8 @@ def op4(spark, folder):
     scored = quality.score(docs, model).drop("text")
     return scored.select("doc_id", quality.held_out("doc_id", 5).alias("held_out"), "score",
                          (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op7_minhash_near_dedup")
+def op7(spark, folder):
+    return near.near_duplicates(table(spark, folder, "documents"), percent=75, words=5)
