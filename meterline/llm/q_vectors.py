@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from meterline.llm import topk
+from meterline.llm import grid_join, topk
 from meterline.llm.queries import query
 from meterline.llm.storage import table
 
@@ -26,3 +26,8 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
 @query("op3_exact_top_k", TOP_K_SQL)
 def op3(spark, folder):
     return topk.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20, factor=64)
+
+
+@query("op9_embedding_near_dedup")
+def op9(spark, folder):
+    return grid_join.near_vectors(table(spark, folder, "embeddings"), least=0.95)
