@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from meterline.llm import near, packing, quality
+from meterline.llm import mixing, near, packing, quality
 from meterline.llm.queries import query
 from meterline.llm.storage import table
 
@@ -29,3 +29,8 @@ def op4(spark, folder):
 @query("op7_minhash_near_dedup")
 def op7(spark, folder):
     return near.near_duplicates(table(spark, folder, "documents"), percent=75, words=5)
+
+
+@query("op6_pfair_mixing", mixing.MIX_SQL.format(block=64))
+def op6(spark, folder):
+    return mixing.interleave(table(spark, folder, "documents").select("doc_id", "source"), block=64)
