@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from meterline.llm import mixing, near, packing, quality
+from meterline.llm import licences, mixing, near, packing, quality
 from meterline.llm.queries import query
 from meterline.llm.storage import table
 
@@ -34,3 +34,8 @@ def op7(spark, folder):
 @query("op6_pfair_mixing", mixing.MIX_SQL.format(block=64))
 def op6(spark, folder):
     return mixing.interleave(table(spark, folder, "documents").select("doc_id", "source"), block=64)
+
+
+@query("op1_license_scan", licences.scan_sql())
+def op1(spark, folder):
+    return licences.scan(table(spark, folder, "documents"), licences.known_digests(spark))
