@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from meterline.llm import licences, mixing, near, packing, quality
+from meterline.llm import backoff_lm, licences, mixing, near, packing, quality
 from meterline.llm.queries import query
 from meterline.llm.storage import table
 
@@ -39,3 +39,11 @@ def op6(spark, folder):
 @query("op1_license_scan", licences.scan_sql())
 def op1(spark, folder):
     return licences.scan(table(spark, folder, "documents"), licences.known_digests(spark))
+
+
+@query("op8_lm_scoring")
+def op8(spark, folder):
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    scored = backoff_lm.score(docs, ~quality.held_out("doc_id", 10))
+    return scored.select("doc_id", quality.held_out("doc_id", 10).alias("held_out"), "n_tokens", "n_known",
+                         "train_tokens", "base_score", "score")
