@@ -4,13 +4,16 @@ A text is the set of its distinct word shingles. Its sketch has a register per b
 the bucket it keeps the number of leading zeros and a few mantissa bits after them, 16 bits in all. Bands of
 registers are hashed to keys; texts that share a key are candidates. Every link is confirmed on full sets.
 
-Texts with equal sets are one class from the start, so copies never meet each other. Between classes:
+Texts with equal sets are one class from the start, so copies never meet each other. Among the classes that
+share a key, a collision-corrected estimate from the registers decides which pairs could be similar enough, and
+full sets decide:
 
-1. each class is held against the class it shares most keys with among the smallest of each key,
-2. then against the smallest of each key where both are still in different components,
-3. then, for keys whose classes are still in several components, classes of different components are held
-   against each other in blocks of bounded size: registers give a collision-corrected estimate, and only pairs
-   whose estimate could belong to a similarity at the threshold go on to full sets.
+1. each class is held against the class it shares most keys with among the smallest of each key;
+2. classes with the same closest class form a family, dealt to blocks of bounded size. Where the classes of a
+   key are still in several components, their registers are compared, in pieces of bounded size for a large
+   key, and give the pairs of blocks that hold a pair which could be similar enough. Only these blocks
+   meet with full sets. Members of one component are not compared, and a task returns no more links than it
+   has members, however many pairs are similar.
 
 Null and empty texts have no set and link with nothing. Repeated rows of one id are copies of each other's
 text only if the text is the same; an id's component is the smallest its rows reach. Extra columns are not
@@ -34,7 +37,7 @@ REGISTERS = 128
 BAND = 4  # registers of a key: 32 keys, which miss a pair at similarity 0.75 with probability 1e-5
 MANTISSA = 10
 MARGIN = 6.0  # standard deviations an estimate may lie below the threshold
-BLOCK = 256  # classes of a key in one block
+BLOCK = 256  # classes of a key, or of a family, in one block
 PAIRS = 100_000  # estimates computed at once
 
 SKETCH = "doc_id long, n long, digest_a long, digest_b long, registers binary, keys array<long>"
@@ -129,36 +132,137 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The groups of rows that come sorted by the keys, one after the other."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([batch.column(batch.schema.get_field_index(k)).to_numpy() for k in keys])
+        cuts = [0, *(np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1).tolist(), batch.num_rows]
+        for begin, end in zip(cuts, cuts[1:]):
+            if held and last != values[:, begin].tolist():
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(begin, end - begin))
+            last = values[:, begin].tolist()
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def _hopeful(rows: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray, level: float) -> np.ndarray:
+    """Which pairs of rows may reach the similarity, by the sizes of their sets and their registers."""
+    n = rows["n"]
+    fit = (rows["component"][x] != rows["component"][y]) & (np.minimum(n[x], n[y]) >= level * np.maximum(n[x], n[y]))
+    for begin in range(0, len(x), PAIRS):
+        some = begin + np.flatnonzero(fit[begin:begin + PAIRS])
+        value, used = estimate(rows["registers"][x[some]], rows["registers"][y[some]], n[x[some]], n[y[some]])
+        fit[some] = value + MARGIN * np.sqrt(level * (1 - level) / used) >= level
+    return fit
+
+
+def _shared(value: np.ndarray, row: np.ndarray, left: np.ndarray, rows: int) -> np.ndarray:
+    """How many set elements each left row shares with each other row (rows x rows)."""
+    order = np.argsort(value, kind="stable")
+    value, row = value[order], row[order]
+    begin = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+    count = np.diff(np.append(begin, len(value)))
+    span = np.repeat(count, count)
+    start = np.repeat(begin, count)
+    mine = np.flatnonzero(left[row] & (span > 1))
+    total = np.zeros(rows * rows, np.int64)
+    ends = np.cumsum(span[mine])
+    done = 0
+    while done < len(mine):
+        stop = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + 20 * PAIRS, "right")))
+        width = span[mine[done:stop]]
+        other = np.arange(width.sum()) - np.repeat(np.cumsum(width) - width, width) + np.repeat(start[mine[done:stop]], width)
+        total += np.bincount(np.repeat(row[mine[done:stop]], width) * rows + row[other], minlength=rows * rows)
+        done = stop
+    return total.reshape(rows, rows)
+
+
+def _linked(percent: int):
+    """Links between components found in one pair of blocks, just enough of them to join what belongs together."""
+    level = percent / 100
+
+    def links(table: pa.Table) -> list[tuple[int, int]]:
+        table = table.combine_chunks()
+        rows = {c: table.column(c).to_numpy() for c in ("id", "n", "component", "side")}
+        rows["registers"] = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        left, right = np.flatnonzero(rows["side"] == 0), np.flatnonzero(rows["side"] == 1)
+        if not len(right):  # a block met with itself
+            x, y = np.triu_indices(len(left), 1)
+        else:
+            x, y = np.repeat(left, len(right)), np.tile(right, len(left))
+        hope = _hopeful(rows, x, y, level)
+        x, y = x[hope], y[hope]
+        if not len(x):
+            return []
+        used, place = np.unique(np.concatenate([x, y]), return_inverse=True)
+        sets = table.column("shingles").combine_chunks().take(pa.array(used))
+        lengths = np.diff(sets.offsets.to_numpy())
+        first = np.zeros(len(used), bool)
+        first[place[:len(x)]] = True
+        both = _shared(sets.flatten().to_numpy(), np.repeat(np.arange(len(used)), lengths), first, len(used))
+        p, q = place[:len(x)], place[len(x):]
+        same = both[p, q]
+        found = 100 * same >= percent * (lengths[p] + lengths[q] - same)
+        parent: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while parent.setdefault(c, c) != c:
+                parent[c] = parent[parent[c]]
+                c = parent[c]
+            return c
+        component, ids = rows["component"], rows["id"]
+        out = []
+        pairs = np.unique(np.stack([component[x[found]], component[y[found]]]), axis=1, return_index=True)[1]
+        for k in np.flatnonzero(found)[pairs]:
+            a, b = top(int(component[x[k]])), top(int(component[y[k]]))
+            if a != b:
+                parent[a] = b
+                out.append((int(min(ids[x[k]], ids[y[k]])), int(max(ids[x[k]], ids[y[k]]))))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, ["i", "j"]):
+            out = links(table)
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out)], names=["a", "b"])
+    return run
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Whole groups of rows that come sorted by the keys, many small groups at a time."""
     held: list[pa.RecordBatch] = []
+    last = None
     for batch in batches:
         if not batch.num_rows:
             continue
         values = np.stack([batch.column(batch.schema.get_field_index(k)).to_numpy() for k in keys])
-        changes = np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1
-        first = [batch.column(batch.schema.get_field_index(k))[0] for k in keys]
-        if held and [held[-1].column(held[-1].schema.get_field_index(k))[-1] for k in keys] != first:
+        if held and last != values[:, 0].tolist():
             yield pa.Table.from_batches(held)
             held = []
+        changes = np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1
         cut = int(changes[-1]) if len(changes) else 0
         if cut:
             yield pa.Table.from_batches([*held, batch.slice(0, cut)])
             held = []
         held.append(batch.slice(cut))
+        last = values[:, -1].tolist()
     if held:
         yield pa.Table.from_batches(held)
 
 
-def _promising(percent: int):
-    """Pairs within a key and block pair, in different components, whose estimate leaves the threshold possible."""
-    level = percent / 100
-
+def _promising_blocks(percent: int):
+    """Pairs of blocks with a pair of classes that share a key and may be similar, of different components."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in _groups(batches, ["key", "i", "j"]):
-            rows = rows.combine_chunks()
-            key, i, j, n, component, ids, left = (rows.column(c).to_numpy() for c in
-                                                  ("key", "i", "j", "n", "component", "id", "left"))
-            sketch = np.frombuffer(b"".join(rows.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        for table in _runs(batches, ["key", "i", "j"]):
+            table = table.combine_chunks()
+            key, i, j, block, left = (table.column(c).to_numpy() for c in ("key", "i", "j", "block", "left"))
+            rows = {c: table.column(c).to_numpy() for c in ("n", "component")}
+            rows["registers"] = np.frombuffer(b"".join(table.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
             begins = np.append(np.flatnonzero(new), len(key))
@@ -169,25 +273,31 @@ def _promising(percent: int):
             done = 0
             while done < len(lefts):
                 stop = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + PAIRS, "right")))
-                some = lefts[done:stop]
-                width = span[done:stop]
+                some, width = lefts[done:stop], span[done:stop]
                 x = np.repeat(some, width)
                 y = np.arange(len(x)) - np.repeat(np.cumsum(width) - width, width) + np.repeat(begins[group[some]], width)
-                fit = (~left[y] & (component[x] != component[y])
-                       & (np.minimum(n[x], n[y]) >= level * np.maximum(n[x], n[y])))
-                x, y = x[fit], y[fit]
-                low, high = np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])
-                order = np.lexsort((high, low))
-                once = np.ones(len(order), bool)
-                once[1:] = (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])
-                x, y, low, high = (v[order][once] for v in (x, y, low, high))
-                value, used = estimate(sketch[x], sketch[y], n[x], n[y])
-                hope = value + MARGIN * np.sqrt(level * (1 - level) / used) >= level
-                yield pa.RecordBatch.from_arrays([pa.array(low[hope]), pa.array(high[hope])], names=["a", "b"])
+                other = ~left[y]
+                x, y = x[other], y[other]
+                hope = _hopeful(rows, x, y, percent / 100)
+                p, q = np.minimum(block[x[hope]], block[y[hope]]), np.maximum(block[x[hope]], block[y[hope]])
+                found = np.unique(np.stack([p, q]), axis=1) if len(p) else np.zeros((2, 0), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["i", "j"])
                 done = stop
     return run
 
 
+def _promising(percent: int):
+    """Pairs (a, b) whose registers leave the similarity possible."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n, m = (batch.column(k).to_numpy() for k in range(4))
+            x, y = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint16).reshape(-1, REGISTERS) for k in (4, 5))
+            rows = {"n": np.concatenate([n, m]), "registers": np.concatenate([x, y]), "component": np.concatenate([a, b])}
+            keep = pa.array(_hopeful(rows, np.arange(len(a)), len(a) + np.arange(len(a)), percent / 100))
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], names=["a", "b"])
+    return run
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
     drawn = stored(sketches(docs, words), "sketches")
@@ -205,42 +315,56 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
     sets = stored(full_sets(docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("id"), "left_semi"), words)
                   .dropDuplicates(["id"]), "sets")
     closest = first.groupBy("id").agg(F.max_by("hub", F.struct("times", -F.col("hub"))).alias("hub"))
-    links = stored(confirmed(closest.select(F.col("hub").alias("a"), F.col("id").alias("b")), sets, percent), "links-1")
+    known = classes.select("id", "n", "registers")
+    pairs = (closest.join(known, "id").select(F.col("hub").alias("a"), F.col("id").alias("b"), F.col("n").alias("m"), F.col("registers").alias("y"))
+             .join(known.withColumnRenamed("id", "a"), "a").select("a", "b", "n", "m", F.col("registers").alias("x"), "y")
+             .mapInArrow(_promising(percent), "a long, b long"))
+    links = stored(confirmed(pairs, sets, percent), "links-1")
 
     def labelled(frame: DataFrame, column: str, label: str, found: DataFrame) -> DataFrame:
         named = found.select(F.col("id").alias(column), F.col("component").alias(label))
         return frame.join(named, column, "left").withColumn(label, F.coalesce(label, column))
 
-    found = stored(components(links), "components-1")
-    apart = labelled(labelled(first.select("hub", "id"), "hub", "c", found), "id", "d", found).where("c <> d")
-    links = links.unionByName(confirmed(apart.select(F.col("hub").alias("a"), F.col("id").alias("b")), sets, percent))
-    links = stored(links, "links-2")
-    found = stored(components(links), "components-2")
-
-    members = stored(labelled(shared.select("key", "id"), "id", "component", found), "members")
-    mixed = (members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                        F.count("*").alias("size")).where("low < high"))
-    settled = F.col("component") == F.col("low")  # the part of a key that need not meet itself
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    rows = stored(members.join(mixed, "key").join(classes.select("id", "n", "registers"), "id")
-                  .select("key", "id", "component", "n", "registers", settled.alias("settled"), blocks.alias("blocks"),
-                          F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block")), "mixed")
-    every = F.sequence(F.lit(0), F.col("blocks") - 1)
-    carried = ["key", "id", "component", "n", "registers"]
-    loose = rows.where(~F.col("settled")).select(*carried, F.col("block").alias("i"), F.explode(every).alias("j"), F.lit(True).alias("left"))
-    others = rows.select(*carried, F.explode(every).alias("i"), F.col("block").alias("j"), F.lit(False).alias("left"))
-    meet = loose.unionByName(others)
+    found = components(links)
+    family = F.coalesce("hub", "id")
+    members = labelled(shared.select("id").distinct().join(closest, "id", "left")
+                       .select("id", family.alias("family")), "id", "component", found)
+    members = stored(members.join(known, "id"), "members")
+    mains = (members.groupBy("family", "component").agg(F.count("*").alias("size"))
+             .groupBy("family").agg(F.max_by("component", F.struct("size", -F.col("component"))).alias("main"), F.sum("size").alias("size")))
+    dealt = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / BLOCK))
+    members = stored(members.join(mains, "family").select(
+        "id", "component", "n", "registers", F.xxhash64("family", F.col("component") == F.col("main"), dealt).alias("block")), "blocks")
+
+    keys = shared.select("key", "id").join(members.select("id", "component"), "id")
+    mixed = (keys.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
+                                     F.count("*").alias("size")).where("low < high"))
+    pieces = F.ceil(F.col("size") / BLOCK).cast("int")
+    rows = stored(keys.join(mixed, "key").select(
+        "key", "id", (F.col("component") == F.col("low")).alias("settled"), pieces.alias("pieces"),
+        F.pmod(F.xxhash64("id"), pieces).cast("int").alias("piece")), "mixed-keys")
+    every = F.sequence(F.lit(0), F.col("pieces") - 1)
+    loose = rows.where(~F.col("settled")).select("key", "id", F.col("piece").alias("i"), F.explode(every).alias("j"), F.lit(True).alias("left"))
+    others = rows.select("key", "id", F.explode(every).alias("i"), F.col("piece").alias("j"), F.lit(False).alias("left"))
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = (meet.repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-             .mapInArrow(_promising(percent), "a long, b long").distinct())
-    known = confirmed(pairs, sets, percent)
-    links = stored(links.unionByName(known), "links-3")
-    found = stored(components(links), "components-3")
+    met = (loose.unionByName(others).join(members, "id").select("key", "i", "j", "left", "component", "n", "registers", "block")
+           .repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j")
+           .mapInArrow(_promising_blocks(percent), "i long, j long").distinct())
+    met = stored(met, "block-pairs")
+    touched = met.select(F.explode(F.array("i", "j")).alias("block")).distinct()
+    assigned = stored(members.join(touched, "block").join(sets, "id"), "assigned")
+    carried = ["id", "component", "n", "registers", "shingles"]
+    sides = [met.where("i <> j" if side else "true").join(assigned.withColumnRenamed("block", c), c)
+             .select("i", "j", F.lit(side).alias("side"), *carried) for side, c in ((0, "i"), (1, "j"))]
+    more = (sides[0].unionByName(sides[1]).repartition(tasks, "i", "j").sortWithinPartitions("i", "j")
+            .mapInArrow(_linked(percent), "a long, b long"))
+    links = stored(links.unionByName(more), "links-2")
+    for frame in (shared, first, sets, members, rows, assigned, met, classes):
+        forget(frame)
+    found = components(links)
 
     rooted = labelled(heads, "id", "component", found).select(*same, "component")
     out = drawn.select("doc_id", *same).join(rooted, same, "left")
-    for frame in (shared, first, sets, members, rows, classes):
-        forget(frame)
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       (F.col("doc_id") == component).alias("kept"))
