@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from meterline.llm import backoff_lm, licences, mixing, near, packing, quality
+from meterline.llm import backoff_lm, licences, mixing, near, packing, quality, repeats
 from meterline.llm.queries import query
 from meterline.llm.storage import table
 
@@ -47,3 +47,9 @@ def op8(spark, folder):
     scored = backoff_lm.score(docs, ~quality.held_out("doc_id", 10))
     return scored.select("doc_id", quality.held_out("doc_id", 10).alias("held_out"), "n_tokens", "n_known",
                          "train_tokens", "base_score", "score")
+
+
+@query("op5_suffix_array_dedup")
+def op5(spark, folder):
+    cut = repeats.cut_texts(table(spark, folder, "documents").select("doc_id", "text"), length=200)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
