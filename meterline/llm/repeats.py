@@ -243,9 +243,11 @@ def _window_digests(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[
     """Two independent 64-bit digests of each window."""
     out = []
     for base in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F):
-        up = np.cumprod(np.concatenate([[1], np.full(len(data), base, np.uint64)]).astype(np.uint64))
-        down = np.cumprod(np.concatenate([[1], np.full(len(data), pow(base, -1, 1 << 64), np.uint64)]).astype(np.uint64))
-        sums = np.concatenate([[0], np.cumsum((data.astype(np.uint64) + U(1)) * up[:-1])]).astype(np.uint64)
+        up, down = np.full(len(data) + 1, base, np.uint64), np.full(len(data) + 1, pow(base, -1, 1 << 64), np.uint64)
+        up[0] = down[0] = 1
+        up, down = np.cumprod(up), np.cumprod(down)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((data.astype(np.uint64) + U(1)) * up[:-1], out=sums[1:])
         out.append(mix((sums[starts + length] - sums[starts]) * down[starts]))
     return out[0], out[1]
 
