@@ -3,7 +3,7 @@
 Every byte covered by a string of ``length`` bytes (a window) that also starts elsewhere goes. Equal windows
 have the same smallest hash of their 16-byte grams, so windows are dealt by that hash: a maximal run of windows
 of one text with the same smallest hash is a stretch, and all windows equal to one of its own lie in stretches
-of the same hash. A hash that occurs once has nothing to find. Stretches of equal bytes are one content; a content
+of the same hash. A hash that occurs once, in a stretch with one gram of that hash, has nothing to find. Stretches of equal bytes are one content; a content
 that occurs twice is repeated as a whole. Where a hash has several contents, they are dealt to shards of bounded
 size, whole hashes together, and each shard sorts its suffixes by Larsson-Sadakane refinement: ranks of 8 bytes
 are doubled to 128, sorting only groups that are not settled, and two ranks of 128 bytes give the order and the
@@ -37,7 +37,7 @@ SHARD = 2 << 20  # bytes of one suffix array
 SPLIT = 8 << 20  # bytes of one hash's contents above which they are spread over shards
 
 _BASE = 0x9E3779B97F4A7C15
-_STRETCH = "doc_id long, text_hash long, start int, windows int, hash long, digest long"
+_STRETCH = "doc_id long, text_hash long, start int, windows int, hash long, digest long, twice boolean"
 
 
 def _gram_hashes(data: np.ndarray) -> np.ndarray:
@@ -58,11 +58,13 @@ def _smallest(h: np.ndarray, width: int) -> np.ndarray:
 
 
 def stretches(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Begin, number of windows, row and hash of the stretches of some texts on end."""
+    """Begin, number of windows, row, hash, and whether the hash's gram comes twice, of the stretches of some texts."""
     none = np.zeros(0, np.int64)
     if len(data) < length:
-        return none, none, none, np.zeros(0, np.uint64)
-    least = _smallest(_gram_hashes(data)[:len(data) - GRAM + 1], length - GRAM + 1)
+        return none, none, none, np.zeros(0, np.uint64), np.zeros(0, bool)
+    width = length - GRAM + 1
+    grams = _gram_hashes(data)[:len(data) - GRAM + 1]
+    least = _smallest(grams, width)
     inside = np.zeros(len(least) + 1, bool)
     new = np.ones(len(least), bool)
     new[1:] = least[1:] != least[:-1]
@@ -81,7 +83,17 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.nd
         step = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
         begin, end = np.repeat(begin, pieces) + step * LONGEST, np.repeat(end, pieces)
         end = np.minimum(end, begin + LONGEST)
-    return begin, end - begin, np.searchsorted(offsets, begin, "right") - 1, least[begin]
+    # a gram is the smallest of some window if its hash is the largest of those windows' smallest hashes
+    around = np.zeros(len(least) + 2 * (width - 1), np.uint64)
+    around[width - 1:len(around) - width + 1] = np.where(inside[:-1], least, U(0))
+    chosen = np.flatnonzero(~_smallest(~around, width) == grams)
+    low = np.searchsorted(chosen, begin)
+    count = np.searchsorted(chosen, end - 1 + width) - low
+    stretch = np.repeat(np.arange(len(begin)), count)
+    place = np.arange(len(stretch)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)
+    same = grams[chosen[place]] == least[begin][stretch]
+    twice = np.bincount(stretch[same], minlength=len(begin)) > 1
+    return begin, end - begin, np.searchsorted(offsets, begin, "right") - 1, least[begin], twice
 
 
 def _portions(data: np.ndarray, offsets: np.ndarray, length: int):
@@ -102,13 +114,13 @@ def _stretches(length: int):
             data, offsets = text_bytes(batch.column(2))
             doc, text = batch.column(0), batch.column(1).to_numpy()
             for row, shift, part, places in _portions(data, offsets, length):
-                begin, windows, rows, least = stretches(part, places, length)
+                begin, windows, rows, least, twice = stretches(part, places, length)
                 raw = part.tobytes()
                 digest = np.array([xxhash.xxh3_64_intdigest(raw[b:b + n + length - 1]) for b, n in zip(begin.tolist(), windows.tolist())], np.uint64)
                 yield pa.RecordBatch.from_arrays(
                     [doc.take(pa.array(rows + row)), pa.array(text[rows + row]), pa.array((begin - places[rows] + shift).astype(np.int32)),
-                     pa.array(windows.astype(np.int32)), pa.array(least.view(np.int64)), pa.array(digest.view(np.int64))],
-                    names=["doc_id", "text_hash", "start", "windows", "hash", "digest"])
+                     pa.array(windows.astype(np.int32)), pa.array(least.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(twice)],
+                    names=["doc_id", "text_hash", "start", "windows", "hash", "digest", "twice"])
     return run
 
 
@@ -273,9 +285,10 @@ def repeated_ranges(docs: DataFrame, length: int = 200, split: int = SPLIT) -> D
     spark = docs.sparkSession
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     every = stored(keyed.mapInArrow(_stretches(length), _STRETCH), "stretches")
-    often = (every.groupBy("hash").agg(F.count("*").alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"))
-             .where("n > 1").select("hash", (F.col("low") < F.col("high")).alias("several")))
-    shared = stored(every.join(often, "hash"), "shared-stretches")
+    often = (every.groupBy("hash").agg(F.count("*").alias("n"), F.min("digest").alias("low"), F.max("digest").alias("high"),
+                                       F.bool_or("twice").alias("twice"))
+             .where("n > 1 or twice").select("hash", (F.col("twice") | (F.col("low") < F.col("high"))).alias("several")))
+    shared = stored(every.drop("twice").join(often, "hash"), "shared-stretches")
     forget(every)
     contents = shared.where("several").groupBy("hash", "digest").agg(
         F.least(F.count("*"), F.lit(2)).cast("int").alias("n"), F.min(F.struct("doc_id", "text_hash", "start", "windows")).alias("at"))
