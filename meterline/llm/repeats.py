@@ -352,3 +352,17 @@ def cut_texts(docs: DataFrame, length: int = 200, split: int = SPLIT) -> DataFra
                 [*batch.columns[:len(names)], pa.array(kept, pa.binary()), *(pa.array(c, pa.int64()) for c in (sizes, removed, spans))],
                 names=[*names, *(f.name for f in added)])
     return joined.select(*(docs[c] for c in names), "ranges").mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
+
+
+def without_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
+    """The documents with what is left of their texts; a character that lost some of its bytes goes with them."""
+    cut = cut_texts(docs, length)
+    names, place = docs.columns, docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = list(batch.columns[:len(names)])
+            columns[place] = pa.array([v.as_py().decode(errors="ignore") if t.is_valid else None
+                                       for t, v in zip(columns[place], batch.column(len(names)))], pa.string())
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+    return cut.mapInArrow(run, docs.schema)
