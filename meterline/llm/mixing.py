@@ -61,36 +61,36 @@ def schedule(parts: DataFrame) -> DataFrame:
                     F.col("p").alias("period"), F.col("x.nth").alias("nth"), F.col("x.slot").alias("slot")))
 
 
-def interleave(docs: DataFrame, block: int = 64, weight: Column | None = None) -> DataFrame:
-    """The documents with block, slot and place: reading by (slot, place) gives the mix.
+def interleave(docs: DataFrame, block: int = 64, weight: Column | None = None,
+               added: tuple[str, str, str] = ("block", "slot", "place")) -> DataFrame:
+    """The documents with their block, its slot, and their place in the block: reading by slot and place gives the mix.
 
     ``weight`` is an expression of ``key`` (the source after an "s", or "n" for null) and ``n``, its number of
-    documents; by default the square root of n, which lifts small sources.
+    documents; by default the square root of n, which lifts small sources. ``added`` names the new columns; an
+    input column of such a name is replaced.
     """
-    key = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source")))
-    digest = F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit(""))
-    added = ["mix_key", "mix_digest", "mix_bucket"]
-    keyed = docs.withColumns({"mix_key": key, "mix_digest": digest})
-    counts = keyed.groupBy(F.col("mix_key").alias("key")).agg(F.count("*").alias("n"))
-    total = docs.count()
-    buckets = min(BUCKETS, max(1, -(-total // BUCKET_ROWS)))
-    head = F.coalesce(F.conv(F.substring("mix_digest", 1, 8), 16, 10).cast("long"), F.lit(0))
-    keyed = keyed.withColumn("mix_bucket", F.shiftright(head * buckets, 32).cast("int"))
-    before = (keyed.groupBy("mix_key", "mix_bucket").agg(F.count("*").alias("rows"))
-              .withColumn("before", F.sum("rows").over(Window.partitionBy("mix_key").orderBy("mix_bucket")) - F.col("rows"))
+    rows = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns if c not in added)).alias("row"), "doc_id",
+        F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source"))).alias("key"),
+        F.coalesce(F.md5(F.col("doc_id").cast("string")), F.lit("")).alias("digest"))
+    counts = rows.groupBy("key").agg(F.count("*").alias("n"))
+    buckets = min(BUCKETS, max(1, -(-docs.count() // BUCKET_ROWS)))
+    head = F.coalesce(F.conv(F.substring("digest", 1, 8), 16, 10).cast("long"), F.lit(0))
+    rows = rows.withColumn("bucket", F.shiftright(head * buckets, 32).cast("int"))
+    before = (rows.groupBy("key", "bucket").agg(F.count("*").alias("rows"))
+              .withColumn("before", F.sum("rows").over(Window.partitionBy("key").orderBy("bucket")) - F.col("rows"))
               .drop("rows"))
-    inside = Window.partitionBy("mix_key", "mix_bucket").orderBy("mix_digest", "doc_id")
-    ranked = keyed.withColumn("mix_rank", F.row_number().over(inside)).join(before, ["mix_key", "mix_bucket"])
-    rank = F.col("before") + F.col("mix_rank") - 1
+    inside = Window.partitionBy("key", "bucket").orderBy("digest", "doc_id")
+    ranked = rows.withColumn("turn", F.row_number().over(inside)).join(before, ["key", "bucket"])
+    rank = F.col("before") + F.col("turn") - 1
     plan = schedule(shares(counts, F.sqrt("n") if weight is None else weight))
-    share = plan.select("key", "share").distinct().withColumnRenamed("key", "mix_key")
     # both tables have at most a period's rows
     placed = (ranked.withColumn("block", F.floor(rank / block)).withColumn("place", (rank % block).cast("int"))
-              .join(F.broadcast(share), "mix_key").withColumn("nth", (F.col("block") % F.col("share")).cast("int"))
-              .join(F.broadcast(plan.select(F.col("key").alias("mix_key"), "nth", "period", F.col("slot").alias("at"))),
-                    ["mix_key", "nth"]))
+              .join(F.broadcast(plan.select("key", "share").distinct()), "key")
+              .withColumn("nth", (F.col("block") % F.col("share")).cast("int"))
+              .join(F.broadcast(plan.select("key", "nth", "period", F.col("slot").alias("at"))), ["key", "nth"]))
     slot = F.floor(F.col("block") / F.col("share")) * F.col("period") + F.col("at")
-    return placed.select(*(F.col(c) for c in docs.columns if c not in added), "block", slot.alias("slot"), "place")
+    return placed.select("row.*", F.col("block").alias(added[0]), slot.alias(added[1]), F.col("place").alias(added[2]))
 
 
 MIX_SQL = f"""

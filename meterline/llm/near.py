@@ -37,7 +37,8 @@ REGISTERS = 128
 BAND = 4  # registers of a key: 32 keys, which miss a pair at similarity 0.75 with probability 1e-5
 MANTISSA = 10
 MARGIN = 6.0  # standard deviations an estimate may lie below the threshold
-BLOCK = 256  # classes of a key, or of a family, in one block
+BLOCK = 256  # classes of a family in one block
+PIECE = 1024  # classes of a key compared in one piece
 PAIRS = 100_000  # estimates computed at once
 
 SKETCH = "doc_id long, n long, digest_a long, digest_b long, registers binary, keys array<long>"
@@ -339,7 +340,7 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
     keys = shared.select("key", "id").join(members.select("id", "component"), "id")
     mixed = (keys.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
                                      F.count("*").alias("size")).where("low < high"))
-    pieces = F.ceil(F.col("size") / BLOCK).cast("int")
+    pieces = F.ceil(F.col("size") / PIECE).cast("int")
     rows = stored(keys.join(mixed, "key").select(
         "key", "id", (F.col("component") == F.col("low")).alias("settled"), pieces.alias("pieces"),
         F.pmod(F.xxhash64("id"), pieces).cast("int").alias("piece")), "mixed-keys")

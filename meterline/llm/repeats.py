@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterline.llm.storage import forget, stored
+from meterline.llm.storage import forget, free, stored
 from meterline.llm.textbytes import U, chunks, mix, text_bytes
 
 GRAM = 16
@@ -329,12 +329,20 @@ def merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(b, e) for b, e in out]
 
 
-def cut_texts(docs: DataFrame, length: int = 200, split: int = SPLIT) -> DataFrame:
-    """The documents with kept_bytes (what is left), n_bytes, n_removed and n_spans; ``text`` is the whole text."""
-    ranges = repeated_ranges(docs, length, split).select(F.col("doc_id").alias("range_id"), F.col("text_hash").alias("range_hash"), "ranges")
+CUT = ("kept_bytes", "n_bytes", "n_removed", "n_spans")
+
+
+def cut_texts(docs: DataFrame, length: int = 200, split: int = SPLIT, added: tuple[str, ...] = CUT) -> DataFrame:
+    """The documents with the bytes that are left, the size, the bytes and the maximal runs removed.
+
+    ``added`` names the new columns; an input column of such a name is replaced.
+    """
+    docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in added))
     names = docs.columns
-    joined = docs.join(ranges, F.col("doc_id").eqNullSafe(F.col("range_id")) & (F.xxhash64("text") == F.col("range_hash")), "left")
-    added = [T.StructField("kept_bytes", T.BinaryType()), *(T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans"))]
+    id_, hash_, found_ = (free(c, names) for c in ("range_id", "range_hash", "ranges"))
+    ranges = repeated_ranges(docs, length, split).select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("ranges").alias(found_))
+    joined = docs.join(ranges, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(hash_)), "left")
+    fields = [T.StructField(c, T.BinaryType() if k == 0 else T.LongType()) for k, c in enumerate(added)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -350,13 +358,13 @@ def cut_texts(docs: DataFrame, length: int = 200, split: int = SPLIT) -> DataFra
                 spans.append(len(runs))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(names)], pa.array(kept, pa.binary()), *(pa.array(c, pa.int64()) for c in (sizes, removed, spans))],
-                names=[*names, *(f.name for f in added)])
-    return joined.select(*(docs[c] for c in names), "ranges").mapInArrow(run, T.StructType([*docs.schema.fields, *added]))
+                names=[*names, *added])
+    return joined.select(*(F.col(f"`{c}`") for c in names), found_).mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))
 
 
 def without_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
     """The documents with what is left of their texts; a character that lost some of its bytes goes with them."""
-    cut = cut_texts(docs, length)
+    cut = cut_texts(docs, length, added=tuple(free(c, docs.columns) for c in CUT))
     names, place = docs.columns, docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

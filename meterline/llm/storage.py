@@ -42,3 +42,10 @@ def forget(df: DataFrame) -> None:
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the given tables, whole."""
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+def free(name: str, taken: list[str]) -> str:
+    """The name, lengthened until no column has it."""
+    while name.lower() in {t.lower() for t in taken}:
+        name += "_"
+    return name
