@@ -8,7 +8,6 @@ from meterline.catalog import query
 from meterline.catalog.common import over, rounded
 from meterline.fixtures import TIE_BREAK, trips
 from meterline.operators import windows as W
-from meterline.operators.ordered import TASK_ROWS
 from meterline.plans import reports as R
 
 _TIES = ", ".join(TIE_BREAK)
@@ -64,8 +63,7 @@ FROM trips WINDOW w AS (ORDER BY pickup_datetime, {_TIES})"""))
 def prev_next_overall(spark, folder):
     """No key at all: the whole table is one group, cut into blocks by place."""
     rows = _amounts(spark, folder, "pickup_datetime").drop("pickup_location_id")
-    return W.prev_next(rows, [], ["pickup_datetime", *TIE_BREAK], "total_amount", offset=2,
-                       task_rows=min(TASK_ROWS, max(1000, rows.count() // 16)))
+    return W.prev_next(rows, [], ["pickup_datetime", *TIE_BREAK], "total_amount", offset=2)
 
 
 @query("W05", over(f"""

@@ -71,5 +71,5 @@ def finite_or_null(c: str | Column) -> Column:
 
 
 def lenient_double(c: str | Column) -> Column:
-    """A number that may come as text. Missing stays null: NaN would count as large."""
-    return _col(c).cast("string").try_cast("double")
+    """A number that may come as text. Missing and NaN are null: NaN would count as large."""
+    return finite_or_null(_col(c).cast("string").try_cast("double"))

@@ -49,9 +49,9 @@ def share_of_total(counts: DataFrame, count: str, name: str = "share") -> DataFr
 
 
 def count_over_threshold(df: DataFrame, column: str, threshold: float) -> DataFrame:
-    """All rows and the rows above a threshold, in one pass; missing is not above."""
+    """All rows and the rows above a threshold, in one pass; missing and NaN are not above."""
     return df.agg(F.count("*").alias("total_rows"),
-                  F.count_if(F.col(column) > F.lit(threshold)).alias("rows_over"))
+                  F.count_if((F.col(column) > F.lit(threshold)) & ~F.isnan(F.col(column).cast("double"))).alias("rows_over"))
 
 
 def span(df: DataFrame, column: str) -> DataFrame:

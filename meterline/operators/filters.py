@@ -15,6 +15,9 @@ def _moment(value: str | date | datetime) -> Column:
 
 
 def _day(value: str | date) -> date:
+    """The day itself; a time of day is cut off."""
+    if isinstance(value, datetime):
+        return value.date()
     return date.fromisoformat(value) if isinstance(value, str) else value
 
 

@@ -1,4 +1,4 @@
-"""Joins of a fact to lookups. No side is broadcast without a size check."""
+"""Joins of a fact to lookups. Spark decides from byte sizes, at run time, which side to broadcast."""
 
 from __future__ import annotations
 
@@ -7,18 +7,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
-
-
-def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a side for broadcast when it has at most ``max_rows`` rows.
-
-    The count stops at the bound. A larger side is returned as it is; the join
-    then shuffles and AQE splits its skewed partitions.
-    """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join in which null keys match each other; keeps the left keys once."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
@@ -27,8 +15,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str
 
 
 def lookup_join(fact: DataFrame, lookup: DataFrame, key: str | Column, lookup_key: str,
-                columns: dict[str, str], how: str = "left",
-                max_rows: int = BROADCAST_ROWS) -> DataFrame:
+                columns: dict[str, str], how: str = "left") -> DataFrame:
     """Add lookup columns to a fact under new names (``{lookup column: new name}``).
 
     The same lookup can be joined again under another role. ``key`` may be an
@@ -38,7 +25,7 @@ def lookup_join(fact: DataFrame, lookup: DataFrame, key: str | Column, lookup_ke
     side = lookup.select(F.col(lookup_key).alias("_key"), *[F.col(c).alias(n) for c, n in columns.items()])
     on = F.col(key) if isinstance(key, str) else key
     on = on.try_cast(lookup.schema[lookup_key].dataType)
-    return fact.join(bounded(side, max_rows), on == F.col("_key"), how).drop("_key")
+    return fact.join(side, on == F.col("_key"), how).drop("_key")
 
 
 def outer_on_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
@@ -50,4 +37,4 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, field: str) -> Dat
     """Child rows whose non-null key is absent from the parent."""
     known = parent.select(F.col(field).alias("_field")).filter(F.col("_field").isNotNull()).distinct()
     return (child.filter(F.col(column).isNotNull())
-            .join(bounded(known), F.col(column) == F.col("_field"), "left_anti"))
+            .join(known, F.col(column) == F.col("_field"), "left_anti"))

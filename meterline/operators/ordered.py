@@ -1,31 +1,29 @@
 """Ordered computations per key that also hold when one key owns most rows.
 
-A plain window sends all rows of a key to one task. That is right, and quickest,
-while the largest key fits a task; it is checked first with a map-side count.
-Beyond ``task_rows`` the same answers come in two levels:
+A plain window sends all rows of a key to one task. Here the answers come in two
+levels, the same way for every size:
 
 1. ``numbered`` lays the rows out by range over (keys, order), so a large key
    spreads over many partitions, writes that layout to the shared folder and
    turns the place inside a partition into the place inside the key.
-2. Rows then fall into equal blocks of ``task_rows`` places. Frames of fixed
-   width see a few rows of the next block (``framed``); running totals add the
-   sum of all earlier blocks (``running``).
+2. Rows then fall into equal blocks of ``task_rows`` places, or of the frame's
+   width if that is more. Frames see the rows they need of the next block
+   (``framed``); running totals add the sum of all earlier blocks (``running``).
 
 Neither level puts an unbounded group into one task, and no row is dropped.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterline.operators.joins import bounded, null_safe_join
+from meterline.operators.joins import null_safe_join
 from meterline.session import stored
 
-TASK_ROWS = 4_000_000
+TASK_ROWS = 1_000_000
 _SLICE_BITS = 33  # monotonically_increasing_id keeps the row's place in the low 33 bits
 
 
@@ -33,23 +31,15 @@ def _order_columns(order: list[str | Column]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def key_sizes(df: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """Rows of the largest key and of all keys; a partial aggregation, two numbers returned."""
-    largest, total = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
-    return largest or 0, total or 0
-
-
 def _window(keys: list[str], order: list[Column]) -> Window:
     return Window.partitionBy(*keys).orderBy(*order)
 
 
-def _numbered_by_range(df: DataFrame, keys: list[str], order: list[Column], name: str,
-                       rows: int, task_rows: int) -> DataFrame:
-    parts = max(2, math.ceil(rows / task_rows) * 2)
+def _numbered_by_range(df: DataFrame, keys: list[str], order: list[Column], name: str) -> DataFrame:
     laid_out = stored(
         # The partition id splits rows that agree in every ordering column.
         df.withColumn("_split", F.spark_partition_id())
-        .repartitionByRange(parts, *[F.col(k) for k in keys], *order, F.col("_split"))
+        .repartitionByRange(*[F.col(k) for k in keys], *order, F.col("_split"))
         .sortWithinPartitions(*[F.col(k) for k in keys], *order)
         .drop("_split")
         .withColumn("_id", F.monotonically_increasing_id())
@@ -59,14 +49,16 @@ def _numbered_by_range(df: DataFrame, keys: list[str], order: list[Column], name
         "ordered",
     )
     earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
+    # The layout's index, a row per slice and key in it. As a table its size in bytes is known to the planner.
+    starts = stored(
         laid_out.groupBy("_slice", *keys)
         .agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
         .select("_slice", *keys,
-                (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift"))
+                (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift")),
+        "ordered-index",
     )
     return (
-        null_safe_join(laid_out, bounded(starts), ["_slice", *keys])
+        null_safe_join(laid_out, starts, ["_slice", *keys])
         .withColumn(name, F.col("_at") + F.col("_shift"))
         .drop("_slice", "_at", "_shift")
     )
@@ -75,11 +67,7 @@ def _numbered_by_range(df: DataFrame, keys: list[str], order: list[Column], name
 def numbered(df: DataFrame, keys: list[str], order: list[str | Column], name: str = "row_number",
              task_rows: int = TASK_ROWS) -> DataFrame:
     """Row number within the keys. ``order`` should tell any two unlike rows apart."""
-    cols = _order_columns(order)
-    largest, total = key_sizes(df, keys)
-    if largest <= task_rows:
-        return df.withColumn(name, F.row_number().over(_window(keys, cols)).cast("bigint"))
-    return _numbered_by_range(df, keys, cols, name, total, task_rows)
+    return _numbered_by_range(df, keys, _order_columns(order), name)
 
 
 def _blocks(df: DataFrame, place: str, task_rows: int) -> DataFrame:
@@ -89,8 +77,7 @@ def _blocks(df: DataFrame, place: str, task_rows: int) -> DataFrame:
 def _framed_blocks(df: DataFrame, keys: list[str], place: str,
                    columns: dict[str, Callable[[Window], Column]],
                    before: int, after: int, task_rows: int) -> DataFrame:
-    if max(before, after) > task_rows:
-        raise ValueError("a frame may not be wider than a block")
+    task_rows = max(task_rows, before, after)
     inside = (F.col(place) - 1) % F.lit(task_rows)
     homes = F.array_compact(F.array(
         F.col("_block"),
@@ -113,12 +100,7 @@ def framed(df: DataFrame, keys: list[str], order: list[str | Column],
            columns: dict[str, Callable[[Window], Column]], before: int, after: int,
            task_rows: int = TASK_ROWS) -> DataFrame:
     """Window columns that look at most ``before`` rows back and ``after`` rows ahead."""
-    cols = _order_columns(order)
-    largest, total = key_sizes(df, keys)
-    if largest <= task_rows:
-        window = _window(keys, cols)
-        return df.withColumns({name: make(window) for name, make in columns.items()})
-    placed = _numbered_by_range(df, keys, cols, "_place", total, task_rows)
+    placed = _numbered_by_range(df, keys, _order_columns(order), "_place")
     return _framed_blocks(placed, keys, "_place", columns, before, after, task_rows).drop("_place", "_block")
 
 
@@ -135,7 +117,7 @@ def _running_blocks(df: DataFrame, keys: list[str], place: str, totals: dict[str
                                    for name, (how, _) in totals.items()])
     )
     inside = blocked.withColumns({name: fold[how](value).over(inner) for name, (how, value) in totals.items()})
-    joined = null_safe_join(inside, bounded(carried), [*keys, "_block"])
+    joined = null_safe_join(inside, carried, [*keys, "_block"])
 
     def finish(name: str, how: str) -> Column:
         here, carry = F.col(name), F.col(f"_carry_{name}")
@@ -150,12 +132,7 @@ def _running_blocks(df: DataFrame, keys: list[str], place: str, totals: dict[str
 def running(df: DataFrame, keys: list[str], order: list[str | Column],
             totals: dict[str, Column], task_rows: int = TASK_ROWS) -> DataFrame:
     """Running sums from the first row of the key to the current row."""
-    cols = _order_columns(order)
-    largest, total = key_sizes(df, keys)
-    if largest <= task_rows:
-        window = _window(keys, cols).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({name: F.sum(value).over(window) for name, value in totals.items()})
-    placed = _numbered_by_range(df, keys, cols, "_place", total, task_rows)
+    placed = _numbered_by_range(df, keys, _order_columns(order), "_place")
     sums = {name: ("sum", value) for name, value in totals.items()}
     return _running_blocks(placed, keys, "_place", sums, task_rows).drop("_place")
 
@@ -165,15 +142,7 @@ def ranked(df: DataFrame, keys: list[str], value: str, descending: bool, tie_bre
     """``row_number``, ``rank`` and ``dense_rank`` of a value within the keys."""
     by_value = F.col(value).desc() if descending else F.col(value).asc()
     full = [by_value, *_order_columns(tie_break)]
-    largest, total = key_sizes(df, keys)
-    if largest <= task_rows:
-        ties = _window(keys, [by_value])
-        return df.withColumns({
-            "row_number": F.row_number().over(_window(keys, full)).cast("bigint"),
-            "rank": F.rank().over(ties).cast("bigint"),
-            "dense_rank": F.dense_rank().over(ties).cast("bigint"),
-        })
-    placed = _numbered_by_range(df, keys, full, "row_number", total, task_rows)
+    placed = _numbered_by_range(df, keys, full, "row_number")
     marked = _framed_blocks(
         placed, keys, "row_number",
         {"_starts": lambda w: (F.lag(F.lit(True)).over(w).isNull()
@@ -195,16 +164,15 @@ def exact_percentile(df: DataFrame, keys: list[str], value: str, p: float, name:
     """
     if not keys:
         raise ValueError("a percentile needs at least one key column")
-    # Stored, as the steps below read it several times and the input should be read once.
-    counts = stored(df.filter(F.col(value).isNotNull()).groupBy(*keys, value)
-                    .agg(F.count("*").alias("_n")), "counts")
-    upto = running(counts, keys, [value], {"_upto": F.col("_n")}, task_rows)
-    sizes = counts.groupBy(*keys).agg(F.sum("_n").alias("_size"))
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    placed = _numbered_by_range(counts, keys, [F.col(value)], "_place")  # the one step that is stored
+    upto = _running_blocks(placed, keys, "_place", {"_upto": ("sum", F.col("_n"))}, task_rows).drop("_place")
+    sizes = placed.groupBy(*keys).agg(F.sum("_n").alias("_size"))
     spot = F.lit(p) * (F.col("_size") - 1)
     holds = lambda place: (F.col("_upto") - F.col("_n") <= place) & (place < F.col("_upto"))
     low, high = F.floor(spot), F.ceil(spot)
     return (
-        null_safe_join(upto, bounded(sizes), keys)
+        null_safe_join(upto, sizes, keys)
         .filter(holds(low) | holds(high))
         .groupBy(*keys)
         .agg(F.max(F.when(holds(low), F.col(value))).alias("_low"),

@@ -79,11 +79,11 @@ def relationships(column: str, parent: DataFrame, parent_field: str) -> TableChe
 
 
 def query_equals(spark: SparkSession, sql: str, value) -> TableCheck:
-    """A query's single value must equal ``value``."""
+    """A query's single value must equal ``value``; a query without a row fails."""
     def failing(_df):
         result = spark.sql(sql)
         same = F.col(result.columns[0]).eqNullSafe(F.lit(value))
-        return result.agg(F.count_if(~same).alias("n"))
+        return result.agg((F.count_if(~same) + F.when(F.count("*") == 0, 1).otherwise(0)).alias("n"))
     return TableCheck(f"query_equals({sql.split()[0].lower()} ... = {value!r})", failing)
 
 
@@ -121,10 +121,12 @@ def strict_json(df: DataFrame, column: str, schema: str) -> DataFrame:
     return df.agg(F.count("*").alias("records"), F.count_if(parsed["_broken"].isNotNull()).alias("invalid"))
 
 
-def freshness(df: DataFrame, ts: str, as_of, max_age: str) -> RowCheck:
-    """Newest row must not be older than ``max_age`` before ``as_of``."""
-    newest = df.agg(F.max(ts)).scalar()
-    return RowCheck(f"freshness({ts})", newest < F.lit(as_of).cast("timestamp") - F.expr(f"interval {max_age}"))
+def freshness(df: DataFrame, ts: str, as_of, max_age: str) -> TableCheck:
+    """Newest row must not be older than ``max_age`` before ``as_of``; all rows fail, and a table without rows."""
+    oldest = F.lit(as_of).cast("timestamp") - F.expr(f"interval {max_age}")
+    rows = F.count("*")
+    return TableCheck(f"freshness({ts})", lambda table: table.agg(
+        F.when(rows == 0, 1).when(F.coalesce(F.max(ts) < oldest, F.lit(True)), rows).otherwise(0).alias("n")))
 
 
 @dataclass
@@ -156,6 +158,8 @@ def check_counts(df: DataFrame, checks: list) -> DataFrame:
         if isinstance(c, TableCheck):
             counted = c.failing(df)
             frames.append(counted.select(F.lit(c.name).alias("check"), F.col(counted.columns[0]).alias("failing")))
+    if not frames:
+        return df.sparkSession.createDataFrame([], "check string, failing bigint")
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 

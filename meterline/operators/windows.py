@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from meterline.operators import ordered
 from meterline.operators.aggregates import top_k
-from meterline.operators.joins import bounded, null_safe_join
+from meterline.operators.joins import null_safe_join
 from meterline.operators.ordered import TASK_ROWS
 from meterline.session import stored
 
@@ -53,8 +53,8 @@ def moving_avg(df: DataFrame, keys: list[str], order: list[str], value: str, nam
 def percentile_in_group(df: DataFrame, keys: list[str], value: str, p: float, name: str,
                         task_rows: int = TASK_ROWS) -> DataFrame:
     """Every row with the exact percentile of its group."""
-    groups = stored(ordered.exact_percentile(df, keys, value, p, name, task_rows), "percentiles")
-    return null_safe_join(df, bounded(groups), keys, "left")
+    groups = ordered.exact_percentile(df, keys, value, p, name, task_rows)
+    return null_safe_join(df, groups, keys, "left")
 
 
 def dedup(df: DataFrame, keys: list[str], order: list[str | Column]) -> DataFrame:

@@ -9,15 +9,17 @@ from meterline.operators import columns as P
 from meterline.operators.quality import required_columns, run_checks
 from meterline.sources.files import path_exists, read_csv
 
+# Column names of the published files.
 _AMOUNTS = ["trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
             "improvement_surcharge", "total_amount"]
+_SOME_AMOUNTS = ["ehail_fee", "congestion_surcharge", "airport_fee"]
 _IDS = ["vendorid", "ratecodeid", "pulocationid", "dolocationid", "passenger_count", "payment_type"]
 
 
 def _service(prefix: str, more_ints: list[str]) -> dict:
     times = [f"{prefix}_pickup_datetime", f"{prefix}_dropoff_datetime"]
-    return {"ints": _IDS + more_ints, "floats": _AMOUNTS, "timestamps": times,
-            "strings": ["store_and_fwd_flag"], "optional": set(more_ints)}
+    return {"ints": _IDS + more_ints, "floats": _AMOUNTS + _SOME_AMOUNTS, "timestamps": times,
+            "strings": ["store_and_fwd_flag"], "optional": {*more_ints, *_SOME_AMOUNTS}}
 
 
 # Columns each data set must have, by the type they are coerced to.
@@ -33,6 +35,7 @@ DATA_SETS = {
 def ingest_raw(spark: SparkSession, source: str, target: str, data_set: str) -> bool:
     """Read CSV as text, settle headers, coerce and store; tells whether it ran.
 
+    Yellow and green files keep every column, for-hire files the declared ones.
     Finished output is left alone. Values that do not fit become null; a missing
     required column stops the load. Gzip files cannot be split, so the rows are
     rebalanced before the write.
@@ -45,7 +48,8 @@ def ingest_raw(spark: SparkSession, source: str, target: str, data_set: str) ->
         raw = P.apply_aliases(raw, FOR_HIRE_ALIASES)
     wanted = [c for kind in ("strings", "timestamps", "ints", "floats") for c in kinds[kind]]
     run_checks(raw, [required_columns([c for c in wanted if c not in kinds["optional"]])]).raise_on_failure()
-    typed = P.coerce(P.select_existing(raw, wanted), kinds["ints"], kinds["floats"],
+    kept = P.select_existing(raw, wanted) if data_set == "fhv" else raw
+    typed = P.coerce(kept, kinds["ints"], kinds["floats"],
                      kinds["timestamps"], kinds["strings"])
     typed.hint("rebalance").write.mode("overwrite").parquet(target)
     return True

@@ -53,6 +53,14 @@ NORMALISED_TRIPS = """
     dropoff_location_id int, fare_amount double, taxi_type string, payment_type int
 """
 
+# Columns of the service files that hold a shared column, in order of preference.
+TRIP_SOURCES = {
+    "pickup_datetime": ["tpep_pickup_datetime", "lpep_pickup_datetime", "pickup_datetime"],
+    "dropoff_datetime": ["tpep_dropoff_datetime", "lpep_dropoff_datetime", "dropoff_datetime"],
+    "pickup_location_id": ["PULocationID", "pickup_location_id"],
+    "dropoff_location_id": ["DOLocationID", "dropoff_location_id"],
+}
+
 RIDE_EVENT = """
     PULocationID int, DOLocationID int, trip_distance double, total_amount double,
     tpep_pickup_datetime bigint

@@ -96,13 +96,6 @@ def as_timestamps(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c in free}) if free else df
 
 
-_TABLE_SCHEMAS: dict[str, T.StructType] = {}
-
-
 def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A read-only Parquet table of a folder; its schema is looked up once per process."""
-    path = f"{folder.rstrip('/')}/{name}.parquet"
-    reader = prepare(spark).read
-    if path not in _TABLE_SCHEMAS:
-        _TABLE_SCHEMAS[path] = reader.parquet(path).schema
-    return as_timestamps(reader.schema(_TABLE_SCHEMAS[path]).parquet(path))
+    """A read-only Parquet table of a folder."""
+    return as_timestamps(prepare(spark).read.parquet(f"{folder.rstrip('/')}/{name}.parquet"))

@@ -95,14 +95,14 @@ def months_between(start: date | str, end: date | str) -> list[tuple[int, int]]:
 
 
 def read_months(spark: SparkSession, base: str, types: Iterable[str], start: date | str, end: date | str,
-                max_months: int = 12, pattern: str = "{type}_tripdata_{year}-{month:02d}.parquet") -> DataFrame:
+                max_months: int | None = None, pattern: str = "{type}_tripdata_{year}-{month:02d}.parquet") -> DataFrame:
     """Normalised trips of several services over a month range.
 
     Missing files are skipped. Months whose files exist are read per service,
     and an empty result still has the normalised columns.
     """
     months = [(y, m + 1) for y, m in months_between(start, end)]
-    if len(months) > max_months:
+    if max_months is not None and len(months) > max_months:
         raise ValueError(f"{len(months)} months asked for, at most {max_months} per run")
     frames = []
     for kind in types:

@@ -54,3 +54,10 @@ def test_freshness(spark):
     df = spark.createDataFrame([("2024-01-01",), ("2024-01-10",)], "d string").select(F.to_timestamp("d").alias("t"))
     assert Q.run_checks(df, [Q.freshness(df, "t", "2024-01-12", "3 days")]).failed() == []
     assert Q.run_checks(df, [Q.freshness(df, "t", "2024-02-12", "3 days")]).failed() == ["freshness(t)"]
+
+
+def test_checks_of_nothing(spark):
+    empty = spark.createDataFrame([], "t timestamp, x int")
+    assert Q.run_checks(empty, [Q.freshness(empty, "t", "2024-01-12", "3 days")]).failed() == ["freshness(t)"]
+    assert Q.run_checks(empty, [Q.query_equals(spark, "SELECT 1 WHERE false", 1)]).failed()
+    assert Q.check_counts(empty, []).count() == 0

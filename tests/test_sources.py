@@ -40,7 +40,8 @@ def test_by_name_takes_the_widest_type(spark, tmp_path, rows):
 def test_months(spark, tmp_path):
     assert R.months_between("2023-11-20", "2024-02-01") == [(2023, 10), (2023, 11), (2024, 0), (2024, 1)]
     with pytest.raises(ValueError, match="at most 12"):
-        R.read_months(spark, str(tmp_path), ["yellow"], "2023-01-01", "2024-01-01")
+        R.read_months(spark, str(tmp_path), ["yellow"], "2023-01-01", "2024-01-01", max_months=12)
+    assert R.read_months(spark, str(tmp_path), ["yellow"], "2023-01-01", "2024-12-01").count() == 0  # no limit by itself
     empty = R.read_months(spark, str(tmp_path), ["yellow"], "2023-01-01", "2023-12-31")
     assert empty.count() == 0
     assert empty.columns == ["pickup_datetime", "dropoff_datetime", "pickup_location_id", "dropoff_location_id",

@@ -72,14 +72,23 @@ def test_lookup_join_roles_nulls_and_text_keys(spark, rows):
     assert lookup_join(fact, zones, "p", "LocationID", {"Zone": "z"}, "inner").count() == 1
 
 
-def test_lookup_larger_than_the_bound_is_not_broadcast(spark):
+def test_lookup_size_is_left_to_the_engine(spark):
     zones = spark.range(50).select(F.col("id").cast("int").alias("LocationID"), F.lit("z").alias("Zone"))
     fact = spark.range(100).select((F.col("id") % 60).cast("int").alias("p"))
-    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" in plan(lookup_join(fact, zones, "p", "LocationID", {"Zone": "z"}))
-    large = lookup_join(fact, zones, "p", "LocationID", {"Zone": "z"}, max_rows=10)
-    assert "strategy=broadcast" not in plan(large)
-    assert large.filter("z is null").count() == 10
+    spark.sparkContext.setJobGroup("lookup", "building a join")
+    joined = lookup_join(fact, zones, "p", "LocationID", {"Zone": "z"})
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("lookup")
+    assert "strategy=broadcast" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert joined.filter("z is null").count() == 10
+
+
+def test_numbers_and_days(spark):
+    rows = spark.createDataFrame([("9007199254740993", "NaN"), ("1.0", "inf"), ("x", "2.5")], "i string, d string")
+    out = [tuple(r) for r in P.coerce(rows, ints=["i"], floats=["d"]).collect()]
+    assert out == [(9007199254740993, None), (1, None), (None, 2.5)]
+    assert A.count_over_threshold(spark.createDataFrame([(float("nan"),), (6.0,), (None,)], "x double"), "x", 5).first()["rows_over"] == 1
+    moments = spark.createDataFrame([(at("2024-01-02T01:00:00"),), (at("2024-01-03T00:00:00"),)], "t timestamp")
+    assert moments.filter(filters.on_day("t", at("2024-01-02T15:30:00"))).count() == 1
 
 
 def test_outer_join_keeps_null_keys_apart(spark, rows):
