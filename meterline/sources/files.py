@@ -6,8 +6,11 @@ import os
 from collections.abc import Iterable
 from datetime import date
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterline import schemas
 from meterline.operators.columns import normalize_trips
@@ -31,30 +34,50 @@ def read_csv(spark: SparkSession, path: str | list[str], schema: str | None = No
 def read_parquet(spark: SparkSession, *paths: str, by_name: bool = False) -> DataFrame:
     """Parquet from paths or globs.
 
-    ``by_name`` is for files whose columns differ. Paths with equal columns are
-    read together, and the groups are matched by name. Where a column's type
-    differs, all take the widest: integers bigint, numbers double, else text.
+    ``by_name`` is for files whose columns differ, under one glob or several. Files whose types agree
+    are merged by the reader, whose tasks read the footers. Where a column's type differs from file to file,
+    files of equal columns are read together and matched by name, and all take the widest type:
+    integers bigint, decimals with integers a decimal that holds both, other numbers double, dates with
+    timestamps timestamp, else text. Only this last case looks at the files one by one.
     """
     reader = prepare(spark).read
     if not by_name:
         return as_timestamps(reader.parquet(*paths))
+    try:
+        return as_timestamps(reader.option("mergeSchema", True).parquet(*paths))
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
     groups: dict[tuple, list[str]] = {}
-    for path in paths:
+    for path in reader.option("mergeSchema", False).parquet(*paths).inputFiles():
         fields = tuple((f.name, f.dataType.simpleString()) for f in reader.parquet(path).schema.fields)
         groups.setdefault(fields, []).append(path)
     frames = [as_timestamps(reader.parquet(*same)) for same in groups.values()]
-    seen: dict[str, set] = {}
+    seen: dict[str, list[T.DataType]] = {}
     for frame in frames:
         for field in frame.schema.fields:
-            seen.setdefault(field.name, set()).add(field.dataType.simpleString())
-    whole = {"tinyint", "smallint", "int", "bigint"}
-    numeric = whole | {"float", "double"}
-    target = {name: "bigint" if types <= whole else "double" if types <= numeric else "string"
-              for name, types in seen.items() if len(types) > 1}
+            seen.setdefault(field.name, []).append(field.dataType)
+    target = {name: widest(types) for name, types in seen.items() if len(set(types)) > 1}
     return concat_frames(*[f.withColumns({c: F.col(c).cast(t) for c, t in target.items() if c in f.columns})
                            if target else f for f in frames])
 
 
+def widest(types: list[T.DataType]) -> T.DataType:
+    """The type that holds the values of all of these."""
+    digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+    if all(type(t) in digits for t in types):
+        return T.LongType()
+    if all(type(t) in digits or isinstance(t, T.DecimalType) for t in types):
+        scale = max(t.scale for t in types if isinstance(t, T.DecimalType))
+        whole = max(t.precision - t.scale if isinstance(t, T.DecimalType) else digits[type(t)] for t in types)
+        return T.DecimalType(min(38, whole + scale), scale)
+    if all(isinstance(t, T.NumericType) for t in types):
+        return T.DoubleType()
+    if all(isinstance(t, (T.DateType, T.TimestampType)) for t in types):
+        return T.TimestampType()
+    return T.StringType()
+
+
 def read_any(spark: SparkSession, path: str) -> DataFrame:
     """Pick the reader by extension."""
     suffix = os.path.splitext(path.removesuffix(".gz"))[1].lower()

@@ -1,3 +1,6 @@
+import datetime as dt
+import decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -37,6 +40,18 @@ def test_by_name_takes_the_widest_type(spark, tmp_path, rows):
     assert rows(out, "a", "b", "c") == sorted([(1, 2.0, None), (None, 2.5, "n"), (7, None, "t")], key=repr)
 
 
+def test_by_name_over_one_glob(spark, tmp_path, rows):
+    for k, (columns, row) in enumerate([("a int, b int, d date", (1, 2, dt.date(2024, 1, 2))), ("a int, b double, c string", (3, 2.5, "n")),
+                                        ("a decimal(5,2), b int", (decimal.Decimal("7.25"), 4))]):
+        spark.createDataFrame([row], columns).coalesce(1).write.parquet(f"{tmp_path}/part={k}")
+    out = R.read_parquet(spark, f"{tmp_path}/part=*", by_name=True)
+    assert dict(out.dtypes) == {"a": "decimal(12,2)", "b": "double", "c": "string", "d": "date"}
+    assert rows(out, "a", "b", "c") == sorted([(decimal.Decimal("1.00"), 2.0, None), (decimal.Decimal("3.00"), 2.5, "n"),
+                                               (decimal.Decimal("7.25"), 4.0, None)], key=repr)
+    equal = R.read_parquet(spark, f"{tmp_path}/part=0", f"{tmp_path}/part=0", by_name=True)
+    assert equal.count() == 2
+
+
 def test_months(spark, tmp_path):
     assert R.months_between("2023-11-20", "2024-02-01") == [(2023, 10), (2023, 11), (2024, 0), (2024, 1)]
     with pytest.raises(ValueError, match="at most 12"):
