@@ -14,7 +14,7 @@ from meterline.sinks.files import to_json_records
 from meterline.sources.files import register
 
 
-@query("Q01 Q03 Q06 Q13 Q15", over("""
+@query("Q01 Q03 Q06", over("""
 SELECT 'not_null(known_vendor)' AS "check", count(*) FILTER (source_part % 17 = 0) AS failing FROM trips UNION ALL
 SELECT 'accepted_values(payment_type)', count(*) FILTER (payment_type NOT IN (1, 2, 3, 4)) FROM trips UNION ALL
 SELECT 'accepted_values(service_type)', count(*) FILTER (service_type NOT IN ('Green', 'Yellow')) FROM trips UNION ALL

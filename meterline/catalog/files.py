@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from meterline import schemas
@@ -78,12 +80,14 @@ def read_parquet_glob(spark, folder):
 SELECT event_id, CAST(user_id AS DOUBLE) AS user_id, CASE WHEN event_id % 2 = 0 THEN NULL ELSE value END AS value
 FROM events""")
 def read_parquet_by_name(spark, folder):
-    """One file lacks a column and has another one in a wider type and different order."""
+    """Three folders under one glob: columns are missing, in other types and in another order."""
     base, rows = work_path(spark, "drift"), events(spark, folder)
-    S.write_parquet(rows.filter("event_id % 2 = 0").select("event_id", "user_id"), f"{base}/a")
+    S.write_parquet(rows.filter("event_id % 4 = 0").select("event_id", "user_id"), f"{base}/a")
+    S.write_parquet(rows.filter("event_id % 4 = 2").select(
+        F.col("user_id").cast("decimal(18,2)").alias("user_id"), "event_id"), f"{base}/c")
     S.write_parquet(rows.filter("event_id % 2 = 1").select(
         "value", F.col("user_id").cast("double").alias("user_id"), "event_id"), f"{base}/b")
-    return R.read_parquet(spark, f"{base}/a", f"{base}/b", by_name=True)
+    return R.read_parquet(spark, f"{base}/*", by_name=True)
 
 
 @query("S08", "SELECT n_nationkey, n_name, 'csv' AS kind FROM nation UNION ALL "
@@ -153,11 +157,11 @@ def read_json_docs(spark, folder):
     return nested.read_json_docs(spark, path, "docs", schema, multi_line=False)
 
 
-@query("S16 F07 A30", over("""
+@query("F07 A30", over("""
 SELECT 'green' AS service, count(*) AS n FROM trips WHERE service_type = 'Green' UNION ALL
 SELECT 'yellow', count(*) FROM trips WHERE service_type = 'Yellow'"""))
 def count_by_file(spark, folder):
-    """Rows per service told apart by the file name alone."""
+    """Rows per service told apart by the data set's file name alone, in one scan."""
     base = work_path(spark, "named")
     for service in ("green", "yellow"):
         rows = trips(spark, folder).filter(F.lower("service_type") == service).select(*TIE_BREAK)
@@ -165,9 +169,9 @@ def count_by_file(spark, folder):
     # Spark names the files inside; the data set's name is the folder above them.
     named = R.read_parquet(spark, f"{base}/*").withColumn(
         "file_name", F.element_at(F.split("_metadata.file_path", "/"), -2))
-    count = lambda s: named.filter(filters.file_like(f"{s}_tripdata%")).agg(
-        F.lit(s).alias("service"), F.count("*").alias("n"))
-    return count("green").unionByName(count("yellow"))
+    service = reduce(lambda found, s: F.when(filters.file_like(f"{s}_tripdata%"), s).otherwise(found),
+                     ("yellow", "green"), F.lit(None))
+    return named.groupBy(service.alias("service")).agg(F.count("*").alias("n")).filter("service IS NOT NULL")
 
 
 @query("S17 K03", "SELECT CAST(4 AS BIGINT) AS files, true AS positive, count(*) AS n FROM ("

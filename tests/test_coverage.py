@@ -6,6 +6,14 @@ COUNTS = {"S": 18, "K": 14, "M": 9, "P": 18, "F": 14, "J": 8, "A": 30, "W": 10,
           "T": 16, "N": 3, "Q": 15, "C": 16}
 
 TESTED_ELSEWHERE = {
+    "S13": "test_sources: topic options; no broker may be started here",
+    "S14": "test_sources: topic options; no broker may be started here",
+    "S16": "test_sources: file names",
+    "T11": "test_streaming: a stream under a processing-time trigger",
+    "T12": "test_sources: topic options; no broker may be started here",
+    "T16": "test_streaming: upsert of every batch",
+    "Q13": "test_quality: raise_on_failure",
+    "Q15": "test_quality: run_checks by itself",
     "S15": "test_sources: topic options, start latest",
     "K08": "test_sources: database options (no database may be started here)",
     "K12": "test_streaming: appending every batch to a database table",
@@ -25,4 +33,4 @@ def test_inventory_is_covered():
 def test_driver_contract():
     import __spark_entry__ as entry
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert len(entry.queries()) == len(load_all())
+    assert set(load_all()) <= set(entry.queries())  # the text queries come on top where they are installed

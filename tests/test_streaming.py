@@ -141,3 +141,16 @@ def test_distinct_times_on_a_stream_are_approximate_but_run(feed, tmp_path):
     feed.add((9, 1.0, "2024-01-03 00:00:00"))
     out = run_all(W.session_distinct_times(feed.stream(), "event_timestamp", "zone"), tmp_path)
     assert [tuple(r)[3:] for r in out.filter("zone = 1").collect()] == [(2, 1)]
+
+
+def test_a_processing_time_trigger_takes_what_arrives(feed, tmp_path, spark):
+    feed.add((1, 1.0, "2024-01-01 00:10:00"))
+    query = run.start(feed.stream(), str(tmp_path / "out"), str(tmp_path / "cp"), interval="1 second")
+    try:
+        query.processAllAvailable()
+        feed.add((2, 2.0, "2024-01-01 00:20:00"))
+        query.processAllAvailable()
+        assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+        assert query.lastProgress["batchId"] >= 1
+    finally:
+        query.stop()
