@@ -60,15 +60,25 @@ def current(spark: SparkSession, path: str) -> DataFrame | None:
     return None
 
 
-def _write_version(df: DataFrame, path: str, keep: int = 2) -> None:
-    spark = df.sparkSession
-    versions = _versions(spark, path)
-    number = versions[-1] + 1 if versions else 1
-    df.write.mode("overwrite").parquet(_version_path(path, number))
-    for old in versions[:max(0, len(versions) - keep + 1)]:
+def _write_version(df: DataFrame, path: str) -> None:
+    """Older versions stay readable for frames made from them, until ``expire_versions``."""
+    versions = _versions(df.sparkSession, path)
+    df.write.mode("overwrite").parquet(_version_path(path, versions[-1] + 1 if versions else 1))
+
+
+def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Delete all but the newest versions; frames that still read an older one fail from then on."""
+    for old in _versions(spark, path)[:-max(1, keep)]:
         _remove(spark, _version_path(path, old))
 
 
+def _one_row_a_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows as they are; the job stops, before anything is committed, if two share a key."""
+    row = F.when(F.col("_n") > 1, F.raise_error(F.lit(f"rows to merge share a key ({', '.join(keys)})"))).otherwise(F.col("_row"))
+    return (df.groupBy(*keys).agg(F.count("*").alias("_n"), F.first(F.struct(*df.columns)).alias("_row"))
+            .select(row.alias("_row")).select("_row.*"))
+
+
 def _same_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Semi or anti join in which null keys match, so that a re-run replaces them too."""
     side = right.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
@@ -119,7 +129,8 @@ def materialize(df: DataFrame, target: str, strategy: str = "table", keys: list[
                 day_of: str | None = None) -> None:
     """Bring the table at ``target`` up to date with ``df``.
 
-    ``merge`` and ``delete+insert`` replace all rows of the keys in ``df``;
+    ``merge`` and ``delete+insert`` replace all rows of the keys in ``df``; for
+    ``merge`` a key may occur once in ``df``, else nothing is stored;
     ``time_interval`` replaces the rows in ``[start, end)``. ``full_refresh``
     rebuilds whatever the strategy. For ``view`` the target is a view name.
     ``day_of`` names the timestamp whose date partitions the table.
@@ -130,6 +141,8 @@ def materialize(df: DataFrame, target: str, strategy: str = "table", keys: list[
         df.createOrReplaceTempView(target)
         return
     spark = df.sparkSession
+    if strategy == "merge" and keys:
+        df = _one_row_a_key(df, keys)
     stored = None if full_refresh else current(spark, target)
     if stored is not None and strategy != "table":
         schema_unchanged(stored, df)

@@ -116,3 +116,22 @@ def test_view_append_and_unknown(spark, tmp_path):
     assert M.current(spark, path).count() == 6
     with pytest.raises(ValueError):
         M.materialize(frame(spark, *OLD), path, "replace")
+
+
+def test_rows_to_merge_may_not_share_a_key(spark, tmp_path):
+    path = str(tmp_path / "t")
+    M.materialize(spark.createDataFrame([(1, "a")], "id int, v string"), path, "merge", keys=["id"])
+    with pytest.raises(Exception, match="share a key"):
+        M.materialize(spark.createDataFrame([(2, "b"), (2, "c")], "id int, v string"), path, "merge", keys=["id"])
+    assert [tuple(r) for r in M.current(spark, path).collect()] == [(1, "a")]
+
+
+def test_older_versions_stay_readable_until_expired(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = None
+    for k in range(4):
+        M.materialize(spark.createDataFrame([(k, "a")], "id int, v string"), path, "table")
+        first = first or M.current(spark, path)
+    assert first.first()["id"] == 0
+    M.expire_versions(spark, path, keep=1)
+    assert M.current(spark, path).first()["id"] == 3
