@@ -39,7 +39,7 @@ MANTISSA = 10
 MARGIN = 6.0  # standard deviations an estimate may lie below the threshold
 BLOCK = 256  # classes of a family in one block
 PIECE = 1024  # classes of a key compared in one piece
-PAIRS = 100_000  # estimates computed at once
+PAIRS = 25_000  # estimates computed at once
 
 SKETCH = "doc_id long, n long, digest_a long, digest_b long, registers binary, keys array<long>"
 
@@ -106,6 +106,7 @@ def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
                      pa.array([s.tobytes() for s in sketch], pa.binary()),
                      pa.array([k[k > 0].view(np.int64) for k in keys], pa.list_(pa.int64()))],
                     names=["doc_id", "n", "digest_a", "digest_b", "registers", "keys"])
+        pa.default_memory_pool().release_unused()
     return docs.select("doc_id", "text").mapInArrow(run, SKETCH)
 
 
@@ -120,6 +121,7 @@ def full_sets(docs: DataFrame, words: int = 5) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(i, j - i),
                      pa.LargeListArray.from_arrays(cuts, value.view(np.int64)).cast(pa.list_(pa.int64()))], names=["id", "shingles"])
+        pa.default_memory_pool().release_unused()
     return docs.select("doc_id", "text").mapInArrow(run, "id long, shingles array<long>")
 
 

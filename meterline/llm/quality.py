@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from meterline.llm.textbytes import U, Words, chunks, mix, shingles, text_bytes
 
@@ -145,11 +146,11 @@ def score(docs: DataFrame, model: Voters, column: str = "score") -> DataFrame:
         m = shared.value
         for batch in batches:
             data, offsets = text_bytes(batch.column(names.index("text")))
-            out = [votes(_unit((terms(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) * m.idf) @ m.basis), m)
-                   for i, j in chunks(offsets)]
-            scores = np.concatenate(out) if out else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*names, column])
-    from pyspark.sql import types as T
+            for i, j in chunks(offsets):
+                x = _unit((terms(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]) * m.idf) @ m.basis)
+                yield pa.RecordBatch.from_arrays([*(c.slice(i, j - i) for c in batch.columns), pa.array(votes(x, m), pa.float64())],
+                                                 names=[*names, column])
+        pa.default_memory_pool().release_unused()  # the worker lives on beside the executor's other stages
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
 
 

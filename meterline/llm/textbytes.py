@@ -11,7 +11,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20  # text handled at once; a longer text is handled alone
+CHUNK_BYTES = 1 << 18  # text handled at once; a longer text is handled alone
+CHUNK_ROWS = 512
 U = np.uint64
 _BASE = U(0x9E3779B97F4A7C15 | 1)
 _INVERSE = U(pow(int(_BASE), -1, 1 << 64))
@@ -57,12 +58,13 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of rows with at most ``limit`` bytes together, one row at least."""
+    """Ranges of at most CHUNK_ROWS rows with at most ``limit`` bytes together, one row at least."""
     row, n = 0, len(offsets) - 1
     while row < n:
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1)
-        yield row, min(end, n, row + 50_000)
-        row = min(end, n, row + 50_000)
+        end = min(end, n, row + CHUNK_ROWS)
+        yield row, end
+        row = end
 
 
 class Words:
