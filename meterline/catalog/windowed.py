@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from meterline.catalog import query
 from meterline.catalog.common import over, rounded
 from meterline.fixtures import TIE_BREAK, trips

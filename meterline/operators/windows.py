@@ -9,7 +9,6 @@ from meterline.operators import ordered
 from meterline.operators.aggregates import top_k
 from meterline.operators.joins import null_safe_join
 from meterline.operators.ordered import TASK_ROWS
-from meterline.session import stored
 
 
 def top_amounts(df: DataFrame, value: str, tie_break: list[str], k: int, name: str = "ranking") -> DataFrame:
