@@ -8,9 +8,8 @@ provably distant halves before it multiplies blocks in double precision. It retu
 one spanning link per vector, never pairs.
 
 Equal vectors are one class from the start, with their number as weight. Vectors that are null, empty, zero or
-hold null or non-finite components, and rows without id, link with nothing and stay alone. Vectors of another
-length than the first dimension count seen most are compared among their own length only. Repeated ids are
-rows of their own. An empty table gives no rows.
+hold null or non-finite components, and rows without id, link with nothing and stay alone. Vectors meet only
+vectors of their own length. Repeated ids are rows of their own. An empty table gives no rows.
 """
 
 from __future__ import annotations
