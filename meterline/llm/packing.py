@@ -38,19 +38,27 @@ _ENCODINGS: dict[str, object] = {}
 
 
 def encoder(ranks_file: str):
-    """The byte-level BPE whose ranks the file lists; strings of special tokens are ordinary text."""
+    """The byte-level BPE whose ranks the file lists, with the added tokens of the JSON file beside it."""
     if ranks_file not in _ENCODINGS:
         import base64
+        import json
 
         import public_tokenizers
         import tiktoken
         with open(ranks_file, "rb") as lines:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+        with open(f"{ranks_file.rpartition('.')[0]}.json", encoding="utf-8") as file:
+            added = {token["content"]: token["id"] for token in json.load(file)["added_tokens"]}
         _ENCODINGS[ranks_file] = tiktoken.Encoding(
-            "pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+            "pieces", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
     return _ENCODINGS[ranks_file]
 
 
+def token_ids(ranks_file: str, text: str) -> list[int]:
+    """The ids that tokenizers gives with add_special_tokens=False: strings of added tokens are those tokens."""
+    return encoder(ranks_file).encode(text, allowed_special="all")
+
+
 def cut(n: int, length: int) -> list[tuple[int, int]]:
     """Start and length of the pieces of n tokens: all full, only the first may be shorter."""
     first = n if n <= length else (n % length or length)
@@ -60,11 +68,10 @@ def cut(n: int, length: int) -> list[tuple[int, int]]:
 def token_pieces(docs: DataFrame, ranks_file: str, length: int, end_id: int) -> DataFrame:
     """One row per piece of every document: place in the document, length and checksum of its ids."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(ranks_file).encode_ordinary
         for batch in batches:
             out = []
             for doc, text in zip(batch.column(0), batch.column(1)):
-                ids = encode(text.as_py() or "")
+                ids = token_ids(ranks_file, text.as_py() or "")
                 ids.append(end_id)
                 packed = np.array(ids, "<u4")
                 out += [(doc.as_py(), k, s, n, zlib.crc32(packed[s:s + n].tobytes()))

@@ -56,6 +56,16 @@ def test_ids_are_those_of_the_tokenizer(prose):
         assert mine.encode_ordinary(text) == reference.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_are_matched_as_the_contract_says(docs):
+    reference = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n y", "<|endoftext |>", "é<|ENDOFTEXT|>", "plain", ""]
+    out = packing.token_pieces(docs(list(enumerate(texts))).select("doc_id", "text"), RANKS, 1024, 2).collect()
+    for r in out:
+        ids = [*reference.encode(texts[r["doc_id"]], add_special_tokens=False).ids, 2]
+        assert (r["length"], r["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+    assert len(out) == len(texts)
+
+
 def test_packing_round_trip(docs, prose):
     rows = [(k, prose(3 + 7 * (k % 40), k)) for k in range(150)] + [(150, None), (151, ""), (7, prose(52, 7)), (152, prose(900, 9))]
     length = 128
