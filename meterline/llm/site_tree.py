@@ -8,7 +8,7 @@ declare what they are (navigation, forms, adverts, comments, ...) are removed as
 its article is reduced to it, and what the article itself holds is never removed for being repeated.
 
 Only counts by host, node and feature are shuffled, aggregated map-side, so one host may have any share of the
-pages. A page takes part in the tree as often as its row occurs.
+pages. Copies of a page, rows of one host with the same html, take part in the tree as one.
 
 Null and empty html gives an empty text. A null or unreadable url belongs to the host without name. Broken
 markup is read as browsers do: unclosed elements end with their parent, a lone "<" is text. Repeated rows give a
@@ -209,12 +209,12 @@ def importance(nodes: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars for every row of ``pages`` (page_id, url, html)."""
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
-    keyed = pages.select("page_id", "url", "html", F.xxhash64("page_id", "url", "html").alias("key"), host.alias("host"))
-    nodes = stored(keyed.select("key", "host", "html").mapInArrow(_nodes, NODES), "site-nodes")
+    keyed = pages.select("page_id", "url", "html", F.xxhash64(host, "html").alias("key"), host.alias("host"))
+    nodes = stored(keyed.select("key", "host", "html").mapInArrow(_nodes, NODES).distinct(), "site-nodes")
     low = (importance(nodes).where((F.col("pages") >= FRAME_PAGES) & (F.col("content") < FRAME_BELOW)
                                    & (F.col("presentation") < FRAME_BELOW)).select("host", "path"))
-    frames = (nodes.select("key", "host", "path").distinct().join(low, ["host", "path"])
-              .groupBy("key").agg(F.collect_set("path").alias("frame")))
+    frames = stored(nodes.select("key", "host", "path").join(low, ["host", "path"])
+                    .groupBy("key").agg(F.collect_set("path").alias("frame")), "site-frames")  # copies share a key: a join that can split it
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -170,3 +170,12 @@ def test_frame_of_a_site_is_removed(spark, prose):
 def test_repeated_paragraphs_of_articles_stay(spark, prose):
     rows = [(k, "http://site.example/", page(f"<article><p>{prose(9, 1)}</p></article>")) for k in range(8)]
     assert set(texts(spark, rows).values()) == {prose(9, 1)}
+
+
+def test_copies_of_a_page_count_once(spark, prose):
+    frame = "<div class='top'><p>Always the same line</p></div>"
+    one = page(frame, f"<div class='body'><p>{prose(9, 1000)}</p></div>")
+    rows = [(k, f"http://site.example/{k}", one) for k in range(90)]
+    rows += [(k, f"http://site.example/{k}", page(frame, f"<div class='body'><p>{prose(9, k)}</p></div>")) for k in range(90, 100)]
+    found = texts(spark, rows)
+    assert all(found[k] == prose(9, 1000 if k < 90 else k) for k in range(100))
