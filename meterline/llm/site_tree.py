@@ -5,7 +5,9 @@ presentation importance is the entropy of its child sequences over the pages, it
 entropy of its texts; both are 0 where every page shows the same and 1 where every page differs. Branches whose
 two importances are low are the site's frame and are removed from each page that has them. Elements that
 declare what they are (navigation, forms, adverts, comments, ...) are removed as such. A page that declares
-its article is reduced to it, and what the article itself holds is never removed for being repeated.
+its article is reduced to it. What the article holds is in the tree too, as nodes of its own: the declaration weighs
+against removal by a lower importance, a text goes only where that very text is on several pages of the host, and
+an article that would lose all its text keeps it.
 
 Only counts by host, node and feature are shuffled, aggregated map-side, so one host may have any share of the
 pages. Copies of a page, rows of one host with the same html, take part in the tree as one.
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 from meterline.llm.storage import stored
 
 FRAME_BELOW = 0.3  # importance under which a node belongs to the site's frame
+ARTICLE_BELOW = 0.1  # the same for nodes inside a declared article
 FRAME_PAGES = 5  # a node on fewer pages of its host tells nothing
 
 # Fixed values of HTML and of common page markup.
@@ -155,10 +158,14 @@ class Page:
                 return
 
 
+INSIDE = "\n"  # begins the path of a node inside a declared article
+
+
 def main_text(source: str, frame: set[str] = frozenset()) -> str:
     """The page's article; ``frame`` are paths of the site's frame."""
     blocks = Page(source).blocks
-    kept = [text for _, noise, article, text in blocks if article and not noise]
+    whole = [(path, text) for path, noise, article, text in blocks if article and not noise]
+    kept = [text for path, text in whole if INSIDE + path not in frame] or [text for _, text in whole]
     if not kept:
         def framed(path: str) -> bool:
             parts = path.split("/")
@@ -180,11 +187,11 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             page = Page(source or "")
             texts: dict[str, list[str]] = {}
             for path, noise, article, text in page.blocks:
-                if not noise and not article:
-                    texts.setdefault(path, []).append(text)
+                if not noise:
+                    texts.setdefault(INSIDE + path if article else path, []).append(text)
             for path, own in texts.items():
                 for name, value in (("key", key), ("host", host), ("path", path),
-                                    ("style", digest(page.children.get(path, []))), ("content", digest(own))):
+                                    ("style", digest(page.children.get(path.removeprefix(INSIDE), []))), ("content", digest(own))):
                     out[name].append(value)
         yield pa.RecordBatch.from_arrays([pa.array(v, pa.string() if k in ("host", "path") else pa.int64()) for k, v in out.items()],
                                          names=list(out))
@@ -211,10 +218,16 @@ def extract(pages: DataFrame) -> DataFrame:
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     keyed = pages.select("page_id", "url", "html", F.xxhash64(host, "html").alias("key"), host.alias("host"))
     nodes = stored(keyed.select("key", "host", "html").mapInArrow(_nodes, NODES).distinct(), "site-nodes")
-    low = (importance(nodes).where((F.col("pages") >= FRAME_PAGES) & (F.col("content") < FRAME_BELOW)
-                                   & (F.col("presentation") < FRAME_BELOW)).select("host", "path"))
-    frames = stored(nodes.select("key", "host", "path").join(low, ["host", "path"])
-                    .groupBy("key").agg(F.collect_set("path").alias("frame")), "site-frames")  # copies share a key: a join that can split it
+    inside = F.col("path").startswith(INSIDE)
+    below = F.when(inside, ARTICLE_BELOW).otherwise(FRAME_BELOW)
+    low = (importance(nodes).where((F.col("pages") >= FRAME_PAGES) & (F.col("content") < below)
+                                   & (F.col("presentation") < below)).select("host", "path"))
+    framed = nodes.join(low, ["host", "path"])
+    shared = (framed.where(inside).groupBy("host", "path", "content").agg(F.count("*").alias("k"))
+              .where(F.col("k") >= FRAME_PAGES).select("host", "path", "content"))
+    removed = (framed.where(~inside).select("key", "path")
+               .unionByName(framed.where(inside).join(shared, ["host", "path", "content"], "left_semi").select("key", "path")))
+    frames = stored(removed.groupBy("key").agg(F.collect_set("path").alias("frame")), "site-frames")  # copies share a key: a join that can split it
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

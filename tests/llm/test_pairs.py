@@ -179,3 +179,13 @@ def test_copies_of_a_page_count_once(spark, prose):
     rows += [(k, f"http://site.example/{k}", page(frame, f"<div class='body'><p>{prose(9, k)}</p></div>")) for k in range(90, 100)]
     found = texts(spark, rows)
     assert all(found[k] == prose(9, 1000 if k < 90 else k) for k in range(100))
+
+
+def test_frame_inside_articles_is_removed(spark, prose):
+    call = "<div class='cta'><p>Join us today</p></div>"
+    rows = [(k, f"http://site.example/{k}", page(f"<article><p>{prose(9, k)}</p>{call}</article>")) for k in range(30)]
+    rows += [(30, "http://site.example/30", page("<article><div class='cta'><p>Only here</p></div></article>"))]
+    rows += [(40, "http://other.example/", rows[0][2])]
+    found = texts(spark, rows)
+    assert all(found[k] == prose(9, k) for k in range(30))
+    assert found[30] == "Only here" and found[40] == f"{prose(9, 0)}\nJoin us today"
