@@ -1,16 +1,17 @@
 """Language-model scores with a weighted backoff automaton.
 
-Counts come from all training texts. An n-gram is kept if its relative frequency in the training tokens reaches
-``SHARE`` and it occurs twice; as frequencies of one order add up to one, no order keeps more than 1 / SHARE
-n-grams, at any input size. A longer n-gram can only reach the share if its parts do, so each order counts
-only what the one before has left open. Kept n-grams become an automaton: a state is a context with kept
-continuations, an arc is a continuation with its discounted probability and the state it leads to, a failure arc
-leads to the longest shorter context with the backoff weight that makes probabilities add up to one. All texts
-of a batch are traversed together from left to right, each carrying its state and its sum.
-
-At the root every word counts with its additively smoothed unigram probability. Words below the share are not
-in the automaton's tables; their counts are joined in from the full table of word counts, so the root is exact
-for every word.
+Counts come from all training texts. An n-gram is kept if it occurs twice, at any input size. In the automaton of
+the kept n-grams a state is a context with kept continuations, an arc is a continuation with its discounted
+probability, a failure arc leads to the longest shorter context with the backoff weight that makes probabilities
+add up to one. The automaton is a table, never gathered in one place. Its logarithms are laid on the n-grams: a
+kept n-gram has its arc, less the arc of its suffix and the failure weight of its prefix, which the shorter n-grams
+at the same place have added, plus its own failure weight, which whatever follows it takes. The sum over all
+n-grams of a text is then exactly what its traversal adds up to.
+
+N-grams are 64-bit hashes, dealt by hash to parts whose number grows with the text. A task adds up equal n-grams
+before it hands them on; the n-grams of the texts meet the table part by part.
+
+At the root every word counts with its additively smoothed unigram probability.
 
 Null and empty texts are the end token alone. Repeated rows are counted and scored each. Without any training
 token the unknown word has all the probability, so every score is 0. An empty table gives no rows. Extra
@@ -20,23 +21,25 @@ columns are not looked at.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from meterline.llm.storage import stored
-from meterline.llm.textbytes import Words, chunks, text_bytes
+from meterline.llm.textbytes import U, Words, chunks, mix, text_bytes
 
 ORDER = 3
-SHARE = 2e-7
 DISCOUNT = 0.5
 ADDED = 0.1  # to every count at the root
 END = -0x5851F42D4C957F2D  # stands for the end of a text among the word hashes
-HELD = 1 << 20  # counts a task holds before it hands them on
+HELD = 1 << 19  # tokens a task holds before it hands their n-grams on
+PART_BYTES = 1 << 24  # text for each part of the n-grams
+_STEP = U(0x9E3779B97F4A7C15)
 
 
 def tokens(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -50,239 +53,177 @@ def tokens(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield out, first
 
 
-@dataclass
-class Counts:
-    """Kept words (hash ascending) and, by order, kept n-grams: prefix id * number of words + word, ascending."""
-    words: np.ndarray
-    word_counts: np.ndarray
-    grams: list[np.ndarray]
-    gram_counts: list[np.ndarray]
-
-
-def find(sorted_keys: np.ndarray, keys: np.ndarray, valid: np.ndarray | None = None) -> np.ndarray:
-    """Place of each key, -1 where it is not there."""
-    out = np.full(len(keys), -1, np.int64)
-    if not len(sorted_keys) or not len(keys):
-        return out
-    at = np.flatnonzero(valid) if valid is not None else np.arange(len(keys))
-    value, back = np.unique(keys[at], return_inverse=True)
-    place = np.minimum(np.searchsorted(sorted_keys, value), len(sorted_keys) - 1)
-    out[at] = np.where(sorted_keys[place] == value, place, -1)[back]
-    return out
+def gram_keys(word: np.ndarray, first: np.ndarray, orders: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """For each order the hash of the n-gram that ends at each token, and each token's place in its row."""
+    keys = [word.view(np.uint64)]
+    for k in range(2, orders + 1):
+        key = np.zeros(len(word), np.uint64)
+        key[1:] = mix(keys[-1][:-1] * _STEP + keys[0][1:] + U(k))
+        keys.append(key)
+    return keys, np.arange(len(word)) - np.repeat(first[:-1], np.diff(first))
+
+
+def joined(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens and row begins of several chunks as of one."""
+    lengths = np.concatenate([np.diff(first) for _, first in held])
+    return np.concatenate([found for found, _ in held]), np.concatenate([[0], np.cumsum(lengths)])
+
+
+def _dealt(key: np.ndarray, parts: int, columns: list[np.ndarray]) -> tuple[np.ndarray, list[pa.Array]]:
+    """The parts that have keys, and for each of them the bytes of its key and other columns."""
+    part = key.view(np.int64) % parts
+    order = np.argsort(part, kind="stable")
+    present, begin = np.unique(part[order], return_index=True)
+    cuts = [*begin.tolist(), len(key)]
+    sorted_columns = [c[order] for c in (key, *columns)]
+    return present, [pa.array([c[i:j].tobytes() for i, j in zip(cuts, cuts[1:])], pa.binary()) for c in sorted_columns]
+
+
+def _numbers(column: pa.ChunkedArray, kind) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind)
+
+
+def _counted(orders: int, parts: int):
+    """Each portion's n-grams by part: hash, hash of prefix and suffix, order, occurrences."""
+    def emit(held):
+        keys, at = gram_keys(*joined(held), orders)
+        out = []
+        for k, key in enumerate(keys):
+            fit = np.flatnonzero(at >= k)
+            value, place, n = np.unique(key[fit], return_index=True, return_counts=True)
+            spot = fit[place]
+            before, after = (keys[k - 1][spot - 1], keys[k - 1][spot]) if k else (np.zeros(len(spot), np.uint64),) * 2
+            out.append((value, before, after, np.full(len(spot), k + 1, np.int8), n.astype(np.int32)))
+        key, *columns = (np.concatenate(c) for c in zip(*out))
+        present, blobs = _dealt(key, parts, columns)
+        return pa.RecordBatch.from_arrays([pa.array(present, pa.int64()), *blobs], names=["part", "k", "p", "s", "o", "n"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, waiting = [], 0
+        for batch in batches:
+            for found, first in tokens(batch.column(0)):
+                held.append((found, first))
+                waiting += len(found)
+                if waiting >= HELD:
+                    yield emit(held)
+                    held, waiting = [], 0
+        if held:
+            yield emit(held)
+    return run
 
-def gram_ids(ids: np.ndarray, first: np.ndarray, counts: Counts, orders: int) -> list[np.ndarray]:
-    """For each order the id of the n-gram that ends at each token, -1 where there is none."""
-    out = [ids]
-    begins = np.zeros(len(ids), bool)
-    begins[first[:-1]] = True
-    for k in range(2, orders + 1):
-        prefix = np.concatenate([[-1], out[-1][:-1]])
-        prefix[begins] = -1
-        out.append(find(counts.grams[k - 2], prefix * len(counts.words) + ids, (prefix >= 0) & (ids >= 0)))
-    return out
 
+def _added_up(group: pa.Table) -> pa.Table:
+    """One part's n-grams that occur twice, and all its words."""
+    key, n = _numbers(group.column("k"), np.int64), _numbers(group.column("n"), np.int32)
+    value, place, back = np.unique(key, return_index=True, return_inverse=True)
+    n = np.bincount(back, weights=n, minlength=len(value)).astype(np.int64)
+    order = _numbers(group.column("o"), np.int8)[place]
+    keep = (n >= 2) | (order == 1)
+    p, s = (_numbers(group.column(c), np.int64)[place][keep] for c in ("p", "s"))
+    return pa.table({"k": value[keep], "p": p, "s": s, "o": order[keep].astype(np.int32), "n": n[keep]})
+
+
+def _asked(orders: int, parts: int, kind: pa.DataType):
+    """Each portion's n-gram occurrences by part: hash and row; one part has the rows' ids and lengths as well."""
+    def emit(held, ids, row):
+        word, first = joined(held)
+        keys, at = gram_keys(word, first, orders)
+        of = np.repeat(np.arange(len(first) - 1, dtype=np.uint32), np.diff(first))
+        fits = [np.flatnonzero(at >= k) for k in range(orders)]
+        present, blobs = _dealt(np.concatenate([key[f] for key, f in zip(keys, fits)]), parts, [np.concatenate([of[f] for f in fits])])
+        own = row % len(present)
+        none = [None] * len(present)
+        rows = [pa.array([*none[:own], x, *none[own + 1:]], pa.list_(t))
+                for x, t in ((ids, kind), (np.diff(first).tolist(), pa.int64()))]
+        return pa.RecordBatch.from_arrays([pa.array(present, pa.int64()), pa.array([row] * len(present), pa.int64()), *blobs, *rows],
+                                          names=["part", "first", "k", "of", "ids", "lengths"])
 
-def _summed(emit: Callable[[pa.Array], Iterator[np.ndarray]]):
-    """Occurrences of the keys ``emit`` finds, added up within a task in portions of bounded size."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
-        waiting = 0
-
-        def merged():
-            keys, n = (np.concatenate(x) for x in zip(*held))
-            value, back = np.unique(keys, return_inverse=True)
-            return value, np.bincount(back, weights=n, minlength=len(value)).astype(np.int64)
+        row = TaskContext.get().partitionId() << 33
+        held, ids, waiting = [], [], 0
         for batch in batches:
-            for keys in emit(batch.column(0)):
-                held.append(np.unique(keys, return_counts=True))
-                waiting += len(held[-1][0])
-                if waiting > 2 * HELD:
-                    held = [merged()]
-                    waiting = len(held[0][0])
-                    if waiting > HELD:
-                        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in held[0]], names=["k", "n"])
-                        held, waiting = [], 0
+            at, names = 0, batch.column(0).to_pylist()
+            for found, first in tokens(batch.column(1)):
+                held.append((found, first))
+                ids += names[at:at + len(first) - 1]
+                at += len(first) - 1
+                waiting += len(found)
+                if waiting >= HELD:
+                    yield emit(held, ids, row)
+                    row += len(ids)
+                    held, ids, waiting = [], [], 0
         if held:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in merged()], names=["k", "n"])
+            yield emit(held, ids, row)
     return run
 
 
-def _kept(counted: DataFrame, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """At most 1 / SHARE rows."""
-    rows = counted.where(F.col("n") >= least).toArrow()
-    key, n = rows.column("k").to_numpy(), rows.column("n").to_numpy()
-    order = np.argsort(key)
-    return key[order], n[order]
-
-
-@dataclass
-class Automaton:
-    counts: Counts
-    total: int
-    kinds: int
-    root: np.ndarray  # log10 probability of each kept word
-    enter: np.ndarray  # state after each kept word alone
-    arcs: np.ndarray  # state * words + word, ascending
-    arc_log: np.ndarray
-    arc_to: np.ndarray
-    fail: np.ndarray
-    backoff: np.ndarray  # log10 weight of the failure arc
-
-
-def automaton(counts: Counts, total: int, kinds: int) -> Automaton:
-    v, orders = len(counts.words), len(counts.grams) + 1
-    mass = total + ADDED * (kinds + 1)
-    probability = [(counts.word_counts + ADDED) / mass]
-    suffix = [np.zeros(v, np.int64)]
-    for k in range(2, orders + 1):  # discounted probabilities, and the n-gram without its first word
-        prefix, word = np.divmod(counts.grams[k - 2], max(v, 1))
-        of = counts.word_counts if k == 2 else counts.gram_counts[k - 3]
-        probability.append((counts.gram_counts[k - 2] - DISCOUNT) / of[prefix])
-        suffix.append(word if k == 2 else find(counts.grams[k - 3], suffix[k - 2][prefix] * v + word))
-    # states: contexts of each order with continuations; 0 is the root
-    state, base = [], 1
-    for k in range(1, orders):
-        own = np.zeros(len(probability[k - 1]), np.int64)
-        used = np.unique(counts.grams[k - 1] // max(v, 1))
-        own[used] = base + np.arange(len(used))
-        base += len(used)
-        state.append(own)
-    reach = []  # state after an n-gram: its own, else that of its suffix
-    for k in range(1, orders + 1):
-        below = reach[k - 2][suffix[k - 1]] if k > 1 else np.zeros(v, np.int64)
-        reach.append(np.where(state[k - 1] > 0, state[k - 1], below) if k < orders else below)
-    fail, taken, left = np.zeros(base, np.int64), np.zeros(base), np.zeros(base)
-    arcs, log, to = [], [], []
-    for k in range(1, orders):
-        contexts = np.flatnonzero(state[k - 1])
-        if k > 1:
-            fail[state[k - 1][contexts]] = reach[k - 2][suffix[k - 1][contexts]]
-        prefix, word = np.divmod(counts.grams[k - 1], max(v, 1))
-        source = state[k - 1][prefix]
-        taken += np.bincount(source, weights=probability[k], minlength=base)
-        left += np.bincount(source, weights=probability[k - 1][suffix[k]], minlength=base)
-        arcs.append(source * v + word)
-        log.append(np.log10(probability[k]))
-        to.append(reach[k])
-    weight = np.log10(np.maximum(1 - taken, 1e-12) / np.maximum(1 - left, 1e-12))
-    weight[0] = 0.0
-    arcs, log, to = (np.concatenate(x) if x else np.zeros(0, t) for x, t in ((arcs, np.int64), (log, float), (to, np.int64)))
-    order = np.argsort(arcs)
-    return Automaton(counts, total, kinds, np.log10(probability[0]), reach[0], arcs[order], log[order], to[order], fail, weight)
-
-
-def traverse(m: Automaton, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Log10 probability of each row's tokens; at the root, words out of the tables add nothing yet."""
-    length = np.diff(first)
-    order = np.argsort(-length, kind="stable")
-    begin, ends = first[:-1][order], -length[order]
-    sums, state = np.zeros(len(order)), np.zeros(len(order), np.int64)
-    v = len(m.counts.words)
-    for t in range(int(length.max(initial=0))):
-        n = int(np.searchsorted(ends, -t, "left"))  # rows longer than t come first
-        word = ids[begin[:n] + t]
-        pending = np.arange(n)
-        while len(pending):
-            s, w = state[pending], word[pending]
-            at_root = s == 0
-            done = pending[at_root]
-            if len(done):
-                w0 = word[done]
-                known = w0 >= 0
-                sums[done[known]] += m.root[w0[known]]
-                state[done] = np.where(known, m.enter[np.maximum(w0, 0)], 0) if v else 0
-                pending, s, w = pending[~at_root], s[~at_root], w[~at_root]
-                if not len(pending):
-                    break
-            place = np.minimum(np.searchsorted(m.arcs, s * v + w), len(m.arcs) - 1)
-            hit = (m.arcs[place] == s * v + w) & (w >= 0)
-            taken = pending[hit]
-            sums[taken] += m.arc_log[place[hit]]
-            state[taken] = m.arc_to[place[hit]]
-            missed = pending[~hit]
-            sums[missed] += m.backoff[state[missed]]
-            state[missed] = m.fail[state[missed]]
-            pending = missed
-    out = np.empty(len(order))
-    out[order] = sums
+def _answered(kind: pa.DataType):
+    """What one part's n-grams add to each row."""
+    def run(asked: pa.Table, values: pa.Table) -> pa.Table:
+        out = []
+        if values.num_rows:
+            key = values.column("k").to_numpy()
+            value, back = np.unique(key, return_inverse=True)
+            known, base, more = (np.bincount(back, weights=values.column(c).to_numpy(), minlength=len(value)) for c in ("known", "base", "more"))
+        for r in asked.to_pylist():
+            if r["ids"] is not None:
+                rows, zero = np.arange(len(r["ids"])) + r["first"], np.zeros(len(r["ids"]))
+                out.append((rows, pa.array(r["ids"], kind), np.array(r["lengths"], np.int64), zero, zero, zero))
+            if values.num_rows:
+                k, of = np.frombuffer(r["k"], np.int64), np.frombuffer(r["of"], np.uint32)
+                place = np.minimum(np.searchsorted(value, k), len(value) - 1)
+                hit = value[place] == k
+                row, at = np.unique(of[hit], return_inverse=True)
+                sums = [np.bincount(at, weights=x[place[hit]], minlength=len(row)) for x in (known, base, more)]
+                out.append((row.astype(np.int64) + r["first"], pa.nulls(len(row), kind), np.zeros(len(row), np.int64), *sums))
+        types = (pa.int64(), kind, pa.int64(), pa.float64(), pa.float64(), pa.float64())
+        return pa.table([pa.chunked_array([pa.array(x) if isinstance(x, np.ndarray) else x for x in c], t) for c, t in zip(zip(*out), types)]
+                        if out else [pa.array([], t) for t in types], names=["row", "doc_id", "n_tokens", "known", "base", "more"])
+    return run
+
+
+def values_of(grams: DataFrame, total: int, kinds: int, orders: int, least: int) -> DataFrame:
+    """k, known, base, more: what each n-gram adds where it occurs; rows of one n-gram add up."""
+    zero = F.lit(0.0)
+    root = F.log10((F.col("n") + ADDED) / F.lit(total + ADDED * (kinds + 1)))
+    words = grams.where("o = 1").select("k", "n", root.alias("log"))
+    out = words.select("k", F.lit(1.0).alias("known"), F.col("log").alias("base"), F.col("log").alias("more"))
+    below = words
+    for k in range(2, orders + 1):
+        mine = grams.where((F.col("o") == k) & (F.col("n") >= least)).select("k", "p", "s", "n")
+        arcs = stored(mine.join(below.select(F.col("k").alias("s"), F.col("log").alias("lower")), "s")
+                      .join(below.select(F.col("k").alias("p"), F.col("n").alias("of")), "p")
+                      .select("k", "p", "n", "lower", F.log10((F.col("n") - DISCOUNT) / F.col("of")).alias("log")), f"arcs-{k}")
+        left = lambda c: F.greatest(1 - F.sum(F.pow(F.lit(10.0), c)), F.lit(1e-12))
+        fail = stored(arcs.groupBy("p").agg(F.log10(left("log") / left("lower")).alias("fail")), f"fail-{k}")
+        out = (out.unionByName(fail.select(F.col("p").alias("k"), zero.alias("known"), zero.alias("base"), F.col("fail").alias("more")))
+               .unionByName(arcs.join(fail, "p").select("k", zero.alias("known"), zero.alias("base"),
+                                                        (F.col("log") - F.col("lower") - F.col("fail")).alias("more"))))
+        below = arcs
     return out
 
 
-def score(docs: DataFrame, training, orders: int = ORDER, share: float = SHARE) -> DataFrame:
+def score(docs: DataFrame, training, orders: int = ORDER, share: float = 0.0) -> DataFrame:
     """Score every row of ``docs`` (doc_id, text); ``training`` is the condition on doc_id of those to learn from.
 
-    Returns doc_id, n_tokens, n_known, train_tokens, base_score, score, order.
+    Returns doc_id, n_tokens, n_known, train_tokens, base_score, score. A ``share`` keeps only longer n-grams of
+    that relative frequency; the queries set none.
     """
-    spark = docs.sparkSession
-    learnt = docs.where(training).select("text")
-
-    def words_of(column):
-        for found, _ in tokens(column):
-            yield found
-    words = stored(learnt.mapInArrow(_summed(words_of), "k long, n long").groupBy("k").agg(F.sum("n").alias("n")), "word-counts")
-    sizes = words.agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).first()
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+    blobs = "part long, k binary, p binary, s binary, o binary, n binary"
+    grams = stored(docs.where(training).select("text").mapInArrow(_counted(orders, parts), blobs)
+                   .groupBy("part").applyInArrow(_added_up, "k long, p long, s long, o int, n long"), "grams")
+    sizes = grams.where("o = 1").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).first()
     total, kinds = sizes["total"] or 0, sizes["kinds"]
-    least = max(2, math.ceil(share * total))
-    counts = Counts(*_kept(words, least), [], [])
-    for k in range(2, orders + 1):
-        sent = spark.sparkContext.broadcast(counts)
-
-        def grams_of(column, k=k, sent=sent):
-            known = sent.value
-            for found, first in tokens(column):
-                ids = find(known.words, found)
-                parts = gram_ids(ids, first, known, k - 1)[-1]  # (k - 1)-grams by their last token
-                prefix = np.concatenate([[-1], parts[:-1]])
-                prefix[first[:-1]] = -1
-                fit = (prefix >= 0) & (parts >= 0)
-                yield prefix[fit] * len(known.words) + ids[fit]
-        counted = learnt.mapInArrow(_summed(grams_of), "k long, n long").groupBy("k").agg(F.sum("n").alias("n"))
-        keys, n = _kept(counted, least)
-        counts = Counts(counts.words, counts.word_counts, [*counts.grams, keys], [*counts.gram_counts, n])
-    sent = spark.sparkContext.broadcast(automaton(counts, total, kinds))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = sent.value
-        for batch in batches:
-            ids, firsts, rare, times, at = [], [np.zeros(1, np.int64)], [], [], 0
-            for found, first in tokens(batch.column(1)):
-                ids.append(find(m.counts.words, found))
-                out = np.flatnonzero(ids[-1] < 0)
-                row = np.searchsorted(first, out, "right") - 1
-                order = np.lexsort((found[out], row))
-                row, value = row[order], found[out][order]
-                new = np.ones(len(row), bool)
-                new[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
-                begin = np.flatnonzero(new)
-                cuts = np.searchsorted(row[begin], np.arange(len(first)))
-                rare.append(pa.LargeListArray.from_arrays(cuts, value[begin]))
-                times.append(pa.LargeListArray.from_arrays(cuts, np.diff(np.append(begin, len(row)))))
-                firsts.append(first[1:] + at)
-                at += int(first[-1])
-            if not ids:
-                continue
-            ids, first = np.concatenate(ids), np.concatenate(firsts)
-            known = np.concatenate([[0], np.cumsum(ids >= 0)])[first]
-            log = np.concatenate([[0.0], np.cumsum(np.where(ids >= 0, m.root[np.maximum(ids, 0)], 0.0) if len(m.root) else np.zeros(len(ids)))])[first]
-            lists = pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.diff(first), pa.int64()), pa.array(np.diff(known), pa.int64()), pa.array(np.diff(log)),
-                 pa.array(traverse(m, ids, first)), pa.concat_arrays([x.cast(lists) for x in rare]),
-                 pa.concat_arrays([x.cast(lists) for x in times])],
-                names=["doc_id", "n_tokens", "known", "base", "log", "rare", "times"])
+    values = values_of(grams, total, kinds, orders, max(2, math.ceil(share * total))).withColumn("part", F.pmod("k", F.lit(parts)))
     kind = dict(docs.dtypes)["doc_id"]
-    scored = stored(docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, known long, base double, log double, rare array<long>, times array<long>")
-        .withColumn("row", F.monotonically_increasing_id()), "scored")
-    mass = total + ADDED * (kinds + 1)
-    n = F.coalesce("n", F.lit(0))
-    rest = (scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("w"))
-            .select("row", F.col("w.rare").alias("k"), F.col("w.times").alias("times"))
-            .join(words.where(F.col("n") < least), "k", "left")
-            .groupBy("row").agg(F.sum(F.col("times") * F.log10((n + ADDED) / F.lit(mass))).alias("more"),
-                                F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("seen")))
-    more = F.coalesce("more", F.lit(0.0))
-    return scored.join(rest, "row", "left").select(
-        "doc_id", "n_tokens", (F.col("known") + F.coalesce("seen", F.lit(0))).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("base") + more).alias("base_score"), (F.col("log") + more).alias("score"))
+    arrow = to_arrow_type(docs.schema["doc_id"].dataType)
+    asked = docs.select("doc_id", "text").mapInArrow(
+        _asked(orders, parts, arrow), f"part long, first long, k binary, of binary, ids array<{kind}>, lengths array<long>")
+    sums = (asked.groupBy("part").cogroup(values.groupBy("part"))
+            .applyInArrow(_answered(arrow), f"row long, doc_id {kind}, n_tokens long, known double, base double, more double")
+            .groupBy("row").agg(F.max("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in ("n_tokens", "known", "base", "more"))))
+    unknown = (F.col("n_tokens") - F.col("known")) * math.log10(ADDED / (total + ADDED * (kinds + 1)))
+    return sums.select("doc_id", "n_tokens", F.round("known").cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
+                       (F.col("base") + unknown).alias("base_score"), (F.col("more") + unknown).alias("score"))

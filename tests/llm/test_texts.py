@@ -169,6 +169,16 @@ def test_scores_are_those_of_the_model(docs, prose):
     assert [r["score"] for r in backoff_lm.score(docs([(1, "a b")]), F.lit(False)).collect()] == [0.0]
 
 
+def test_rare_grams_count_at_every_size(docs, monkeypatch):
+    # what occurs twice is kept however many tokens there are, in one portion or many
+    filler = [(k, "x " * 100_000) for k in range(2, 120)]
+    pair = [(0, "red fox runs"), (1, "red fox runs"), (1000, "red fox runs"), (1001, "fox red runs")]
+    monkeypatch.setattr(backoff_lm, "PART_BYTES", 1 << 20, raising=False)
+    found = {r["doc_id"]: r for r in backoff_lm.score(docs(pair + filler), F.col("doc_id") < 1000).collect()}
+    assert found[0]["score"] > found[0]["base_score"] + 10
+    assert abs(found[1000]["score"] - found[0]["score"]) < 1e-9 and found[1001]["score"] < found[0]["score"] - 5
+
+
 # quality
 
 def test_quality_on_held_out_rows(spark, docs, prose):
