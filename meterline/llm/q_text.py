@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from meterline.llm import backoff_lm, licences, mixing, near, packing, quality, repeats
+from meterline.llm import anchors, backoff_lm, filter_audit, importance, licences, mixing, near, packing, quality, repeats
 from meterline.llm.queries import query
 from meterline.llm.storage import table
 
@@ -53,3 +53,20 @@ def op8(spark, folder):
 def op5(spark, folder):
     cut = repeats.cut_texts(table(spark, folder, "documents").select("doc_id", "text"), length=200)
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+@query("op11_importance_resampling", importance.SQL)
+def op11(spark, folder):
+    return importance.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"), percent=5, least_words=20,
+                               seed=42, buckets=10000)
+
+
+@query("op12_filter_audit", filter_audit.SQL)
+def op12(spark, folder):
+    return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"), part="lang")
+
+
+@query("op13_substring_dedup", anchors.SQL)
+def op13(spark, folder):
+    cut = anchors.cut_texts(table(spark, folder, "documents").select("doc_id", "text"), length=20)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))

@@ -67,10 +67,13 @@ def chunks(offsets: np.ndarray, limit: int = CHUNK_BYTES) -> Iterator[tuple[int,
         row = end
 
 
+LOWERED = _LOWER.astype(np.uint64) + U(1)  # what a byte counts in a word's hash; A-Z as a-z
+
+
 class Words:
     """The words of some rows: where each begins and ends, its row, its hash, and each row's first word."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, values: np.ndarray = LOWERED):
         self.rows = len(offsets) - 1
         word = ~_SPACE[data]
         before, after = np.empty_like(word), np.empty_like(word)
@@ -83,10 +86,24 @@ class Words:
         self.end = np.flatnonzero(word & ~after) + 1
         self.first = np.searchsorted(self.start, offsets)  # of each row; the last entry is the number of words
         self.row = np.repeat(np.arange(self.rows), np.diff(self.first))
+        self.hash = self.hashed(data, values)
+
+    def hashed(self, data: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """A hash of each word in which byte b counts ``values[b]``."""
         up, down = _powers(len(data) + 1)
         sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((_LOWER[data].astype(np.uint64) + U(1)) * up[:len(data)], out=sums[1:])
-        self.hash = mix((sums[self.end] - sums[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
+        np.cumsum(values[data] * up[:len(data)], out=sums[1:])
+        return mix((sums[self.end] - sums[self.start]) * down[self.start] + (self.end - self.start).astype(np.uint64))
+
+
+def runs(h: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` entries from each place on, where there are as many; the entries are hashes themselves."""
+    if len(h) < size:
+        return np.zeros(0, np.uint64)
+    up, down = _powers(len(h) + 1)
+    sums = np.zeros(len(h) + 1, np.uint64)
+    np.cumsum(h * up[:len(h)], out=sums[1:])
+    return mix((sums[size:] - sums[:-size]) * down[:len(h) - size + 1])
 
 
 _PLACE = [U(0xD6E8FEB86659FD93), U(0xA0761D6478BD642F), U(0xE7037ED1A0B428DB), U(0x8EBC6AF09C88C6E3), U(0x589965CC75374CC3)]
