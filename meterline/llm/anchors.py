@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from meterline.llm.storage import forget, free, stored
+from meterline.llm.storage import forget, free, release, stored
 from meterline.llm.textbytes import U, Words, chunks, mix, runs, text_bytes
 
 PORTION = 8 << 20  # bytes of text per portion
@@ -75,15 +75,31 @@ def _dealt(hashes: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
     return part.astype(np.int64), ((hashes * n) >> U(32)).astype(np.uint32)
 
 
+def _planes(columns: list[np.ndarray]) -> bytes:
+    """Columns of integers, compressed byte place by byte place."""
+    return pa.compress(b"".join(c.astype(c.dtype.newbyteorder("<")).view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns), codec="zstd", asbytes=True)
+
+
+def _columns(packed: bytes, n: int, types: list[str]) -> list[np.ndarray]:
+    sizes = [int(t[-1]) for t in types]
+    if not n:
+        return [np.zeros(0, "<" + t) for t in types]
+    raw = np.frombuffer(pa.decompress(packed, n * sum(sizes), codec="zstd", asbytes=True), np.uint8)
+    ends = np.cumsum(sizes) * n
+    return [np.ascontiguousarray(raw[e - k * n:e].reshape(k, n).T).view("<" + t).ravel() for t, k, e in zip(types, sizes, ends.tolist())]
+
+
+def _steps(rising: np.ndarray) -> np.ndarray:
+    return np.diff(rising, prepend=rising.dtype.type(0))
+
+
 def _pack(rising: np.ndarray) -> bytes:
-    """Rising 32-bit numbers as compressed planes of their differences."""
-    steps = np.diff(rising, prepend=np.uint32(0)).astype("<u4")
-    return pa.compress(steps.view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+    """Rising 32-bit numbers, by their differences."""
+    return _planes([_steps(rising)])
 
 
 def _unpack(packed: bytes, n: int) -> np.ndarray:
-    planes = np.frombuffer(pa.decompress(packed, 4 * n, codec="zstd", asbytes=True), np.uint8)
-    return np.cumsum(np.ascontiguousarray(planes.reshape(4, n).T).view("<u4").ravel(), dtype=np.uint32)
+    return np.cumsum(_columns(packed, n, ["u4"])[0], dtype=np.uint32)
 
 
 def _cuts(part: np.ndarray) -> list[tuple[int, int]]:
@@ -145,11 +161,26 @@ def _find_anchors(rows: pa.Table) -> pa.Table:
 
 # "sent": digests, id, start and row of the portion's earliest start of each window; "known": row and start of repeated
 # windows; "rows": ids and text hashes of the portion's rows, by which the two name them
-_WINDOWS = "part int, portion int, kind int, body binary"
+_WINDOWS = "part int, portion int, kind int, n int, body binary"
 _SEND, _KNOWN, _ROWS = 0, 1, 2
-_SENT_WINDOW = np.dtype([("a", "<u8"), ("b", "<u8"), ("id", "<i8"), ("start", "<i4"), ("row", "<i4")])
-_PLACE = np.dtype([("row", "<i4"), ("start", "<i4")])
-_ROW = np.dtype([("id", "<i8"), ("null", "<i4"), ("hash", "<i8")])
+_SENT_WINDOW = np.dtype([("a", "u8"), ("b", "u8"), ("id", "i8"), ("start", "i4"), ("row", "i4")])
+_PLACE = np.dtype([("row", "i4"), ("start", "i4")])
+_ROW = np.dtype([("id", "i8"), ("null", "i4"), ("hash", "i8")])
+
+
+def _packed(w: np.ndarray) -> bytes:
+    """Windows in the order of their first digest, or places in any order."""
+    if "a" in w.dtype.names:
+        return _planes([_steps(w["a"]), *(w[c] for c in ("b", "id", "start", "row"))])
+    w = w[np.lexsort((w["start"], w["row"]))]
+    return _planes([w["row"], w["start"]])
+
+
+def _unpacked(packed: bytes, n: int, dtype: np.dtype) -> np.ndarray:
+    out = np.zeros(n, dtype)
+    for name, column in zip(dtype.names, _columns(packed, n, [dtype[c].str[1:] for c in dtype.names])):
+        out[name] = np.cumsum(column, dtype=np.uint64) if name == "a" else column
+    return out
 
 
 def _earliest(w: np.ndarray) -> np.ndarray:
@@ -168,7 +199,7 @@ def _extend_anchors(length: int, ranges: int):
     """The windows of a portion that hold an anchor: its earliest of each sequence to send, the others known."""
     def extend(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows or not answers.num_rows:
-            return _batch(_WINDOWS, part=[], portion=[], kind=[], body=[])
+            return _batch(_WINDOWS, part=[], portion=[], kind=[], n=[], body=[])
         portion = Portion(rows.column("text"), 2)
         name = rows.column("portion")[0].as_py()
         ids = rows.column("doc_id").combine_chunks()
@@ -198,27 +229,22 @@ def _extend_anchors(length: int, ranges: int):
         own = np.zeros(rows.num_rows, _ROW)
         own["id"], own["null"], own["hash"] = ids, missing, rows.column("text_hash").to_numpy()
         return _batch(_WINDOWS, part=[*(int(part[a]) for a, _ in cuts), name % ranges, name % ranges], portion=[name] * (len(cuts) + 2),
-                      kind=[_SEND] * len(cuts) + [_KNOWN, _ROWS], body=[*(sent[a:b].tobytes() for a, b in cuts), _places(known), own.tobytes()])
+                      kind=[_SEND] * len(cuts) + [_KNOWN, _ROWS], n=[*(b - a for a, b in cuts), len(known), len(own)],
+                      body=[*(_packed(sent[a:b]) for a, b in cuts), _packed(known[["row", "start"]]), own.tobytes()])
     return extend
 
 
-def _places(w: np.ndarray) -> bytes:
-    out = np.zeros(len(w), _PLACE)
-    out["row"], out["start"] = w["row"], w["start"]
-    return out.tobytes()
-
-
-_ANSWER = "portion int, kind int, body binary"
+_ANSWER = "portion int, kind int, n int, body binary"
 
 
 def _answer_windows(rows: pa.Table) -> pa.Table:
     """Which of the portions' earliest starts are repeats of another portion's; everything else passes."""
-    portion, kind, body = (rows.column(c).to_pylist() for c in ("portion", "kind", "body"))
-    rest = [i for i, k in enumerate(kind) if k != _SEND]
-    sent = [i for i, k in enumerate(kind) if k == _SEND]
-    out = {"portion": [portion[i] for i in rest], "kind": [kind[i] for i in rest], "body": [body[i] for i in rest]}
+    given = {c: rows.column(c).to_pylist() for c in ("portion", "kind", "n", "body")}
+    portion, n, body = given["portion"], given["n"], given["body"]
+    sent = [i for i, k in enumerate(given["kind"]) if k == _SEND]
+    out = {c: [v for v, k in zip(values, given["kind"]) if k != _SEND] for c, values in given.items()}
     if sent:
-        each = [np.frombuffer(body[i], _SENT_WINDOW) for i in sent]
+        each = [_unpacked(body[i], n[i], _SENT_WINDOW) for i in sent]
         w, home = np.concatenate(each), np.repeat([portion[i] for i in sent], [len(e) for e in each])
         order = np.lexsort((w["start"], w["id"], w["b"], w["a"]))
         late = order[~_earliest(w[order])]
@@ -226,7 +252,8 @@ def _answer_windows(rows: pa.Table) -> pa.Table:
         for a, b in _cuts(home[late]):
             out["portion"].append(int(home[late[a]]))
             out["kind"].append(_KNOWN)
-            out["body"].append(_places(w[late[a:b]]))
+            out["n"].append(b - a)
+            out["body"].append(_packed(w[["row", "start"]][late[a:b]]))
     return _batch(_ANSWER, **out)
 
 
@@ -236,9 +263,9 @@ _SPANS = "doc_id long, text_hash long, spans array<struct<b:int,e:int>>"
 def _spans(length: int):
     """The words covered by repeated windows, as spans of each text of a portion."""
     def join(rows: pa.Table) -> pa.Table:
-        by_kind = {k: [b for j, b in zip(rows.column("kind").to_pylist(), rows.column("body").to_pylist()) if j == k] for k in (_KNOWN, _ROWS)}
-        own = np.frombuffer(b"".join(by_kind[_ROWS]), _ROW)
-        at = np.frombuffer(b"".join(by_kind[_KNOWN]), _PLACE)
+        given = list(zip(*(rows.column(c).to_pylist() for c in ("kind", "n", "body"))))
+        own = np.frombuffer(b"".join(body for kind, _, body in given if kind == _ROWS), _ROW)
+        at = np.concatenate([_unpacked(body, n, _PLACE) for kind, n, body in given if kind == _KNOWN])
         at = at[np.lexsort((at["start"], at["row"]))]
         new = np.ones(len(at), bool)
         new[1:] = (at["row"][1:] != at["row"][:-1]) | (at["start"][1:] > at["start"][:-1] + length)
@@ -266,10 +293,12 @@ def repeated_spans(docs: DataFrame, length: int = 20) -> DataFrame:
     dealt = dealt.repartition("portion").dropDuplicates(["portion", "doc_id", "text_hash"])
     anchors = stored(dealt.select("portion", "text").groupBy("portion").applyInArrow(_send_runs(length, ranges), _SENT)
                      .groupBy("part").applyInArrow(_find_anchors, _ANCHORS), "anchors")
+    release(docs.sparkSession)
     windows = dealt.groupBy("portion").cogroup(anchors.groupBy("portion")).applyInArrow(_extend_anchors(length, ranges), _WINDOWS)
     out = stored(windows.groupBy("part").applyInArrow(_answer_windows, _ANSWER)
                  .groupBy("portion").applyInArrow(_spans(length), _SPANS), "repeated-spans")
     forget(anchors)
+    release(docs.sparkSession)
     return out
 
 

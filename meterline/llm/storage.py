@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +32,17 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of jobs that have ended: Spark deletes them once the driver's collector found them unused.
+
+    The first collection frees the frames, the second the shuffles that only they referred to.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def forget(df: DataFrame) -> None:
     """Delete the files of a stored frame that no later frame reads."""
     jvm = df.sparkSession._jvm
