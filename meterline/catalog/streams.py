@@ -139,6 +139,61 @@ def stream_pass_through(spark, folder):
         "event_type": "zone", "value": "amount", "ts": "event_timestamp"}), "rows")
 
 
+@query("T03 T15", _SESSIONS.format(more=", count(DISTINCT ts) AS distinct_times", closed=_CLOSED_SESSION))
+def stream_session_distinct_times(spark, folder):
+    return _to_end(W.session_distinct_times(_event_stream(spark, folder), "ts", "event_type"), "distinct-times")
+
+
+_FIRST_CUT, _SECOND_CUT = "TIMESTAMP '2024-01-10 12:30:00'", "TIMESTAMP '2024-01-20 12:30:00'"
+
+
+def _fed(spark, slices, build, name):
+    """Land slices of several sources one after the other; each time the stream starts again from its checkpoint
+    and takes what is new. ``slices`` are lists with a frame, or None for nothing new, per source."""
+    feeds = [work_path(spark, f"{name}-feed-{i}") for i in range(len(slices[0]))]
+    target, checkpoint = work_path(spark, name), work_path(spark, f"{name}-checkpoint")
+    for landed in slices:
+        for feed, rows in zip(feeds, landed):
+            if rows is not None:
+                rows.write.mode("append").parquet(feed)
+        df = build(*[prepare(spark).readStream.schema(EVENTS_SCHEMA).parquet(feed) for feed in feeds])
+        run.start(df, target, checkpoint, interval=None).awaitTermination()
+    return spark.read.schema(df.schema).parquet(target)
+
+
+_TOO_LATE = f"event_id % 50 = 0 AND ts < {_FIRST_CUT} - INTERVAL 1 DAY"
+_A_LITTLE_LATE = f"event_id % 2 = 1 AND ts >= {_FIRST_CUT} - INTERVAL 20 MINUTE AND ts < {_FIRST_CUT}"
+
+
+@query("T03 T10", _tumbling_sql("1 hour", "event_type,", _COUNT, closed=True).replace(
+    "FROM events GROUP", f"FROM events WHERE NOT ({_TOO_LATE}) GROUP"))
+def stream_late_rows(spark, folder):
+    """Rows behind the watermark count while their window is open; rows of closed windows are dropped."""
+    rows = events(spark, folder)
+    kept = rows.filter(f"NOT ({_TOO_LATE})")
+    slices = [kept.filter(f"ts < {_FIRST_CUT} AND NOT ({_A_LITTLE_LATE})"),
+              kept.filter(f"(ts >= {_FIRST_CUT} AND ts < {_SECOND_CUT}) OR ({_A_LITTLE_LATE})"),
+              rows.filter(f"ts >= {_SECOND_CUT} OR ({_TOO_LATE})")]
+    return _fed(spark, [[s] for s in slices], lambda stream: W.tumbling_zone_count(
+        E.with_watermark(stream, "ts", "5 seconds"), "ts", "event_type", "1 hour"), "late")
+
+
+_SILENT = f"event_type IN ('click', 'error') AND ts >= {_FIRST_CUT}"
+
+
+@query("T03 T13", _tumbling_sql("1 hour", "event_type,", _COUNT, closed=True).replace(
+    "FROM events GROUP", f"FROM events WHERE NOT ({_SILENT}) GROUP"))
+def stream_silent_source(spark, folder):
+    """One of two sources has nothing more after the first slice; its windows close all the same."""
+    rows = events(spark, folder)
+    silent, going = rows.filter(f"event_type IN ('click', 'error') AND ts < {_FIRST_CUT}"), rows.filter("event_type NOT IN ('click', 'error')")
+    slices = [[silent, going.filter(f"ts < {_FIRST_CUT}")],
+              [None, going.filter(f"ts >= {_FIRST_CUT} AND ts < {_SECOND_CUT}")],
+              [None, going.filter(f"ts >= {_SECOND_CUT}")]]
+    return _fed(spark, slices, lambda a, b: W.tumbling_zone_count(
+        E.merged([a, b], "ts", "5 seconds"), "ts", "event_type", "1 hour"), "silent")
+
+
 @query("K13 T04", _tumbling_sql("1 hour", "event_type,", _REVENUE))
 def stream_upsert(spark, folder):
     """Keyed result table in update mode: open windows are there too."""

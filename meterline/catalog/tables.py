@@ -10,43 +10,40 @@ from meterline.fixtures import TIE_BREAK, events, trips
 from meterline.session import work_path
 from meterline.sinks import materialize as M
 
-_SLIM = "event_id, ts, event_type, value"
+_ALL = "event_id, ts, user_id, event_type, value, props"
 
 
-def _slim(spark, folder):
-    return events(spark, folder).select("event_id", "ts", "event_type", "value")
-
-
-@query("M01", f"SELECT {_SLIM} FROM events")
+@query("M01", f"SELECT {_ALL} FROM events")
 def materialize_view(spark, folder):
-    M.materialize(_slim(spark, folder), "meterline_view", "view")
+    M.materialize(events(spark, folder), "meterline_view", "view")
     return spark.table("meterline_view")
 
 
-@query("M02 M08", f"SELECT {_SLIM} FROM events")
+@query("M02 M08", f"SELECT {_ALL} FROM events")
 def materialize_table(spark, folder):
-    path, rows = work_path(spark, "table"), _slim(spark, folder)
+    path, rows = work_path(spark, "table"), events(spark, folder)
     M.materialize(rows.filter("event_id % 2 = 0"), path, "table")
     M.materialize(rows, path, "merge", keys=["event_id"], full_refresh=True)
     return M.current(spark, path)
 
 
-@query("M03", f"SELECT {_SLIM} FROM events UNION ALL SELECT {_SLIM} FROM events WHERE event_id % 3 = 0")
+@query("M03", f"SELECT {_ALL} FROM events UNION ALL SELECT {_ALL} FROM events WHERE event_id % 3 = 0")
 def materialize_append(spark, folder):
-    path, rows = work_path(spark, "append"), _slim(spark, folder)
-    M.materialize(rows, path, "append")
-    M.materialize(rows.filter("event_id % 3 = 0"), path, "append")
+    path, rows = work_path(spark, "append"), events(spark, folder)
+    M.materialize(rows, path, "append", batch=("loader", 1))
+    for _ in range(2):  # the second is the first again and changes nothing
+        M.materialize(rows.filter("event_id % 3 = 0"), path, "append", batch=("loader", 2))
     return M.current(spark, path)
 
 
 def _old_and_new(spark, folder):
     """Stored: two thirds of the events. New: half of all, with changed values."""
-    rows = _slim(spark, folder)
+    rows = events(spark, folder)
     return rows.filter("event_id % 3 <> 0"), rows.filter("event_id % 2 = 0").withColumn("value", -F.col("value") - 1)
 
 
 _MERGED = """
-SELECT event_id, ts, event_type, CASE WHEN event_id % 2 = 0 THEN -value - 1 ELSE value END AS value
+SELECT event_id, ts, user_id, event_type, CASE WHEN event_id % 2 = 0 THEN -value - 1 ELSE value END AS value, props
 FROM events WHERE event_id % 3 <> 0 OR event_id % 2 = 0"""
 
 
@@ -64,20 +61,20 @@ def materialize_merge(spark, folder):
 def materialize_merge_by_day(spark, folder):
     path = work_path(spark, "merge-days")
     old, new = _old_and_new(spark, folder)
-    M.materialize(old, path, "table", day_of="ts")
+    M.materialize(old, path, "table", keys=["event_id"], day_of="ts")
     M.materialize(new, path, "merge", keys=["event_id"], day_of="ts")
     return M.current(spark, path)
 
 
 _INTERVAL = """
-SELECT event_id, ts, event_type, value FROM events
+SELECT event_id, ts, user_id, event_type, value, props FROM events
 WHERE NOT (ts >= TIMESTAMP '2024-01-05 06:00:00' AND ts < TIMESTAMP '2024-01-12') UNION ALL
-SELECT event_id, ts, event_type, value + 1 FROM events
+SELECT event_id, ts, user_id, event_type, value + 1, props FROM events
 WHERE ts >= TIMESTAMP '2024-01-05 06:00:00' AND ts < TIMESTAMP '2024-01-11' AND event_id % 2 = 0"""
 
 
 def _interval(spark, folder, day_of):
-    path, rows = work_path(spark, "interval"), _slim(spark, folder)
+    path, rows = work_path(spark, "interval"), events(spark, folder)
     bounds = {"start": "2024-01-05 06:00:00", "end": "2024-01-12 00:00:00"}
     M.materialize(rows, path, "table", day_of=day_of)
     fresh = (rows.filter("ts >= timestamp'2024-01-05 06:00:00' AND ts < timestamp'2024-01-11' AND event_id % 2 = 0")
@@ -98,17 +95,29 @@ def materialize_interval_by_day(spark, folder):
     return _interval(spark, folder, "ts")
 
 
-@query("M06", """
-SELECT event_type, event_id FROM events WHERE event_type IN ('click', 'error') AND event_id % 2 = 0 UNION ALL
-SELECT event_type, event_id FROM events WHERE event_type NOT IN ('click', 'error')""")
-def materialize_delete_insert(spark, folder):
-    path, rows = work_path(spark, "delete-insert"), _slim(spark, folder).select("event_type", "event_id")
-    M.materialize(rows, path, "table")
+_DELETED = """
+SELECT * FROM events WHERE event_type IN ('click', 'error') AND event_id % 2 = 0 UNION ALL
+SELECT * FROM events WHERE event_type NOT IN ('click', 'error')"""
+
+
+def _delete_insert(spark, folder, day_of):
+    path, rows = work_path(spark, "delete-insert"), events(spark, folder)
+    M.materialize(rows, path, "table", keys=["event_type"], day_of=day_of)
     M.materialize(rows.filter("event_type IN ('click', 'error') AND event_id % 2 = 0"), path, "delete+insert",
-                  keys=["event_type"])
+                  keys=["event_type"], day_of=day_of)
     return M.current(spark, path)
 
 
+@query("M06", _DELETED)
+def materialize_delete_insert(spark, folder):
+    return _delete_insert(spark, folder, None)
+
+
+@query("M06", _DELETED)
+def materialize_delete_insert_by_day(spark, folder):
+    return _delete_insert(spark, folder, "ts")
+
+
 @query("M07 C08 F11", over(f"""
 SELECT {', '.join(TIE_BREAK)}, pickup_datetime FROM trips
 WHERE pickup_datetime > (SELECT max(pickup_datetime) FROM trips WHERE pickup_datetime < TIMESTAMP '1998-07-01')"""))
@@ -120,18 +129,19 @@ def incremental_filter(spark, folder):
 
 
 @query("M09", """
-SELECT event_id, value, TIMESTAMP '2024-02-01' AS valid_from,
+SELECT *, TIMESTAMP '2024-02-01' AS valid_from,
        CASE WHEN event_id % 3 = 0 OR event_id % 2 = 0 THEN TIMESTAMP '2024-02-02' END AS valid_to
 FROM events WHERE event_id % 5 <> 0 UNION ALL
-SELECT event_id, value + 1, TIMESTAMP '2024-02-02', NULL FROM events
+SELECT * REPLACE (value + 1 AS value), TIMESTAMP '2024-02-02', NULL FROM events
 WHERE event_id % 3 <> 0 AND event_id % 2 = 0 AND event_id % 5 <> 0 UNION ALL
-SELECT event_id, value + CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END, TIMESTAMP '2024-02-02', NULL FROM events
+SELECT * REPLACE (value + CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS value), TIMESTAMP '2024-02-02', NULL FROM events
 WHERE event_id % 3 <> 0 AND event_id % 5 = 0""")
 def snapshot(spark, folder):
     """A day later every third row is gone, even rows changed, every fifth is new."""
-    path, rows = work_path(spark, "snapshot"), _slim(spark, folder).select("event_id", "value")
+    path, rows = work_path(spark, "snapshot"), events(spark, folder)
+    columns = ["ts", "user_id", "event_type", "value", "props"]
     later = rows.filter("event_id % 3 <> 0").withColumn(
         "value", F.col("value") + F.when(F.col("event_id") % 2 == 0, 1).otherwise(0))
-    M.snapshot(rows.filter("event_id % 5 <> 0"), path, ["event_id"], ["value"], "2024-02-01")
-    M.snapshot(later, path, ["event_id"], ["value"], "2024-02-02")
+    M.snapshot(rows.filter("event_id % 5 <> 0"), path, ["event_id"], columns, "2024-02-01")
+    M.snapshot(later, path, ["event_id"], columns, "2024-02-02")
     return M.current(spark, path)

@@ -64,8 +64,7 @@ def _numbered_by_range(df: DataFrame, keys: list[str], order: list[Column], name
     )
 
 
-def numbered(df: DataFrame, keys: list[str], order: list[str | Column], name: str = "row_number",
-             task_rows: int = TASK_ROWS) -> DataFrame:
+def numbered(df: DataFrame, keys: list[str], order: list[str | Column], name: str = "row_number") -> DataFrame:
     """Row number within the keys. ``order`` should tell any two unlike rows apart."""
     return _numbered_by_range(df, keys, _order_columns(order), name)
 
@@ -137,6 +136,15 @@ def running(df: DataFrame, keys: list[str], order: list[str | Column],
     return _running_blocks(placed, keys, "_place", sums, task_rows).drop("_place")
 
 
+def runs(df: DataFrame, keys: list[str], order: list[str | Column], opens: Callable[[Window], Column], name: str = "run",
+         task_rows: int = TASK_ROWS) -> DataFrame:
+    """Number the runs of each key: a row for which ``opens`` holds begins one. It may look one row back."""
+    placed = _numbered_by_range(df, keys, _order_columns(order), "_place")
+    marked = _framed_blocks(placed, keys, "_place", {"_opens": lambda w: opens(w).cast("bigint")}, before=1, after=0,
+                            task_rows=task_rows)
+    return _running_blocks(marked, keys, "_place", {name: ("sum", F.col("_opens"))}, task_rows).drop("_place", "_opens")
+
+
 def ranked(df: DataFrame, keys: list[str], value: str, descending: bool, tie_break: list[str],
            task_rows: int = TASK_ROWS) -> DataFrame:
     """``row_number``, ``rank`` and ``dense_rank`` of a value within the keys."""

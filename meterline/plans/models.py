@@ -14,6 +14,7 @@ from meterline.operators.sets import concat_frames, union_trips
 from meterline.operators.windows import dedup
 from meterline.plans import reports
 from meterline.sinks.files import write_parquet
+from meterline.sinks.materialize import high_water, materialize
 from meterline.sources.files import read_parquet
 
 NUMERIC = "decimal(18,3)"  # fixed-point width of the embedded profile; pass a wider one if needed
@@ -108,15 +109,15 @@ FACT_COLUMNS = [
     "dropoff_location_id", "dropoff_borough", "dropoff_zone",
     "pickup_datetime", "dropoff_datetime", "store_and_fwd_flag",
     "passenger_count", "trip_distance", "trip_type", "trip_duration_minutes",
-    *_AMOUNTS[:5], "ehail_fee", *_AMOUNTS[5:], "payment_type", "payment_type_description",
+    "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "ehail_fee",
+    "improvement_surcharge", "total_amount", "payment_type", "payment_type_description",
 ]
 
 
 def fct_trips(tables: dict[str, DataFrame], newer_than=None, **staging) -> DataFrame:
     """Trips with both zone names. ``newer_than`` keeps later pickups only (incremental load).
 
-    The bound is applied before the zone joins; use
-    ``materialize.high_water(target, "pickup_datetime")`` to get it.
+    The bound is applied before the zone joins; ``load_fct_trips`` takes it from the stored table.
     """
     trips = int_trips(tables, **staging)
     if newer_than is not None:
@@ -129,6 +130,21 @@ def fct_trips(tables: dict[str, DataFrame], newer_than=None, **staging) -> DataF
         "trip_duration_minutes", X.minutes_between("pickup_datetime", "dropoff_datetime")).select(*FACT_COLUMNS)
 
 
+def load_fct_trips(tables: dict[str, DataFrame], target: str, lookback: str | None = None, full_refresh: bool = False,
+                   **staging) -> bool:
+    """Bring the stored fact up to date: trips picked up after the newest stored one, merged on ``trip_id``.
+
+    The first load and ``full_refresh`` take everything. Trips that arrive later than a newer one stay out, unless
+    ``lookback`` moves the bound back; columns that changed stop the load. The key is made from the pickup time
+    among others, so a trip never moves to another month and a load rewrites the months of its own trips only.
+    """
+    spark = tables["taxi_zone_lookup"].sparkSession
+    bound = None if full_refresh else high_water(spark, target, "pickup_datetime", lookback)
+    fact = fct_trips(tables, newer_than=bound, **staging)
+    return materialize(fact, target, "merge", keys=["trip_id"], full_refresh=full_refresh, day_of="pickup_datetime",
+                       period="month", day_in_key=True)
+
+
 def dim_vendors(tables: dict[str, DataFrame], **staging) -> DataFrame:
     """Distinct vendors of the fact. Takes ``tables['fct_trips']`` when it is already built."""
     fact = tables["fct_trips"] if "fct_trips" in tables else fct_trips(tables, **staging)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,6 +45,11 @@ def with_watermark(df: DataFrame, column: str = "event_timestamp", delay: str =
     return df.withWatermark(column, delay)
 
 
+def merged(sources: list[DataFrame], column: str = "event_timestamp", delay: str = "5 seconds") -> DataFrame:
+    """Streams of one shape under one watermark, which follows the newest event of any: a silent source holds nothing up."""
+    return with_watermark(reduce(DataFrame.unionByName, sources), column, delay)
+
+
 def pass_through(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     """Chosen fields under new names, row by row (``{field: new name}``)."""
     return df.select(*[F.col(c).alias(n) for c, n in columns.items()])

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterline.operators.aggregates import top_k
+from meterline.operators.ordered import TASK_ROWS, runs
 
 
 def _tumbling(df: DataFrame, ts: str, size: str, keys: list[str], measures: list[Column]) -> DataFrame:
@@ -27,12 +28,13 @@ def tumbling_tips(df: DataFrame, ts: str, amount: str, size: str = "1 hour") ->
     return _tumbling(df, ts, size, [], [F.sum(amount).alias("total_tip_amount")])
 
 
-def _batch_sessions(df: DataFrame, ts: str, zone: str, gap_seconds: int, distinct: bool) -> DataFrame:
+def _batch_sessions(df: DataFrame, ts: str, zone: str, gap_seconds: int, distinct: bool, task_rows: int = TASK_ROWS) -> DataFrame:
     """Sessions of a batch without bringing a zone's events together.
 
     Two events in one slot of the gap's width are never further apart than the
-    gap, so a slot lies inside one session. Slots are counted map-side; what is
-    ordered per zone afterwards is at most one row per gap of covered time.
+    gap, so a slot lies inside one session. Slots are counted map-side; the
+    sessions of the slots are numbered over a range layout, so that a busy zone
+    with a long history is not one task either.
     """
     gap = gap_seconds * 1_000_000
     timed = df.filter(F.col(ts).isNotNull()).withColumn("_slot", F.floor(F.unix_micros(ts) / F.lit(gap)))
@@ -42,11 +44,9 @@ def _batch_sessions(df: DataFrame, ts: str, zone: str, gap_seconds: int, distinc
     else:
         counts = [F.count("*").alias("_n")]
     slots = timed.groupBy(zone, "_slot").agg(F.min(ts).alias("_first"), F.max(ts).alias("_last"), *counts)
-    in_order = Window.partitionBy(zone).orderBy("_slot")
-    silence = F.unix_micros("_first") - F.unix_micros(F.lag("_last").over(in_order))
+    silence = lambda w: F.unix_micros("_first") - F.unix_micros(F.lag("_last").over(w))
     sessions = (
-        slots.withColumn("_opens", F.when(silence <= gap, 0).otherwise(1))
-        .withColumn("_session", F.sum("_opens").over(in_order))
+        runs(slots, [zone], ["_slot"], lambda w: F.coalesce(silence(w) > gap, F.lit(True)), "_session", task_rows)
         .groupBy(zone, "_session")
         .agg(F.min("_first").alias("window_start"),
              (F.max("_last") + F.make_dt_interval(secs=F.lit(gap_seconds))).alias("window_end"),
@@ -58,8 +58,6 @@ def _batch_sessions(df: DataFrame, ts: str, zone: str, gap_seconds: int, distinc
 
 
 def _stream_sessions(df: DataFrame, ts: str, zone: str, gap_seconds: int, measures: list[Column]) -> DataFrame:
-    # Sessions merge inside each task before the shuffle, so a busy zone arrives shrunk.
-    df.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     grouped = df.groupBy(F.session_window(ts, f"{gap_seconds} seconds").alias("_window"), zone).agg(*measures)
     names = [c for c in grouped.columns if c != "_window"]
     return grouped.select(F.col("_window.start").alias("window_start"),
@@ -74,10 +72,14 @@ def session_zone_count(df: DataFrame, ts: str, zone: str, gap_seconds: int = 300
 
 
 def session_distinct_times(df: DataFrame, ts: str, zone: str, gap_seconds: int = 300) -> DataFrame:
-    """Also the distinct event times of each session; approximate on a stream."""
+    """Also the distinct event times of each session, exact for batches and streams.
+
+    On a stream two stateful steps follow each other: events of one zone and time are counted once the watermark
+    has passed that time, and the counted times form the sessions.
+    """
     if df.isStreaming:
-        return _stream_sessions(df, ts, zone, gap_seconds, [
-            F.count("*").alias("num_trips"), F.approx_count_distinct(ts).alias("distinct_times")])
+        times = df.groupBy(ts, zone).agg(F.count("*").alias("_n"))
+        return _stream_sessions(times, ts, zone, gap_seconds, [F.sum("_n").alias("num_trips"), F.count("*").alias("distinct_times")])
     return _batch_sessions(df, ts, zone, gap_seconds, distinct=True)
 
 

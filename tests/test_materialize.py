@@ -1,5 +1,3 @@
-import os
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -32,11 +30,111 @@ def test_merge_moves_rows_between_days_and_repeats_safely(spark, tmp_path, rows,
     assert rows(M.current(spark, path), "id", "v") == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
 
 
+def folders(spark, path):
+    out = {}
+    for f in M._latest(spark, path)["folders"]:
+        out.setdefault(f["day"], set()).add(f["path"])
+    return out
+
+
 def test_merge_rewrites_only_touched_days(spark, tmp_path):
     path = build(spark, str(tmp_path / "t"), "ts")
-    before = set(os.listdir(f"{path}/_day=2024-01-03"))
+    before = folders(spark, path)
     M.materialize(frame(spark, (1, at("2024-01-01 09:00:00"), "A")), path, "merge", keys=["id"], day_of="ts")
-    assert set(os.listdir(f"{path}/_day=2024-01-03")) == before
+    after = folders(spark, path)
+    assert after["2024-01-03"] == before["2024-01-03"] and after["2024-01-02"] == before["2024-01-02"]
+    assert after["2024-01-01"].isdisjoint(before["2024-01-01"])
+
+
+def test_a_load_lost_before_its_commit_leaves_the_old_table(spark, tmp_path, rows, monkeypatch, day_of):
+    path = build(spark, str(tmp_path / "t"), day_of)
+    new = frame(spark, (2, at("2024-01-05 00:00:00"), "B"), (4, at("2024-01-01 00:00:00"), "d"))
+    loads = {"merge": {"keys": ["id"]}, "delete+insert": {"keys": ["id"]}, "append": {}, "table": {},
+             "time_interval": {"time_column": "ts", "start": "2024-01-01", "end": "2024-01-03"}}
+    with monkeypatch.context() as m:
+        def lost(*_):
+            raise OSError("driver lost")
+        m.setattr(M, "_commit", lost)
+        for strategy, more in loads.items():
+            with pytest.raises(OSError):
+                M.materialize(new, path, strategy, day_of=day_of, **more)
+            assert rows(M.current(spark, path), "id", "v") == [(1, "a"), (2, "b"), (3, "c")]
+    M.materialize(new, path, "merge", keys=["id"], day_of=day_of)
+    assert rows(M.current(spark, path), "id", "v") == [(1, "a"), (2, "B"), (3, "c"), (4, "d")]
+
+
+def test_of_two_writers_the_later_fails(spark, tmp_path, rows, monkeypatch, day_of):
+    path = build(spark, str(tmp_path / "t"), day_of)
+    store = M._store
+
+    def overtaken(df, *args, **more):
+        monkeypatch.setattr(M, "_store", store)
+        M.materialize(frame(spark, (8, None, "first")), path, "append", day_of=day_of)
+        return store(df, *args, **more)
+    monkeypatch.setattr(M, "_store", overtaken)
+    with pytest.raises(RuntimeError, match="another writer"):
+        M.materialize(frame(spark, (9, None, "second")), path, "append", day_of=day_of)
+    assert [i for i, in rows(M.current(spark, path), "id")] == [1, 2, 3, 8]
+
+
+def test_a_repeated_batch_is_skipped(spark, tmp_path, rows, day_of):
+    path = str(tmp_path / "t")
+    load = lambda number, *ids: M.materialize(frame(spark, *[(i, at("2024-01-01"), "x") for i in ids]), path, "append",
+                                              day_of=day_of, batch=("loader", number))
+    assert load(0, 1, 2) and not load(0, 1, 2) and load(1, 3) and not load(1, 3) and not load(0, 1, 2)
+    assert M.materialize(frame(spark, (4, None, "y")), path, "append", day_of=day_of, batch=("other", 0))
+    assert rows(M.current(spark, path), "id") == [(1,), (2,), (3,), (4,)]
+    assert M.committed(spark, path, "loader") == 1 and M.committed(spark, path, "nobody") is None
+
+
+def test_merge_reads_only_days_that_can_hold_a_key(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    many = [(i, at(f"2024-01-{1 + i // 10:02d} 01:00:00"), "old") for i in range(100)] + [(None, at("2024-01-11"), "none")]
+    M.materialize(frame(spark, *many), path, "table", keys=["id"], day_of="ts")
+    new = frame(spark, (35, at("2024-01-20"), "moved"), (41, at("2024-01-20"), "moved"))
+    record = M._latest(spark, path)
+    fresh = M._store(new, path, "ts")
+    M._add_key_ranges(new, fresh, ["id"], "ts")
+    search = M.days_of_keys(spark, path, record, fresh, ["id"])
+    stored = {f.split("_day=")[1].split("/")[0] for f in search.inputFiles()}
+    assert stored == {"2024-01-04", "2024-01-05", "2024-01-20"}  # two old dates, and the new rows' own
+    M.materialize(new, path, "merge", keys=["id"], day_of="ts")
+    M.materialize(frame(spark, (None, at("2024-01-21"), "no key")), path, "merge", keys=["id"], day_of="ts")
+    merged = rows(M.current(spark, path), "id", "v")
+    assert len(merged) == 101 and {(35, "moved"), (41, "moved"), (None, "no key")} <= set(merged)
+    # ranges noted by a merge still prune the next one
+    record = M._latest(spark, path)
+    assert {f["day"] for f in record["folders"] if M._may_share_keys(f, {"keys": {"id": [60, 62, False]}}, ["id"])} == {"2024-01-07"}
+
+
+def test_an_interval_leaves_other_days_and_drops_inner_days_unread(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    M.materialize(frame(spark, *[(d, at(f"2024-01-{d:02d} 12:00:00"), "o") for d in range(1, 8)], (99, None, "t")), path, "table", day_of="ts")
+    before = folders(spark, path)
+    M.materialize(frame(spark).limit(0), path, "time_interval", time_column="ts", start="2024-01-02 06:00:00",
+                  end="2024-01-06 06:00:00", day_of="ts")
+    after = folders(spark, path)
+    assert rows(M.current(spark, path), "id") == [(1,), (6,), (7,), (99,)]
+    assert all(after[d] == before[d] for d in ("2024-01-01", "2024-01-07", None))
+    assert not {"2024-01-02", "2024-01-03", "2024-01-04", "2024-01-05"} & set(after)
+
+
+@pytest.mark.parametrize("period, first", [("month", {"2023-12-01", "2024-01-01", "2024-02-01"}), ("year", {"2023-01-01", "2024-01-01"})])
+def test_longer_periods(spark, tmp_path, rows, period, first):
+    path = str(tmp_path / "t")
+    more = {"day_of": "ts", "period": period}
+    M.materialize(frame(spark, *OLD, (4, at("2023-12-31 23:59:59"), "d"), (5, at("2024-02-29 01:00:00"), "e")), path, "table", keys=["id"], **more)
+    assert set(folders(spark, path)) == first
+    M.materialize(frame(spark, (4, at("2024-02-01 00:00:00"), "D")), path, "merge", keys=["id"], **more)
+    M.materialize(frame(spark).limit(0), path, "time_interval", time_column="ts", start="2024-01-02", end="2024-02-15", **more)
+    assert rows(M.current(spark, path), "id", "v") == [(1, "a"), (5, "e")]
+    assert M.high_water(spark, path, "ts") == at("2024-02-29 01:00:00")
+
+
+def test_loads_keep_to_one_layout(spark, tmp_path):
+    path = build(spark, str(tmp_path / "t"), "ts")
+    with pytest.raises(ValueError, match="stored by"):
+        M.materialize(frame(spark, *OLD), path, "append")
 
 
 def test_null_keys_are_replaced_too(spark, tmp_path, rows, day_of):
@@ -80,8 +178,8 @@ def test_drift_stops_the_load_and_refresh_rebuilds(spark, tmp_path, day_of):
 
 def test_unfinished_version_is_ignored(spark, tmp_path, rows):
     path = build(spark, str(tmp_path / "t"), None)
-    frame(spark, (7, None, "half")).write.parquet(f"{path}/v=00000002")
-    os.remove(f"{path}/v=00000002/_SUCCESS")
+    frame(spark, (7, None, "half")).write.parquet(f"{path}/data/half")
+    open(f"{path}/_commits/.half", "w").close()
     assert rows(M.current(spark, path), "id") == [(1,), (2,), (3,)]
     M.materialize(frame(spark, (4, None, "d")), path, "merge", keys=["id"])
     assert rows(M.current(spark, path), "id") == [(1,), (2,), (3,), (4,)]
@@ -107,6 +205,21 @@ def test_snapshot_history(spark, tmp_path, rows):
         (2, "B", at("2024-01-02"), None), (3, None, at("2024-01-03"), None)], key=repr)
 
 
+def test_a_snapshot_writes_closed_rows_once_and_refuses_shared_keys(spark, tmp_path):
+    path = str(tmp_path / "s")
+    day = lambda d, *r: M.snapshot(spark.createDataFrame(list(r), "id int, v string"), path, ["id"], ["v"], d)
+    day("2024-01-01", (1, "a"), (2, "b"))
+    day("2024-01-02", (1, "A"), (2, "b"))
+    closed = {f["path"] for f in M._latest(spark, path)["folders"] if f["part"] == "closed"}
+    day("2024-01-03", (1, "A"), (2, "B"))
+    day("2024-01-04", (1, "A"), (2, "B"))
+    after = [f for f in M._latest(spark, path)["folders"] if f["part"] == "closed"]
+    assert len(closed) == 1 and closed < {f["path"] for f in after} and len(after) == 2
+    with pytest.raises(ValueError, match="share a key"):
+        day("2024-01-05", (1, "A"), (1, "B"))
+    assert M.current(spark, path).count() == 4
+
+
 def test_view_append_and_unknown(spark, tmp_path):
     M.materialize(frame(spark, *OLD), "mat_view", "view")
     assert spark.table("mat_view").count() == 3

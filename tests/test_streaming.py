@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 import os
 import time
@@ -117,6 +118,55 @@ def test_upsert_replaces_rows_and_survives_a_rerun(spark, feed, tmp_path, rows):
         (at("2024-01-01 00:00:00"), 1, 2, 3.0), (at("2024-01-01 01:00:00"), 2, 1, 5.0)]
 
 
+def test_a_replayed_batch_is_skipped(spark, feed, tmp_path, monkeypatch):
+    """The driver is lost after the commit of a batch and before the stream notes that it is done."""
+    feed.add((1, 1.0, "2024-01-01 00:10:00"))
+    feed.add((1, 2.0, "2024-01-01 00:20:00"))
+    target, checkpoint = str(tmp_path / "table"), str(tmp_path / "cp")
+    store = run.materialize
+
+    def lost(rows_, *args, **more):
+        store(rows_, *args, **more)
+        raise OSError("driver lost")
+    with monkeypatch.context() as m:
+        m.setattr(run, "materialize", lost)
+        with pytest.raises(Exception, match="driver lost"):
+            run.stream_append(feed.stream(), target, checkpoint, interval=None).awaitTermination()
+    assert current(spark, target).count() == 1
+    for _ in range(2):
+        run.stream_append(feed.stream(), target, checkpoint, interval=None).awaitTermination()
+    assert current(spark, target).count() == 2
+
+
+def test_a_replayed_upsert_keeps_the_state(spark, feed, tmp_path, rows, monkeypatch):
+    feed.add((1, 1.0, "2024-01-01 00:10:00"))
+    feed.add((1, 2.0, "2024-01-01 00:20:00"))
+    target, checkpoint = str(tmp_path / "table"), str(tmp_path / "cp")
+    store = run.materialize
+    start = lambda: run.stream_upsert(W.tumbling_zone_revenue(feed.stream(), "event_timestamp", "zone", "amount"), target,
+                                      ["window_start", "zone"], checkpoint, interval=None, day_of="window_start").awaitTermination()
+
+    def lost(rows_, *args, **more):
+        store(rows_, *args, **more)
+        raise OSError("driver lost")
+    with monkeypatch.context() as m:
+        m.setattr(run, "materialize", lost)
+        with pytest.raises(Exception, match="driver lost"):
+            start()
+    start()
+    assert rows(current(spark, target), "zone", "num_trips", "total_revenue") == [(1, 2, 3.0)]
+
+
+def test_an_upsert_of_the_whole_table_must_be_asked_for(spark, feed, tmp_path):
+    feed.add((1, 1.0, "2024-01-01 00:10:00"))
+    windows = W.tumbling_zone_revenue(feed.stream(), "event_timestamp", "zone", "amount")
+    with pytest.raises(ValueError, match="whole_table"):
+        run.stream_upsert(windows, str(tmp_path / "t"), ["window_start", "zone"], str(tmp_path / "cp"))
+    run.stream_upsert(windows, str(tmp_path / "t"), ["window_start", "zone"], str(tmp_path / "cp"), interval=None,
+                      whole_table=True).awaitTermination()
+    assert current(spark, str(tmp_path / "t")).count() == 1
+
+
 def test_idle_files_do_not_stall_the_watermark(feed, tmp_path, rows):
     """One source goes silent; the other's events still close windows."""
     feed.add((1, 1.0, "2024-01-01 00:10:00"))
@@ -135,12 +185,27 @@ def test_database_stream_appends_each_batch(feed, tmp_path, monkeypatch):
     assert calls == [("events", "append", 1), ("events", "append", 2)]
 
 
-def test_distinct_times_on_a_stream_are_approximate_but_run(feed, tmp_path):
-    feed.add((1, 1.0, "2024-01-01 00:00:00"), (1, 1.0, "2024-01-01 00:00:00"))
-    feed.add((9, 1.0, "2024-01-02 00:00:00"))
-    feed.add((9, 1.0, "2024-01-03 00:00:00"))
+def test_distinct_times_on_a_stream_are_exact(feed, tmp_path, rows):
+    feed.add((1, 1.0, "2024-01-01 00:00:00"), (1, 1.0, "2024-01-01 00:00:00"), (1, 1.0, "2024-01-01 00:04:00"), (2, 1.0, "2024-01-01 00:01:00"))
+    feed.add((1, 1.0, "2024-01-01 00:04:01"), (1, 1.0, "2024-01-01 00:04:00"), (9, 1.0, "2024-01-02 00:00:00"))
+    feed.add((1, 7.0, "2024-01-01 00:00:00"), (9, 1.0, "2024-01-03 00:00:00"))  # the first comes too late
     out = run_all(W.session_distinct_times(feed.stream(), "event_timestamp", "zone"), tmp_path)
-    assert [tuple(r)[3:] for r in out.filter("zone = 1").collect()] == [(2, 1)]
+    assert rows(out.filter("zone < 9"), "zone", "num_trips", "distinct_times") == [(1, 5, 3), (2, 1, 1)]
+
+
+def test_sessions_of_one_zone_over_many_blocks(spark, rows):
+    events = [(1 if i % 3 else 2, at("2024-01-01") + dt.timedelta(seconds=s)) for i, s in enumerate(sorted([*range(0, 9000, 170), *range(20000, 30000, 301)]))]
+    frame = spark.createDataFrame(events, "zone int, ts timestamp")
+    want = []
+    for zone in (1, 2):
+        for t in sorted(t for z, t in events if z == zone):
+            if want and want[-1][0] == zone and (t - want[-1][2]).total_seconds() <= 300:
+                want[-1] = (zone, want[-1][1], t, want[-1][3] + 1)
+            else:
+                want.append((zone, t, t, 1))
+    for block in (2, 5, 1000):
+        got = W._batch_sessions(frame, "ts", "zone", 300, False, task_rows=block)
+        assert rows(got, "zone", "window_start", F.col("window_end") - F.expr("interval 300 seconds"), "num_trips") == sorted(want, key=repr)
 
 
 def test_a_processing_time_trigger_takes_what_arrives(feed, tmp_path, spark):
