@@ -82,3 +82,21 @@ SELECT 'freshness(ts)' AS "check", CAST(CASE WHEN max(ts) < TIMESTAMP '2024-02-0
 def freshness_check(spark, folder):
     rows = events(spark, folder)
     return Q.check_counts(rows, [Q.freshness(rows, "ts", "2024-02-05", "3 days")])
+
+
+@query("Q13 Q15", over("""
+SELECT name AS "check", failing, failing > 0 AS failed, true AS stopped FROM (
+  SELECT 'not_null(pickup_datetime)' AS name, count(*) FILTER (pickup_datetime IS NULL) AS failing FROM trips UNION ALL
+  SELECT 'accepted_values(payment_type)', count(*) FILTER (payment_type NOT IN (1, 2)) FROM trips UNION ALL
+  SELECT 'required_columns', CAST(1 AS BIGINT))"""))
+def run_checks(spark, folder):
+    """All checks are evaluated, then the run stops, here for wrong values and a missing column; the report stands."""
+    results = Q.run_checks(trips(spark, folder), [
+        Q.not_null("pickup_datetime"), Q.accepted_values("payment_type", [1, 2]), Q.required_columns(["vendor_id", "ehail_fee"])])
+    try:
+        stopped = results.raise_on_failure() is None
+    except ValueError:
+        stopped = True
+    found = {**results.failing, **{name: len(problems) for name, problems in results.problems.items()}}
+    return spark.createDataFrame([(name, n, name in results.failed(), stopped) for name, n in found.items()],
+                                 "check string, failing bigint, failed boolean, stopped boolean")

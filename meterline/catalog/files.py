@@ -13,7 +13,8 @@ from meterline.fixtures import TIE_BREAK, events, for_hire, raw_service, trips,
 from meterline.operators import columns as P
 from meterline.operators import filters
 from meterline.operators.aggregates import count_by
-from meterline.plans import ingest, models
+from meterline.operators.sets import union_trips
+from meterline.plans import ingest, models, reports
 from meterline.session import load_table, work_path
 from meterline.sinks import files as S
 from meterline.sources import files as R
@@ -145,19 +146,19 @@ def read_months(spark, folder):
     return R.read_months(spark, _month_files(spark, folder), ["green", "yellow"], "1996-01-15", "1996-05-20")
 
 
-@query("S12 P18", "SELECT doc_id, lang, n_chars FROM documents")
+@query("S12 P18", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def read_json_docs(spark, folder):
-    """Envelopes with a ``docs`` list, one per language and slice of ids."""
+    """Envelopes with a ``docs`` list of whole documents, one per language and slice of ids."""
     path = work_path(spark, "docs")
     docs = load_table(spark, folder, "documents")
     envelopes = docs.groupBy("lang", F.floor(F.col("doc_id") / 50).alias("page")).agg(
-        F.collect_list(F.struct("doc_id", "lang", "n_chars")).alias("docs"))
+        F.collect_list(F.struct("doc_id", "text", "lang", "source", "n_chars")).alias("docs"))
     envelopes.select(F.to_json(F.struct("page", "docs")).alias("value")).write.text(path)
-    schema = "page bigint, docs array<struct<doc_id: bigint, lang: string, n_chars: bigint>>"
+    schema = "page bigint, docs array<struct<doc_id: bigint, text: string, lang: string, source: string, n_chars: bigint>>"
     return nested.read_json_docs(spark, path, "docs", schema, multi_line=False)
 
 
-@query("F07 A30", over("""
+@query("F07 A30 S16", over("""
 SELECT 'green' AS service, count(*) AS n FROM trips WHERE service_type = 'Green' UNION ALL
 SELECT 'yellow', count(*) FROM trips WHERE service_type = 'Yellow'"""))
 def count_by_file(spark, folder):
@@ -167,20 +168,26 @@ def count_by_file(spark, folder):
         rows = trips(spark, folder).filter(F.lower("service_type") == service).select(*TIE_BREAK)
         rows.write.option("maxRecordsPerFile", 20000).parquet(f"{base}/{service}_tripdata_all.parquet")
     # Spark names the files inside; the data set's name is the folder above them.
-    named = R.read_parquet(spark, f"{base}/*").withColumn(
-        "file_name", F.element_at(F.split("_metadata.file_path", "/"), -2))
+    named = R.with_file_name(R.read_parquet(spark, f"{base}/*"), up=1)
     service = reduce(lambda found, s: F.when(filters.file_like(f"{s}_tripdata%"), s).otherwise(found),
                      ("yellow", "green"), F.lit(None))
     return named.groupBy(service.alias("service")).agg(F.count("*").alias("n")).filter("service IS NOT NULL")
 
 
-@query("S17 K03", "SELECT CAST(4 AS BIGINT) AS files, true AS positive, count(*) AS n FROM ("
-       "SELECT DISTINCT date_trunc('hour', ts), event_type FROM events)")
+@query("S16", "SELECT * FROM events")
+def rows_with_file_name(spark, folder):
+    """Every row knows the file it was read from."""
+    path = work_path(spark, "named-files")
+    S.write_parquet(events(spark, folder), path, files=4)
+    named = R.with_file_name(R.read_parquet(spark, path))
+    return named.filter("file_name LIKE 'part-%.parquet'").drop("file_name")
+
+
+@query("S17 K03", "SELECT CAST(4 AS BIGINT) AS files, true AS positive, count(*) AS n FROM events")
 def file_stats(spark, folder):
-    """Four files, so of grouped rows only: hours times event types."""
+    """All events in four files."""
     path = work_path(spark, "four")
-    hourly = count_by(events(spark, folder), F.date_trunc("hour", "ts").alias("hour"), "event_type")
-    S.write_parquet(hourly, path, files=4)
+    S.write_parquet(events(spark, folder), path, files=4)
     stored = R.read_parquet(spark, path)
     n = stored.agg(F.count("*")).scalar()
     return R.file_stats(stored).select("files", (F.col("mean_mib") > 0).alias("positive"), n.alias("n"))
@@ -192,19 +199,32 @@ def register(spark, folder):
     return spark.sql("SELECT count(*) AS n FROM meterline_events")
 
 
-@query("K04 C13 A04", over("""
+_MONTHLY_SQL = """
 SELECT pickup_location_id AS revenue_zone, date_trunc('month', pickup_datetime) AS revenue_month,
-       lower(service_type) AS service_type, round(sum(total_amount), 2) AS revenue_monthly_total_amount,
-       round(avg(trip_distance), 6) AS avg_monthly_trip_distance FROM trips GROUP BY 1, 2, 3"""))
+       {service} AS service_type, round(sum(fare_amount), 2) AS revenue_monthly_fare,
+       round(sum(extra), 2) AS revenue_monthly_extra, round(sum(mta_tax), 2) AS revenue_monthly_mta_tax,
+       round(sum(tip_amount), 2) AS revenue_monthly_tip_amount, round(sum(tolls_amount), 2) AS revenue_monthly_tolls_amount,
+       round(sum(improvement_surcharge), 2) AS revenue_monthly_improvement_surcharge,
+       round(sum(total_amount), 2) AS revenue_monthly_total_amount,
+       round(sum(congestion_surcharge), 2) AS revenue_monthly_congestion_surcharge,
+       round(avg(passenger_count), 6) AS avg_monthly_passenger_count,
+       round(avg(trip_distance), 6) AS avg_monthly_trip_distance FROM trips GROUP BY 1, 2, 3"""
+
+
+def _monthly(df):
+    """Sums to cents, averages to six digits."""
+    sums = [c for c in df.columns if c.startswith("revenue_monthly_")]
+    return rounded(rounded(df, 2, *sums), 6, "avg_monthly_passenger_count", "avg_monthly_trip_distance")
+
+
+@query("K04 C13 A04", over(_MONTHLY_SQL.format(service="lower(service_type)")))
 def monthly_revenue_job(spark, folder):
     """Two Parquet inputs to one output file, as the command-line job does it."""
     base = work_path(spark, "job")
     for service in ("Green", "Yellow"):
         S.write_parquet(raw_service(spark, folder, service, file_names=True), f"{base}/{service}")
     models.monthly_revenue_job(spark, f"{base}/Green", f"{base}/Yellow", f"{base}/out")
-    out = R.read_parquet(spark, f"{base}/out").select(
-        "revenue_zone", "revenue_month", "service_type", "revenue_monthly_total_amount", "avg_monthly_trip_distance")
-    return rounded(rounded(out, 2, "revenue_monthly_total_amount"), 6, "avg_monthly_trip_distance")
+    return _monthly(R.read_parquet(spark, f"{base}/out"))
 
 
 @query("K05", over("""
@@ -227,19 +247,20 @@ def write_partitioned(spark, folder):
             .filter(S.partition_range("ts", "2024-01-10", "2024-01-24")).select("event_type").distinct())
 
 
-@query("K07 Q08", "SELECT event_id, value FROM events")
+@query("K07 Q08", "SELECT * FROM events")
 def load(spark, folder):
-    path, wanted = work_path(spark, "load"), "event_id bigint, value double"
-    rows = events(spark, folder).select("value", "event_id")
+    path = work_path(spark, "load")
+    wanted = "event_id bigint, ts timestamp, user_id bigint, event_type string, value double, props string"
+    rows = events(spark, folder).select("value", "event_id", "props", "ts", "event_type", "user_id")
     S.load(rows, path, wanted)
     S.load(rows, path, wanted)
     return R.read_parquet(spark, path)
 
 
-@query("K09", "SELECT event_id, event_type, value FROM events")
+@query("K09", "SELECT * FROM events")
 def write_table(spark, folder):
     path = work_path(spark, "orc")
-    S.write_table(events(spark, folder).select("event_id", "event_type", "value"), "orc", path=path)
+    S.write_table(events(spark, folder), "orc", path=path)
     return spark.read.orc(path)
 
 
@@ -266,3 +287,21 @@ def ingest_raw(spark, folder):
     done = [ingest.ingest_raw(spark, f"{base}/raw", f"{base}/typed", "fhv") for _ in range(2)]
     assert done == [True, False]
     return R.read_parquet(spark, f"{base}/typed")
+
+
+@query("C14 K14 S04 P02 P03 P10 A04 E01", over(_MONTHLY_SQL.format(service="service_type")))
+def ingest_monthly_revenue(spark, folder):
+    """Gzip CSV of both services through the raw ingest to the monthly report."""
+    base, typed = work_path(spark, "services"), []
+    for service, prefix in (("Green", "lpep"), ("Yellow", "tpep")):
+        rows = raw_service(spark, folder, service, file_names=True).withColumn("ehail_fee", F.lit(None).cast("string"))
+        text = rows.withColumns({c: F.col(c).cast("double") for c in ("VendorID", "passenger_count", "payment_type")})
+        text.write.option("header", True).option("compression", "gzip").csv(f"{base}/raw/{service}")
+        ingest.ingest_raw(spark, f"{base}/raw/{service}", f"{base}/typed/{service}", service.lower())
+        stored = P.rename(R.read_parquet(spark, f"{base}/typed/{service}"), {
+            f"{prefix}_pickup_datetime": "pickup_datetime", f"{prefix}_dropoff_datetime": "dropoff_datetime"})
+        typed.append(P.tag(stored, "service_type", service))
+    shared = P.common_columns(*typed)
+    trips_ = union_trips(*[t.select(*shared) for t in typed])
+    out = _monthly(reports.monthly_zone_revenue(trips_, zone="pulocationid"))
+    return out.withColumn("revenue_zone", F.col("revenue_zone").cast("int"))

@@ -3,33 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
+from meterline import schemas
 from meterline.lookups import FOR_HIRE_ALIASES
 from meterline.operators import columns as P
 from meterline.operators.quality import required_columns, run_checks
 from meterline.sources.files import path_exists, read_csv
 
-# Column names of the published files.
-_AMOUNTS = ["trip_distance", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
-            "improvement_surcharge", "total_amount"]
-_SOME_AMOUNTS = ["ehail_fee", "congestion_surcharge", "airport_fee"]
-_IDS = ["vendorid", "ratecodeid", "pulocationid", "dolocationid", "passenger_count", "payment_type"]
-
-
-def _service(prefix: str, more_ints: list[str]) -> dict:
-    times = [f"{prefix}_pickup_datetime", f"{prefix}_dropoff_datetime"]
-    return {"ints": _IDS + more_ints, "floats": _AMOUNTS + _SOME_AMOUNTS, "timestamps": times,
-            "strings": ["store_and_fwd_flag"], "optional": {*more_ints, *_SOME_AMOUNTS}}
-
-
-# Columns each data set must have, by the type they are coerced to.
-DATA_SETS = {
-    "yellow": _service("tpep", []),
-    "green": _service("lpep", ["trip_type"]),
-    "fhv": {"ints": ["pulocationid", "dolocationid"], "floats": [],
-            "timestamps": ["pickup_datetime", "dropoff_datetime"],
-            "strings": ["dispatching_base_num"], "optional": set()},
-}
+DATA_SETS = {"yellow": schemas.INGEST_YELLOW, "green": schemas.INGEST_GREEN, "fhv": schemas.INGEST_FOR_HIRE}
 
 
 def ingest_raw(spark: SparkSession, source: str, target: str, data_set: str) -> bool:
@@ -42,14 +24,13 @@ def ingest_raw(spark: SparkSession, source: str, target: str, data_set: str) ->
     """
     if path_exists(spark, f"{target.rstrip('/')}/_SUCCESS"):
         return False
-    kinds = DATA_SETS[data_set]
+    declared = T.StructType.fromDDL(DATA_SETS[data_set])
+    of_type = lambda kind: [f.name for f in declared.fields if isinstance(f.dataType, kind)]
     raw = P.normalize_headers(read_csv(spark, source))
     if data_set == "fhv":
         raw = P.apply_aliases(raw, FOR_HIRE_ALIASES)
-    wanted = [c for kind in ("strings", "timestamps", "ints", "floats") for c in kinds[kind]]
-    run_checks(raw, [required_columns([c for c in wanted if c not in kinds["optional"]])]).raise_on_failure()
-    kept = P.select_existing(raw, wanted) if data_set == "fhv" else raw
-    typed = P.coerce(kept, kinds["ints"], kinds["floats"],
-                     kinds["timestamps"], kinds["strings"])
+    run_checks(raw, [required_columns([c for c in declared.names if c not in schemas.INGEST_OPTIONAL])]).raise_on_failure()
+    kept = P.select_existing(raw, declared.names) if data_set == "fhv" else raw
+    typed = P.coerce(kept, of_type(T.LongType), of_type(T.DoubleType), of_type(T.TimestampType), of_type(T.StringType))
     typed.hint("rebalance").write.mode("overwrite").parquet(target)
     return True

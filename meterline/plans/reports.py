@@ -33,8 +33,8 @@ def monthly_zone_revenue(trips: DataFrame, zone: str = "pickup_location_id") ->
 
 def monthly_zone_name_revenue(trips: DataFrame) -> DataFrame:
     """The monthly mart: by zone name, with a default for trips outside all zones."""
-    measures = [c for c in MONTHLY_SUMS if c != "congestion_surcharge"]
-    measures.insert(5, "ehail_fee")
+    measures = ["fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount", "ehail_fee",
+                "improvement_surcharge", "total_amount"]
     return (trips.groupBy(F.coalesce("pickup_zone", F.lit("Unknown Zone")).alias("pickup_zone"),
                           X.trunc_to("pickup_datetime", "month").alias("revenue_month"),
                           "service_type")

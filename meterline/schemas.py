@@ -32,6 +32,33 @@ FOR_HIRE = """
     pulocationid int, dolocationid int
 """
 
+# Raw files as they are ingested: header names in lower case, coerced types.
+INGEST_YELLOW = """
+    vendorid bigint, tpep_pickup_datetime timestamp, tpep_dropoff_datetime timestamp,
+    passenger_count bigint, trip_distance double, ratecodeid bigint, store_and_fwd_flag string,
+    pulocationid bigint, dolocationid bigint, payment_type bigint, fare_amount double,
+    extra double, mta_tax double, tip_amount double, tolls_amount double,
+    improvement_surcharge double, total_amount double, ehail_fee double,
+    congestion_surcharge double, airport_fee double
+"""
+
+INGEST_GREEN = """
+    vendorid bigint, lpep_pickup_datetime timestamp, lpep_dropoff_datetime timestamp,
+    store_and_fwd_flag string, ratecodeid bigint, pulocationid bigint, dolocationid bigint,
+    passenger_count bigint, trip_distance double, fare_amount double, extra double,
+    mta_tax double, tip_amount double, tolls_amount double, ehail_fee double,
+    improvement_surcharge double, total_amount double, payment_type bigint,
+    trip_type bigint, congestion_surcharge double, airport_fee double
+"""
+
+INGEST_FOR_HIRE = """
+    dispatching_base_num string, pickup_datetime timestamp, dropoff_datetime timestamp,
+    pulocationid bigint, dolocationid bigint
+"""
+
+# Columns that only some years of the files have.
+INGEST_OPTIONAL = {"trip_type", "ehail_fee", "congestion_surcharge", "airport_fee"}
+
 # Raw tables as the warehouse stores them: lower-case names, wide integers.
 _RAW_SHARED = """
     vendorid bigint, ratecodeid bigint, pulocationid bigint, dolocationid bigint,

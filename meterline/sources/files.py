@@ -38,21 +38,19 @@ def read_parquet(spark: SparkSession, *paths: str, by_name: bool = False) -> Dat
     are merged by the reader, whose tasks read the footers. Where a column's type differs from file to file,
     files of equal columns are read together and matched by name, and all take the widest type:
     integers bigint, decimals with integers a decimal that holds both, other numbers double, dates with
-    timestamps timestamp, else text. Only this last case looks at the files one by one.
+    timestamps timestamp, else text. Which files agree is found by merging stretches of them, footers read
+    by tasks.
     """
     reader = prepare(spark).read
     if not by_name:
         return as_timestamps(reader.parquet(*paths))
-    try:
-        return as_timestamps(reader.option("mergeSchema", True).parquet(*paths))
-    except (PySparkException, Py4JJavaError) as error:
-        if "CANNOT_MERGE_SCHEMAS" not in str(error):
-            raise
-    groups: dict[tuple, list[str]] = {}
-    for path in reader.option("mergeSchema", False).parquet(*paths).inputFiles():
-        fields = tuple((f.name, f.dataType.simpleString()) for f in reader.parquet(path).schema.fields)
-        groups.setdefault(fields, []).append(path)
-    frames = [as_timestamps(reader.parquet(*same)) for same in groups.values()]
+    merged = _mergeable(reader, list(paths))
+    if merged is not None:
+        return as_timestamps(merged)
+    groups: dict[str, list[str]] = {}
+    for same, frame in _agreeing(reader, sorted(reader.option("mergeSchema", False).parquet(*paths).inputFiles())):
+        groups.setdefault(frame.schema.json(), []).extend(same)
+    frames = [as_timestamps(reader.option("mergeSchema", True).parquet(*same)) for same in groups.values()]
     seen: dict[str, list[T.DataType]] = {}
     for frame in frames:
         for field in frame.schema.fields:
@@ -62,6 +60,26 @@ def read_parquet(spark: SparkSession, *paths: str, by_name: bool = False) -> Dat
                            if target else f for f in frames])
 
 
+def _mergeable(reader, paths: list[str]) -> DataFrame | None:
+    """The files with the union of their columns, or None where a column has two types."""
+    try:
+        return reader.option("mergeSchema", True).parquet(*paths)
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    return None
+
+
+def _agreeing(reader, files: list[str]) -> list[tuple[list[str], DataFrame]]:
+    """Files in stretches whose types agree, by halving: columns that changed a few times over a long
+    series of files take a few merges, each of them a job whose tasks read the footers."""
+    frame = _mergeable(reader, files)
+    if frame is not None:
+        return [(files, frame)]
+    middle = len(files) // 2
+    return _agreeing(reader, files[:middle]) + _agreeing(reader, files[middle:])
+
+
 def widest(types: list[T.DataType]) -> T.DataType:
     """The type that holds the values of all of these."""
     digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
@@ -138,8 +156,10 @@ def read_months(spark: SparkSession, base: str, types: Iterable[str], start: dat
     return concat_frames(*frames)
 
 
-def with_file_name(df: DataFrame) -> DataFrame:
-    return df.withColumn("file_name", F.col("_metadata.file_name"))
+def with_file_name(df: DataFrame, up: int = 0) -> DataFrame:
+    """The name of the file each row comes from, or of the folder that is ``up`` levels above it."""
+    name = F.col("_metadata.file_name") if up == 0 else F.element_at(F.split("_metadata.file_path", "/"), -1 - up)
+    return df.withColumn("file_name", name)
 
 
 def file_stats(df: DataFrame) -> DataFrame:
