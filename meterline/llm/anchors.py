@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from meterline.llm.packs import as_table, cuts, dealt, packed_planes, packed_rising, steps, unpacked_bits, unpacked_planes, unpacked_rising
 from meterline.llm.storage import forget, free, release, stored
 from meterline.llm.textbytes import U, Words, chunks, mix, runs, text_bytes
 
@@ -68,51 +69,6 @@ class Portion:
         return at, runs(self.hashes[0], size)[at]
 
 
-def _dealt(hashes: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray]:
-    """Range of each hash by its value, and 32 bits of its place in the range; both rise with the hash."""
-    n, low = U(ranges), U(0xFFFFFFFF)
-    part = ((hashes >> U(32)) * n + (((hashes & low) * n) >> U(32))) >> U(32)
-    return part.astype(np.int64), ((hashes * n) >> U(32)).astype(np.uint32)
-
-
-def _planes(columns: list[np.ndarray]) -> bytes:
-    """Columns of integers, compressed byte place by byte place."""
-    return pa.compress(b"".join(c.astype(c.dtype.newbyteorder("<")).view(np.uint8).reshape(len(c), c.itemsize).T.tobytes() for c in columns), codec="zstd", asbytes=True)
-
-
-def _columns(packed: bytes, n: int, types: list[str]) -> list[np.ndarray]:
-    sizes = [int(t[-1]) for t in types]
-    if not n:
-        return [np.zeros(0, "<" + t) for t in types]
-    raw = np.frombuffer(pa.decompress(packed, n * sum(sizes), codec="zstd", asbytes=True), np.uint8)
-    ends = np.cumsum(sizes) * n
-    return [np.ascontiguousarray(raw[e - k * n:e].reshape(k, n).T).view("<" + t).ravel() for t, k, e in zip(types, sizes, ends.tolist())]
-
-
-def _steps(rising: np.ndarray) -> np.ndarray:
-    return np.diff(rising, prepend=rising.dtype.type(0))
-
-
-def _pack(rising: np.ndarray) -> bytes:
-    """Rising 32-bit numbers, by their differences."""
-    return _planes([_steps(rising)])
-
-
-def _unpack(packed: bytes, n: int) -> np.ndarray:
-    return np.cumsum(_columns(packed, n, ["u4"])[0], dtype=np.uint32)
-
-
-def _cuts(part: np.ndarray) -> list[tuple[int, int]]:
-    edges = np.flatnonzero(np.diff(part)) + 1
-    return list(zip([0, *edges.tolist()], [*edges.tolist(), len(part)])) if len(part) else []
-
-
-def _batch(schema: str, **columns) -> pa.Table:
-    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
-    fields = [f.strip().split() for f in schema.split(",")]
-    return pa.table([pa.array(columns[name], kinds[kind]) for name, kind in fields], names=[name for name, _ in fields])
-
-
 _SENT = "part int, portion int, n int, hashes binary, often binary, indexed binary"
 
 
@@ -126,27 +82,23 @@ def _send_runs(length: int, ranges: int):
         heads = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1]) != 0) if len(hashes) else np.zeros(0, np.int64)
         size = np.diff(heads, append=len(hashes))
         indexed = np.logical_or.reduceat(block, heads) if len(heads) else block
-        part, local = _dealt(hashes[heads], ranges)
-        cuts = _cuts(part)
-        return _batch(_SENT, part=[int(part[a]) for a, _ in cuts], portion=[rows.column("portion")[0].as_py()] * len(cuts),
-                      n=[b - a for a, b in cuts], hashes=[_pack(local[a:b]) for a, b in cuts],
-                      often=[np.packbits(size[a:b] > 1).tobytes() for a, b in cuts],
-                      indexed=[np.packbits(indexed[a:b]).tobytes() for a, b in cuts])
+        part, local = dealt(hashes[heads], ranges)
+        pieces = cuts(part)
+        return as_table(_SENT, part=[int(part[a]) for a, _ in pieces], portion=[rows.column("portion")[0].as_py()] * len(pieces),
+                      n=[b - a for a, b in pieces], hashes=[packed_rising(local[a:b]) for a, b in pieces],
+                      often=[np.packbits(size[a:b] > 1).tobytes() for a, b in pieces],
+                      indexed=[np.packbits(indexed[a:b]).tobytes() for a, b in pieces])
     return send
 
 
 _ANCHORS = "portion int, part int, anchors binary"
 
 
-def _bits(packed: bytes, n: int) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(packed, np.uint8), count=n).astype(bool)
-
-
 def _find_anchors(rows: pa.Table) -> pa.Table:
     """What each portion of a range's runs has of its anchors."""
     n = rows.column("n").to_numpy()
-    each = [_unpack(p, k) for p, k in zip(rows.column("hashes").to_pylist(), n.tolist())]
-    often, indexed = (np.concatenate([_bits(p, k) for p, k in zip(rows.column(c).to_pylist(), n.tolist())]) for c in ("often", "indexed"))
+    each = [unpacked_rising(p, k) for p, k in zip(rows.column("hashes").to_pylist(), n.tolist())]
+    often, indexed = (np.concatenate([unpacked_bits(p, k) for p, k in zip(rows.column(c).to_pylist(), n.tolist())]) for c in ("often", "indexed"))
     hashes = np.concatenate(each)
     values, which = np.unique(hashes, return_inverse=True)
     seen = np.bincount(which, weights=1.0 + often, minlength=len(values))
@@ -155,7 +107,7 @@ def _find_anchors(rows: pa.Table) -> pa.Table:
     ends = np.cumsum(n)
     found = [h[anchor[e - k:e]].astype("<u4") for h, e, k in zip(each, ends.tolist(), n.tolist())]
     some = [i for i, f in enumerate(found) if len(f)]
-    return _batch(_ANCHORS, portion=rows.column("portion").take(some).to_pylist(), part=rows.column("part").take(some).to_pylist(),
+    return as_table(_ANCHORS, portion=rows.column("portion").take(some).to_pylist(), part=rows.column("part").take(some).to_pylist(),
                   anchors=[found[i].tobytes() for i in some])
 
 
@@ -171,14 +123,14 @@ _ROW = np.dtype([("id", "i8"), ("null", "i4"), ("hash", "i8")])
 def _packed(w: np.ndarray) -> bytes:
     """Windows in the order of their first digest, or places in any order."""
     if "a" in w.dtype.names:
-        return _planes([_steps(w["a"]), *(w[c] for c in ("b", "id", "start", "row"))])
+        return packed_planes([steps(w["a"]), *(w[c] for c in ("b", "id", "start", "row"))])
     w = w[np.lexsort((w["start"], w["row"]))]
-    return _planes([w["row"], w["start"]])
+    return packed_planes([w["row"], w["start"]])
 
 
 def _unpacked(packed: bytes, n: int, dtype: np.dtype) -> np.ndarray:
     out = np.zeros(n, dtype)
-    for name, column in zip(dtype.names, _columns(packed, n, [dtype[c].str[1:] for c in dtype.names])):
+    for name, column in zip(dtype.names, unpacked_planes(packed, n, [dtype[c].str[1:] for c in dtype.names])):
         out[name] = np.cumsum(column, dtype=np.uint64) if name == "a" else column
     return out
 
@@ -199,7 +151,7 @@ def _extend_anchors(length: int, ranges: int):
     """The windows of a portion that hold an anchor: its earliest of each sequence to send, the others known."""
     def extend(rows: pa.Table, answers: pa.Table) -> pa.Table:
         if not rows.num_rows or not answers.num_rows:
-            return _batch(_WINDOWS, part=[], portion=[], kind=[], n=[], body=[])
+            return as_table(_WINDOWS, part=[], portion=[], kind=[], n=[], body=[])
         portion = Portion(rows.column("text"), 2)
         name = rows.column("portion")[0].as_py()
         ids = rows.column("doc_id").combine_chunks()
@@ -208,7 +160,7 @@ def _extend_anchors(length: int, ranges: int):
         anchors = np.sort(np.concatenate([(U(p) << U(32)) | np.frombuffer(body, "<u4").astype(np.uint64)
                                           for p, body in zip(answers.column("part").to_pylist(), answers.column("anchors").to_pylist())]))
         at, hashes = portion.probes(length)
-        part, local = _dealt(hashes, ranges)
+        part, local = dealt(hashes, ranges)
         code = (part.astype(np.uint64) << U(32)) | local
         near = np.searchsorted(anchors, code)
         hit = at[anchors[np.minimum(near, len(anchors) - 1)] == code]
@@ -224,13 +176,13 @@ def _extend_anchors(length: int, ranges: int):
         w = _ordered(w)
         first = _earliest(w)
         sent, known = w[first], w[~first]
-        part, _ = _dealt(sent["a"], ranges)
-        cuts = _cuts(part)
+        part, _ = dealt(sent["a"], ranges)
+        pieces = cuts(part)
         own = np.zeros(rows.num_rows, _ROW)
         own["id"], own["null"], own["hash"] = ids, missing, rows.column("text_hash").to_numpy()
-        return _batch(_WINDOWS, part=[*(int(part[a]) for a, _ in cuts), name % ranges, name % ranges], portion=[name] * (len(cuts) + 2),
-                      kind=[_SEND] * len(cuts) + [_KNOWN, _ROWS], n=[*(b - a for a, b in cuts), len(known), len(own)],
-                      body=[*(_packed(sent[a:b]) for a, b in cuts), _packed(known[["row", "start"]]), own.tobytes()])
+        return as_table(_WINDOWS, part=[*(int(part[a]) for a, _ in pieces), name % ranges, name % ranges], portion=[name] * (len(pieces) + 2),
+                      kind=[_SEND] * len(pieces) + [_KNOWN, _ROWS], n=[*(b - a for a, b in pieces), len(known), len(own)],
+                      body=[*(_packed(sent[a:b]) for a, b in pieces), _packed(known[["row", "start"]]), own.tobytes()])
     return extend
 
 
@@ -249,12 +201,12 @@ def _answer_windows(rows: pa.Table) -> pa.Table:
         order = np.lexsort((w["start"], w["id"], w["b"], w["a"]))
         late = order[~_earliest(w[order])]
         late = late[np.argsort(home[late], kind="stable")]
-        for a, b in _cuts(home[late]):
+        for a, b in cuts(home[late]):
             out["portion"].append(int(home[late[a]]))
             out["kind"].append(_KNOWN)
             out["n"].append(b - a)
             out["body"].append(_packed(w[["row", "start"]][late[a:b]]))
-    return _batch(_ANSWER, **out)
+    return as_table(_ANSWER, **out)
 
 
 _SPANS = "doc_id long, text_hash long, spans array<struct<b:int,e:int>>"
@@ -272,9 +224,9 @@ def _spans(length: int):
         heads = np.flatnonzero(new)
         tails = np.append(heads[1:], len(at)) - 1 if len(heads) else heads
         row, begin, end = at["row"][heads], at["start"][heads], at["start"][tails] + length
-        cuts = _cuts(row)
-        mine = own[[int(row[a]) for a, _ in cuts]] if cuts else own[:0]
-        places = pa.array([0, *(b for _, b in cuts)], pa.int32())
+        pieces = cuts(row)
+        mine = own[[int(row[a]) for a, _ in pieces]] if pieces else own[:0]
+        places = pa.array([0, *(b for _, b in pieces)], pa.int32())
         spans = pa.ListArray.from_arrays(places, pa.StructArray.from_arrays([pa.array(begin.astype(np.int32)), pa.array(end.astype(np.int32))], names=["b", "e"]))
         return pa.table([pa.array(mine["id"].astype(np.int64), mask=mine["null"] != 0), pa.array(mine["hash"].astype(np.int64)), spans],
                         names=["doc_id", "text_hash", "spans"])
@@ -288,13 +240,13 @@ def repeated_spans(docs: DataFrame, length: int = 20) -> DataFrame:
     """
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     portions, ranges = 1 + size // PORTION, 1 + size // RANGE
-    dealt = (docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    portioned = (docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
              .withColumn("portion", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(portions)).cast("int")))
-    dealt = dealt.repartition("portion").dropDuplicates(["portion", "doc_id", "text_hash"])
-    anchors = stored(dealt.select("portion", "text").groupBy("portion").applyInArrow(_send_runs(length, ranges), _SENT)
+    portioned = portioned.repartition("portion").dropDuplicates(["portion", "doc_id", "text_hash"])
+    anchors = stored(portioned.select("portion", "text").groupBy("portion").applyInArrow(_send_runs(length, ranges), _SENT)
                      .groupBy("part").applyInArrow(_find_anchors, _ANCHORS), "anchors")
     release(docs.sparkSession)
-    windows = dealt.groupBy("portion").cogroup(anchors.groupBy("portion")).applyInArrow(_extend_anchors(length, ranges), _WINDOWS)
+    windows = portioned.groupBy("portion").cogroup(anchors.groupBy("portion")).applyInArrow(_extend_anchors(length, ranges), _WINDOWS)
     out = stored(windows.groupBy("part").applyInArrow(_answer_windows, _ANSWER)
                  .groupBy("portion").applyInArrow(_spans(length), _SPANS), "repeated-spans")
     forget(anchors)

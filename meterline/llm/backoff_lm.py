@@ -1,21 +1,24 @@
 """Language-model scores with a weighted backoff automaton.
 
-Counts come from all training texts. An n-gram is kept if it occurs twice, at any input size. In the automaton of
-the kept n-grams a state is a context with kept continuations, an arc is a continuation with its discounted
-probability, a failure arc leads to the longest shorter context with the backoff weight that makes probabilities
-add up to one. The automaton is a table, never gathered in one place. Its logarithms are laid on the n-grams: a
-kept n-gram has its arc, less the arc of its suffix and the failure weight of its prefix, which the shorter n-grams
-at the same place have added, plus its own failure weight, which whatever follows it takes. The sum over all
-n-grams of a text is then exactly what its traversal adds up to.
-
-N-grams are 64-bit hashes, dealt by hash to parts whose number grows with the text. A task adds up equal n-grams
-before it hands them on; the n-grams of the texts meet the table part by part.
-
-At the root every word counts with its additively smoothed unigram probability.
-
-Null and empty texts are the end token alone. Repeated rows are counted and scored each. Without any training
-token the unknown word has all the probability, so every score is 0. An empty table gives no rows. Extra
-columns are not looked at.
+Counts come from all training texts. An n-gram is kept if it occurs twice, at any input size; every word is kept.
+In the automaton of the kept n-grams a state is a context of up to two tokens, an arc a kept n-gram with its
+discounted probability, and a failure arc leads to the context without its first token, with the backoff weight that
+makes probabilities add up to one. At the root every word counts with its additively smoothed unigram probability.
+Every text is walked once from left to right: the walk carries the state, takes the arc of the next token or failure
+arcs until there is one, and adds up their logarithms.
+
+The automaton grows with the input and is never in one place. Documents are dealt to portions of bounded text, n-gram
+hashes (64 bits) to ranges. A portion sends each of its distinct n-grams once, with its count, and is told which are
+kept, with their total; so an n-gram that is everywhere arrives once per portion. Words and pairs go first, triples
+only where both of their pairs are kept. Each kept n-gram has one owning portion, which adds its probability to its
+context; the contexts' sums, again by range, give the failure weights, and every portion gets those of its own
+contexts. Then it holds the part of the automaton that its texts can reach, and walks them. What is sent is packed as
+sorted, delta-coded hashes; what is answered is a bit and a number per hash sent, in the same order.
+
+Null and empty texts are the end token alone. Repeated rows are counted and scored each; rows that repeat id and text
+are held once with their number. A null id is scored like any other. Without any training token the unknown word has
+all the probability, so every score is 0. A very long text is a portion of its own, in memory of about a hundred bytes
+for each of its tokens. An empty table gives no rows. Extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -25,20 +28,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from meterline.llm.storage import stored
+from meterline.llm.packs import as_table, cuts, dealt, packed_planes, steps, unpacked_bits, unpacked_planes
+from meterline.llm.storage import forget, release, stored
 from meterline.llm.textbytes import U, Words, chunks, mix, text_bytes
 
 ORDER = 3
 DISCOUNT = 0.5
 ADDED = 0.1  # to every count at the root
 END = -0x5851F42D4C957F2D  # stands for the end of a text among the word hashes
-HELD = 1 << 19  # tokens a task holds before it hands their n-grams on
-PART_BYTES = 1 << 24  # text for each part of the n-grams
+PORTION = 8 << 20  # bytes of text per portion
+STRETCH = 1024  # tokens walked on end
+RANGE = 24 << 20  # bytes of text whose n-grams one range adds up
 _STEP = U(0x9E3779B97F4A7C15)
 
 
@@ -63,167 +68,280 @@ def gram_keys(word: np.ndarray, first: np.ndarray, orders: int) -> tuple[list[np
     return keys, np.arange(len(word)) - np.repeat(first[:-1], np.diff(first))
 
 
-def joined(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens and row begins of several chunks as of one."""
-    lengths = np.concatenate([np.diff(first) for _, first in held])
-    return np.concatenate([found for found, _ in held]), np.concatenate([[0], np.cumsum(lengths)])
-
-
-def _dealt(key: np.ndarray, parts: int, columns: list[np.ndarray]) -> tuple[np.ndarray, list[pa.Array]]:
-    """The parts that have keys, and for each of them the bytes of its key and other columns."""
-    part = key.view(np.int64) % parts
-    order = np.argsort(part, kind="stable")
-    present, begin = np.unique(part[order], return_index=True)
-    cuts = [*begin.tolist(), len(key)]
-    sorted_columns = [c[order] for c in (key, *columns)]
-    return present, [pa.array([c[i:j].tobytes() for i, j in zip(cuts, cuts[1:])], pa.binary()) for c in sorted_columns]
-
-
-def _numbers(column: pa.ChunkedArray, kind) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), kind)
-
-
-def _counted(orders: int, parts: int):
-    """Each portion's n-grams by part: hash, hash of prefix and suffix, order, occurrences."""
-    def emit(held):
-        keys, at = gram_keys(*joined(held), orders)
-        out = []
-        for k, key in enumerate(keys):
-            fit = np.flatnonzero(at >= k)
-            value, place, n = np.unique(key[fit], return_index=True, return_counts=True)
-            spot = fit[place]
-            before, after = (keys[k - 1][spot - 1], keys[k - 1][spot]) if k else (np.zeros(len(spot), np.uint64),) * 2
-            out.append((value, before, after, np.full(len(spot), k + 1, np.int8), n.astype(np.int32)))
-        key, *columns = (np.concatenate(c) for c in zip(*out))
-        present, blobs = _dealt(key, parts, columns)
-        return pa.RecordBatch.from_arrays([pa.array(present, pa.int64()), *blobs], names=["part", "k", "p", "s", "o", "n"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, waiting = [], 0
-        for batch in batches:
-            for found, first in tokens(batch.column(0)):
-                held.append((found, first))
-                waiting += len(found)
-                if waiting >= HELD:
-                    yield emit(held)
-                    held, waiting = [], 0
-        if held:
-            yield emit(held)
-    return run
-
-
-def _added_up(group: pa.Table) -> pa.Table:
-    """One part's n-grams that occur twice, and all its words."""
-    key, n = _numbers(group.column("k"), np.int64), _numbers(group.column("n"), np.int32)
-    value, place, back = np.unique(key, return_index=True, return_inverse=True)
-    n = np.bincount(back, weights=n, minlength=len(value)).astype(np.int64)
-    order = _numbers(group.column("o"), np.int8)[place]
-    keep = (n >= 2) | (order == 1)
-    p, s = (_numbers(group.column(c), np.int64)[place][keep] for c in ("p", "s"))
-    return pa.table({"k": value[keep], "p": p, "s": s, "o": order[keep].astype(np.int32), "n": n[keep]})
-
-
-def _asked(orders: int, parts: int, kind: pa.DataType):
-    """Each portion's n-gram occurrences by part: hash and row; one part has the rows' ids and lengths as well."""
-    def emit(held, ids, row):
-        word, first = joined(held)
-        keys, at = gram_keys(word, first, orders)
-        of = np.repeat(np.arange(len(first) - 1, dtype=np.uint32), np.diff(first))
-        fits = [np.flatnonzero(at >= k) for k in range(orders)]
-        present, blobs = _dealt(np.concatenate([key[f] for key, f in zip(keys, fits)]), parts, [np.concatenate([of[f] for f in fits])])
-        own = row % len(present)
-        none = [None] * len(present)
-        rows = [pa.array([*none[:own], x, *none[own + 1:]], pa.list_(t))
-                for x, t in ((ids, kind), (np.diff(first).tolist(), pa.int64()))]
-        return pa.RecordBatch.from_arrays([pa.array(present, pa.int64()), pa.array([row] * len(present), pa.int64()), *blobs, *rows],
-                                          names=["part", "first", "k", "of", "ids", "lengths"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row = TaskContext.get().partitionId() << 33
-        held, ids, waiting = [], [], 0
-        for batch in batches:
-            at, names = 0, batch.column(0).to_pylist()
-            for found, first in tokens(batch.column(1)):
-                held.append((found, first))
-                ids += names[at:at + len(first) - 1]
-                at += len(first) - 1
-                waiting += len(found)
-                if waiting >= HELD:
-                    yield emit(held, ids, row)
-                    row += len(ids)
-                    held, ids, waiting = [], [], 0
-        if held:
-            yield emit(held, ids, row)
-    return run
+class Distinct:
+    """The distinct n-grams of one order among a portion's tokens, in the order of their hashes.
 
+    ``of`` is the number among them of the n-gram that ends at each token, or their count where none does.
+    """
 
-def _answered(kind: pa.DataType):
-    """What one part's n-grams add to each row."""
-    def run(asked: pa.Table, values: pa.Table) -> pa.Table:
-        out = []
-        if values.num_rows:
-            key = values.column("k").to_numpy()
-            value, back = np.unique(key, return_inverse=True)
-            known, base, more = (np.bincount(back, weights=values.column(c).to_numpy(), minlength=len(value)) for c in ("known", "base", "more"))
-        for r in asked.to_pylist():
-            if r["ids"] is not None:
-                rows, zero = np.arange(len(r["ids"])) + r["first"], np.zeros(len(r["ids"]))
-                out.append((rows, pa.array(r["ids"], kind), np.array(r["lengths"], np.int64), zero, zero, zero))
-            if values.num_rows:
-                k, of = np.frombuffer(r["k"], np.int64), np.frombuffer(r["of"], np.uint32)
-                place = np.minimum(np.searchsorted(value, k), len(value) - 1)
-                hit = value[place] == k
-                row, at = np.unique(of[hit], return_inverse=True)
-                sums = [np.bincount(at, weights=x[place[hit]], minlength=len(row)) for x in (known, base, more)]
-                out.append((row.astype(np.int64) + r["first"], pa.nulls(len(row), kind), np.zeros(len(row), np.int64), *sums))
-        types = (pa.int64(), kind, pa.int64(), pa.float64(), pa.float64(), pa.float64())
-        return pa.table([pa.chunked_array([pa.array(x) if isinstance(x, np.ndarray) else x for x in c], t) for c, t in zip(zip(*out), types)]
-                        if out else [pa.array([], t) for t in types], names=["row", "doc_id", "n_tokens", "known", "base", "more"])
+    def __init__(self, keys: np.ndarray, fit: np.ndarray):
+        self.at = np.flatnonzero(fit)
+        self.keys, self.head, which = np.unique(keys[self.at], return_index=True, return_inverse=True)
+        self.head = self.at[self.head]  # a token at which each ends
+        self.of = np.full(len(keys), len(self.keys))
+        self.of[self.at] = which
+
+    def counted(self, weight: np.ndarray) -> np.ndarray:
+        return np.bincount(self.of[self.at], weights=weight[self.at], minlength=len(self.keys)).astype(np.uint64)
+
+
+_SENT = "part int, portion int, ord int, n int, keys binary, numbers binary"
+_KEPT = "portion int, part int, ord int, n int, kept binary, owned binary, numbers binary, total long, kinds long"
+_WEIGHTS = "portion int, part int, ord int, n int, kept binary, numbers binary"
+
+
+def _sent(name: int, ranges: int, keys: list[tuple[int, np.ndarray, list[np.ndarray]]]) -> pa.Table:
+    """Rising hashes of some orders with numbers of each, by range."""
+    out = {c: [] for c in ("part", "portion", "ord", "n", "keys", "numbers")}
+    for order, key, numbers in keys:
+        part, _ = dealt(key, ranges)
+        for a, b in cuts(part):
+            for c, value in zip(out, (int(part[a]), name, order, b - a, packed_planes([steps(key[a:b])]), packed_planes([x[a:b] for x in numbers]))):
+                out[c].append(value)
+    return as_table(_SENT, **out)
+
+
+def _received(group: pa.Table, types: list[str]) -> Iterator[tuple[int, list[int], np.ndarray, np.ndarray, list[np.ndarray]]]:
+    """By order: its rows in the group, where each one's hashes end, all hashes, and the numbers with them."""
+    given = group.to_pydict()
+    for order in sorted(set(given["ord"])):
+        rows = [i for i, o in enumerate(given["ord"]) if o == order]
+        keys = [np.cumsum(unpacked_planes(given["keys"][i], given["n"][i], ["u8"])[0], dtype=np.uint64) for i in rows]
+        numbers = [unpacked_planes(given["numbers"][i], given["n"][i], types) for i in rows]
+        yield order, rows, np.cumsum([len(k) for k in keys]), np.concatenate(keys), [np.concatenate(c) for c in zip(*numbers)]
+
+
+def _add_up(group: pa.Table) -> pa.Table:
+    """Which of each portion's n-grams are kept, their totals, and which of them it owns; also the words of the range."""
+    out = {c.split()[0]: [] for c in _KEPT.split(", ")}
+    for order, rows, ends, keys, (n,) in _received(group, ["u8"]):
+        value, head, which = np.unique(keys, return_index=True, return_inverse=True)
+        total = np.bincount(which, weights=n, minlength=len(value)).astype(np.uint64)
+        keep = (total >= (1 if order == 1 else 2))[which]
+        own = np.zeros(len(keys), bool)
+        own[head] = True
+        for i, a, b in zip(rows, [0, *ends.tolist()], ends.tolist()):
+            mine = keep[a:b]
+            for c, x in zip(out, (group["portion"][i].as_py(), group["part"][i].as_py(), order, b - a, np.packbits(mine).tobytes(),
+                                  np.packbits(own[a:b][mine]).tobytes(), packed_planes([total[which[a:b][mine]]]), None, None)):
+                out[c].append(x)
+        if order == 1:
+            for c, x in zip(out, (-1, 0, 0, 0, b"", b"", b"", int(total.sum()), int((total > 0).sum()))):
+                out[c].append(x)
+    return as_table(_KEPT, **out)
+
+
+def _weigh(group: pa.Table) -> pa.Table:
+    """The failure weight of each context that a portion sent, where it has arcs at all."""
+    out = {c.split()[0]: [] for c in _WEIGHTS.split(", ")}
+    for order, rows, ends, keys, sums in _received(group, ["f8", "f8"]):
+        value, which = np.unique(keys, return_inverse=True)
+        above, below = (np.bincount(which, weights=x, minlength=len(value)) for x in sums)
+        weight = np.log10(np.maximum(1 - above, 1e-12) / np.maximum(1 - below, 1e-12))
+        arcs = above > 0
+        for i, a, b in zip(rows, [0, *ends.tolist()], ends.tolist()):
+            own = which[a:b]
+            mine = arcs[own]
+            for c, x in zip(out, (group["portion"][i].as_py(), group["part"][i].as_py(), order, b - a, np.packbits(mine).tobytes(),
+                                  packed_planes([weight[own][mine]]))):
+                out[c].append(x)
+    return as_table(_WEIGHTS, **out)
+
+
+def _answer(answers: pa.Table, order: int, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For the hashes a portion sent of an order: whether kept, the numbers of those kept, and whether owned."""
+    given = answers.to_pydict()
+    rows = sorted((i for i, o in enumerate(given["ord"]) if o == order), key=lambda i: given["part"][i])
+    none = np.zeros(0, bool)
+    kept = [unpacked_bits(given["kept"][i], given["n"][i]) for i in rows]
+    numbers = [unpacked_planes(given["numbers"][i], int(k.sum()), [kind])[0] for i, k in zip(rows, kept)]
+    owned = [unpacked_bits(given["owned"][i], int(k.sum())) if given.get("owned", [None])[0] is not None else none for i, k in zip(rows, kept)]
+    return tuple(np.concatenate([empty, *x]) for empty, x in ((none, kept), (np.zeros(0, "<" + kind), numbers), (none, owned)))
+
+
+class Portion:
+    """A portion's tokens, its distinct n-grams, and what it was told of them."""
+
+    def __init__(self, rows: pa.Table, answers: pa.Table | None, orders: int):
+        held = list(tokens(rows.column("text")))
+        lengths = np.concatenate([np.zeros(0, np.int64), *(np.diff(first) for _, first in held)])
+        self.first = np.concatenate([[0], np.cumsum(lengths)])
+        word = np.concatenate([np.zeros(0, np.int64), *(found for found, _ in held)])
+        self.keys, self.place = gram_keys(word, self.first, orders)
+        self.row = np.repeat(np.arange(len(lengths)), lengths)
+        self.weight = np.where(rows.column("train").to_numpy(), rows.column("copies").to_numpy(), 0)[self.row]
+        self.grams, self.total, self.owned = [], [], []
+        for order in range(1, orders + 1):
+            if order > 2:
+                if not self._learnt(order - 1):
+                    break
+                pairs = self.total[-1][self.grams[-1].of] > 0
+                fit = (self.place >= order - 1) & pairs & np.concatenate([[False], pairs[:-1]])
+            else:
+                fit = self.place >= order - 1
+            self.grams.append(Distinct(self.keys[order - 1], fit))
+            if answers is not None:
+                kept, numbers, owned = _answer(answers, order, "u8")
+                if len(kept) == len(self.grams[-1].keys):
+                    total, own = np.zeros(len(kept) + 1), np.zeros(len(kept), bool)  # the last stands for no n-gram
+                    total[:-1][kept] = numbers
+                    own[kept] = owned
+                    self.total.append(total)
+                    self.owned.append(own)
+
+    def _learnt(self, order: int) -> bool:
+        return len(self.total) >= order
+
+    def totals(self, order: int) -> np.ndarray:
+        """How often the n-gram that ends at each token occurs in all, 0 if it is not kept."""
+        return self.total[order - 1][self.grams[order - 1].of]
+
+
+def _send_grams(orders: tuple[int, ...], most: int, ranges: int):
+    """The portion's distinct n-grams of these orders, of a first pass or with what is known of the shorter ones."""
+    def send(rows: pa.Table, answers: pa.Table | None) -> pa.Table:
+        if not rows.num_rows:
+            return _sent(0, ranges, [])
+        portion = Portion(rows, answers, most)
+        return _sent(rows.column("portion")[0].as_py(), ranges, [
+            (k, portion.grams[k - 1].keys, [portion.grams[k - 1].counted(portion.weight)]) for k in orders if k <= len(portion.grams)])
+
+    def first(rows: pa.Table) -> pa.Table:
+        return send(rows, None)
+
+    def later(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        return send(rows, answers)
+    return first if min(orders) == 1 else later
+
+
+def _root(n: np.ndarray, total: int, kinds: int) -> np.ndarray:
+    return np.log10((n + ADDED) / (total + ADDED * (kinds + 1)))
+
+
+def _send_contexts(orders: int, ranges: int, total: int, kinds: int):
+    """Of every context of a portion the probabilities of the arcs it owns, above and below the failure arc."""
+    def send(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return _sent(0, ranges, [])
+        portion, out = Portion(rows, answers, orders), []
+        count = [portion.totals(k) for k in range(1, len(portion.total) + 1)]
+        lower = 10 ** _root(count[0], total, kinds)
+        for k in range(2, len(count) + 1):
+            here, context = portion.grams[k - 1], portion.grams[k - 2]
+            at = here.head[portion.owned[k - 1] & (portion.total[k - 1][:-1] > 0)]  # each owned arc, at one of its tokens
+            above = (count[k - 1][at] - DISCOUNT) / count[k - 2][at - 1]
+            sums = [np.bincount(context.of[at - 1], weights=x, minlength=len(context.keys) + 1)[:-1] for x in (above, lower[at])]
+            kept = portion.total[k - 2][:-1] > 0
+            out.append((k - 1, context.keys[kept], [x[kept] for x in sums]))
+            share = np.zeros(len(portion.place))
+            known = count[k - 1] > 0
+            share[known] = (count[k - 1][known] - DISCOUNT) / count[k - 2][np.flatnonzero(known) - 1]
+            lower = share
+        return _sent(rows.column("portion")[0].as_py(), ranges, out)
+    return send
+
+
+def walk(first: np.ndarray, arcs: list[np.ndarray], fails: list[np.ndarray], states: list[np.ndarray]) -> np.ndarray:
+    """The log probability of every text, walked from left to right.
+
+    ``arcs[k]`` is the logarithm of the arc of the token after a context of k tokens, NaN where there is none, but
+    always there for the root; ``fails[k]`` the failure weight of each context of k + 1 tokens, and 0 as its last;
+    ``states[k]`` the context of k + 1 tokens that ends at each token, or the last. All texts advance together; a
+    text goes on in stretches, each of which begins in the state that the token before it left.
+    """
+    length = np.diff(first)
+    pieces = -(-length // STRETCH)
+    nth = np.arange(int(pieces.sum())) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    begin = np.repeat(first[:-1], pieces) + nth * STRETCH
+    size = np.minimum(np.repeat(first[1:], pieces) - begin, STRETCH)
+    order = np.argsort(-size, kind="stable")  # those with a next token are the first ones
+    at, left = begin[order], -size[order]
+    fresh = nth[order] == 0  # at the root there is no context
+    state = [np.where(fresh, len(f) - 1, s[np.maximum(at - 1, 0)]) for f, s in zip(fails, states)]
+    score = np.zeros(len(at))
+    for t in range(int(size.max(initial=0))):
+        m = int(np.searchsorted(left, -t, "left"))
+        here = at[:m] + t
+        step = arcs[0][here]
+        for k, fail in enumerate(fails):
+            arc = arcs[k + 1][here]
+            step = np.where(np.isnan(arc), fail[state[k][:m]] + step, arc)
+        score[:m] += step
+        state = [s[here] for s in states]
+    out = np.empty(len(score))
+    out[order] = score
+    return np.add.reduceat(out, np.cumsum(pieces) - pieces) if len(length) else out
+
+
+def _walked(orders: int, total: int, kinds: int, kind: pa.DataType):
+    names = ["doc_id", "copies", "n_tokens", "n_known", "base_score", "score"]
+
+    def run(rows: pa.Table, told: pa.Table) -> pa.Table:
+        if not rows.num_rows:
+            return pa.table([pa.array([], t) for t in (kind, *[pa.int64()] * 3, *[pa.float64()] * 2)], names=names)
+        with_totals = pc.is_valid(told.column("owned"))
+        portion = Portion(rows, told.filter(with_totals), orders)
+        weights = told.filter(pc.invert(with_totals))
+        count = [portion.totals(k) for k in range(1, len(portion.total) + 1)]
+        root = _root(count[0], total, kinds)
+        arcs, fails, states = [root], [], []
+        for k in range(2, len(count) + 1):
+            known = np.flatnonzero(count[k - 1] > 0)
+            arc = np.full(len(root), np.nan)
+            arc[known] = np.log10((count[k - 1][known] - DISCOUNT) / count[k - 2][known - 1])
+            arcs.append(arc)
+            context = portion.grams[k - 2]
+            kept, number, _ = _answer(weights, k - 1, "f8")
+            sent = np.flatnonzero(portion.total[k - 2][:-1] > 0)
+            fail = np.zeros(len(context.keys) + 1)
+            fail[sent[kept]] = number
+            fails.append(fail)
+            states.append(context.of)
+        n = np.diff(portion.first)
+        sums = lambda x: np.add.reduceat(x, portion.first[:-1])  # every text has a token
+        return pa.table([rows.column("doc_id"), rows.column("copies"), pa.array(n), pa.array(sums((count[0] > 0).astype(np.int64))),
+                         pa.array(sums(root)), pa.array(walk(portion.first, arcs, fails, states))], names=names)
     return run
 
 
-def values_of(grams: DataFrame, total: int, kinds: int, orders: int, least: int) -> DataFrame:
-    """k, known, base, more: what each n-gram adds where it occurs; rows of one n-gram add up."""
-    zero = F.lit(0.0)
-    root = F.log10((F.col("n") + ADDED) / F.lit(total + ADDED * (kinds + 1)))
-    words = grams.where("o = 1").select("k", "n", root.alias("log"))
-    out = words.select("k", F.lit(1.0).alias("known"), F.col("log").alias("base"), F.col("log").alias("more"))
-    below = words
-    for k in range(2, orders + 1):
-        mine = grams.where((F.col("o") == k) & (F.col("n") >= least)).select("k", "p", "s", "n")
-        arcs = stored(mine.join(below.select(F.col("k").alias("s"), F.col("log").alias("lower")), "s")
-                      .join(below.select(F.col("k").alias("p"), F.col("n").alias("of")), "p")
-                      .select("k", "p", "n", "lower", F.log10((F.col("n") - DISCOUNT) / F.col("of")).alias("log")), f"arcs-{k}")
-        left = lambda c: F.greatest(1 - F.sum(F.pow(F.lit(10.0), c)), F.lit(1e-12))
-        fail = stored(arcs.groupBy("p").agg(F.log10(left("log") / left("lower")).alias("fail")), f"fail-{k}")
-        out = (out.unionByName(fail.select(F.col("p").alias("k"), zero.alias("known"), zero.alias("base"), F.col("fail").alias("more")))
-               .unionByName(arcs.join(fail, "p").select("k", zero.alias("known"), zero.alias("base"),
-                                                        (F.col("log") - F.col("lower") - F.col("fail")).alias("more"))))
-        below = arcs
-    return out
-
-
-def score(docs: DataFrame, training, orders: int = ORDER, share: float = 0.0) -> DataFrame:
+def score(docs: DataFrame, training, orders: int = ORDER) -> DataFrame:
     """Score every row of ``docs`` (doc_id, text); ``training`` is the condition on doc_id of those to learn from.
 
-    Returns doc_id, n_tokens, n_known, train_tokens, base_score, score. A ``share`` keeps only longer n-grams of
-    that relative frequency; the queries set none.
+    Returns doc_id, n_tokens, n_known, train_tokens, base_score, score.
     """
+    spark = docs.sparkSession
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
-    blobs = "part long, k binary, p binary, s binary, o binary, n binary"
-    grams = stored(docs.where(training).select("text").mapInArrow(_counted(orders, parts), blobs)
-                   .groupBy("part").applyInArrow(_added_up, "k long, p long, s long, o int, n long"), "grams")
-    sizes = grams.where("o = 1").agg(F.sum("n").alias("total"), F.count("*").alias("kinds")).first()
-    total, kinds = sizes["total"] or 0, sizes["kinds"]
-    values = values_of(grams, total, kinds, orders, max(2, math.ceil(share * total))).withColumn("part", F.pmod("k", F.lit(parts)))
+    portions, ranges = 1 + size // PORTION, 1 + size // RANGE
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select("doc_id", text.alias("text"), F.coalesce(training, F.lit(False)).alias("train"))
+    rows = rows.withColumns({"hash": F.xxhash64("text"), "portion": F.pmod(F.xxhash64("doc_id", "text"), F.lit(portions)).cast("int")})
+    rows = (rows.repartition("portion").groupBy("portion", "doc_id", "hash")
+            .agg(F.first("text").alias("text"), F.first("train").alias("train"), F.count("*").alias("copies")).drop("hash"))
+    learning = rows.select("portion", "text", "train", "copies").groupBy("portion")
+
+    counted = learning.applyInArrow(_send_grams((1, 2), 2, ranges), _SENT)
+    answers = stored(counted.groupBy("part").applyInArrow(_add_up, _KEPT), "kept-1")
+    release(spark)
+    words = answers.agg(F.sum("total").alias("total"), F.sum("kinds").alias("kinds")).first()
+    total, kinds = words["total"] or 0, words["kinds"] or 0
+    tables = [answers]
+    answers = answers.where("portion >= 0")
+    for k in range(3, orders + 1):
+        counted = learning.cogroup(answers.groupBy("portion")).applyInArrow(_send_grams((k,), k, ranges), _SENT)
+        tables.append(stored(counted.groupBy("part").applyInArrow(_add_up, _KEPT), f"kept-{k}"))
+        release(spark)
+        answers = answers.unionByName(tables[-1].where("portion >= 0"))
+    contexts = learning.cogroup(answers.groupBy("portion")).applyInArrow(_send_contexts(orders, ranges, total, kinds), _SENT)
+    weights = stored(contexts.groupBy("part").applyInArrow(_weigh, _WEIGHTS), "weights")
+    release(spark)
+    told = answers.unionByName(weights, allowMissingColumns=True)
     kind = dict(docs.dtypes)["doc_id"]
-    arrow = to_arrow_type(docs.schema["doc_id"].dataType)
-    asked = docs.select("doc_id", "text").mapInArrow(
-        _asked(orders, parts, arrow), f"part long, first long, k binary, of binary, ids array<{kind}>, lengths array<long>")
-    sums = (asked.groupBy("part").cogroup(values.groupBy("part"))
-            .applyInArrow(_answered(arrow), f"row long, doc_id {kind}, n_tokens long, known double, base double, more double")
-            .groupBy("row").agg(F.max("doc_id").alias("doc_id"), *(F.sum(c).alias(c) for c in ("n_tokens", "known", "base", "more"))))
-    unknown = (F.col("n_tokens") - F.col("known")) * math.log10(ADDED / (total + ADDED * (kinds + 1)))
-    return sums.select("doc_id", "n_tokens", F.round("known").cast("long").alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-                       (F.col("base") + unknown).alias("base_score"), (F.col("more") + unknown).alias("score"))
+    walked = rows.groupBy("portion").cogroup(told.groupBy("portion")).applyInArrow(
+        _walked(orders, total, kinds, to_arrow_type(docs.schema["doc_id"].dataType)),
+        f"doc_id {kind}, copies long, n_tokens long, n_known long, base_score double, score double")
+    scored = stored(walked, "scored")
+    for table in (*tables, weights):
+        forget(table)
+    release(spark)
+    return (scored.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
+            .select("doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"))

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import types as T
 
-from meterline.llm import anchors, filter_audit, importance
+from meterline.llm import anchors, filter_audit, importance, packs
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -169,9 +169,9 @@ def test_repeats_of_empty_tables(docs):
 
 def test_packed_hashes_come_back():
     values = np.sort(np.random.default_rng(3).integers(0, 1 << 32, 5000).astype(np.uint32))
-    assert (anchors._unpack(anchors._pack(values), 5000) == values).all()
+    assert (packs.unpacked_rising(packs.packed_rising(values), 5000) == values).all()
     hashes = np.sort(np.random.default_rng(4).integers(0, 1 << 63, 5000).astype(np.uint64) * np.uint64(2))
     for ranges in (1, 7, 1000):
-        part, local = anchors._dealt(hashes, ranges)
+        part, local = packs.dealt(hashes, ranges)
         assert [(int(h) * ranges) >> 64 for h in hashes] == part.tolist()
         assert [((int(h) * ranges) >> 32) & 0xFFFFFFFF for h in hashes] == local.tolist()

@@ -136,7 +136,7 @@ def test_scores_are_those_of_the_model(docs, prose):
     common = "the cat sat on the mat and the dog sat on the rug today"
     rows = [(k, f"{common} {prose(6, k)}" if k % 3 else prose(20, k)) for k in range(80)] + [(80, None), (81, ""), (5, "The CAT"), (90, "\n")]
     held = F.crc32(F.col("doc_id").cast("string")) % 10 == 0
-    out = backoff_lm.score(docs(rows, clash=True), ~held, orders=3, share=0.0).collect()
+    out = backoff_lm.score(docs(rows, clash=True), ~held, orders=3).collect()
     train = [lowered(t or "") for k, t in rows if zlib.crc32(str(k).encode()) % 10]
     tokens = lambda t: [*WORD.findall(lowered(t or "")), "\0end"]
     grams = [Counter() for _ in range(4)]
@@ -173,7 +173,8 @@ def test_rare_grams_count_at_every_size(docs, monkeypatch):
     # what occurs twice is kept however many tokens there are, in one portion or many
     filler = [(k, "x " * 100_000) for k in range(2, 120)]
     pair = [(0, "red fox runs"), (1, "red fox runs"), (1000, "red fox runs"), (1001, "fox red runs")]
-    monkeypatch.setattr(backoff_lm, "PART_BYTES", 1 << 20, raising=False)
+    monkeypatch.setattr(backoff_lm, "PORTION", 1 << 19)
+    monkeypatch.setattr(backoff_lm, "RANGE", 1 << 20)
     found = {r["doc_id"]: r for r in backoff_lm.score(docs(pair + filler), F.col("doc_id") < 1000).collect()}
     assert found[0]["score"] > found[0]["base_score"] + 10
     assert abs(found[1000]["score"] - found[0]["score"]) < 1e-9 and found[1001]["score"] < found[0]["score"] - 5
@@ -260,3 +261,21 @@ def test_words_and_shingles():
         w = WORD.findall(lowered(t or ""))
         plain = {tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
         assert (row == k).sum() == len(plain)
+
+
+def test_long_texts_are_walked_in_stretches(monkeypatch):
+    r = np.random.default_rng(5)
+    first = np.array([0, 1, 40, 41, 300])
+    root, pair = -r.random(300), np.where(r.random(300) < 0.5, np.nan, -r.random(300))
+    of = r.integers(0, 6, 300)  # 5 is no context
+    fail = np.append(-r.random(5), 0.0)
+    wanted = []
+    for a, b in zip(first, first[1:]):
+        state, total = 5, 0.0
+        for t in range(a, b):
+            total += fail[state] + root[t] if np.isnan(pair[t]) else pair[t]
+            state = of[t]
+        wanted.append(total)
+    for stretch in (1, 7, 1024):
+        monkeypatch.setattr(backoff_lm, "STRETCH", stretch)
+        assert np.allclose(backoff_lm.walk(first, [root, pair], [fail], [of]), wanted)
