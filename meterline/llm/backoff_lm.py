@@ -28,7 +28,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
@@ -87,11 +86,10 @@ class Distinct:
 
 _SENT = "part int, portion int, ord int, n int, keys binary, numbers binary"
 _KEPT = "portion int, part int, ord int, n int, kept binary, owned binary, numbers binary, total long, kinds long"
-_WEIGHTS = "portion int, part int, ord int, n int, kept binary, numbers binary"
 
 
 def _sent(name: int, ranges: int, keys: list[tuple[int, np.ndarray, list[np.ndarray]]]) -> pa.Table:
-    """Rising hashes of some orders with numbers of each, by range."""
+    """Rising hashes of some orders with numbers of each, by range. An order below zero is that of contexts."""
     out = {c: [] for c in ("part", "portion", "ord", "n", "keys", "numbers")}
     for order, key, numbers in keys:
         part, _ = dealt(key, ranges)
@@ -101,61 +99,57 @@ def _sent(name: int, ranges: int, keys: list[tuple[int, np.ndarray, list[np.ndar
     return as_table(_SENT, **out)
 
 
-def _received(group: pa.Table, types: list[str]) -> Iterator[tuple[int, list[int], np.ndarray, np.ndarray, list[np.ndarray]]]:
+def _received(group: pa.Table) -> Iterator[tuple[int, list[int], np.ndarray, np.ndarray, list[np.ndarray]]]:
     """By order: its rows in the group, where each one's hashes end, all hashes, and the numbers with them."""
     given = group.to_pydict()
     for order in sorted(set(given["ord"])):
+        types = ["u8"] if order > 0 else ["f8", "f8"]
         rows = [i for i, o in enumerate(given["ord"]) if o == order]
         keys = [np.cumsum(unpacked_planes(given["keys"][i], given["n"][i], ["u8"])[0], dtype=np.uint64) for i in rows]
         numbers = [unpacked_planes(given["numbers"][i], given["n"][i], types) for i in rows]
         yield order, rows, np.cumsum([len(k) for k in keys]), np.concatenate(keys), [np.concatenate(c) for c in zip(*numbers)]
 
 
-def _add_up(group: pa.Table) -> pa.Table:
-    """Which of each portion's n-grams are kept, their totals, and which of them it owns; also the words of the range."""
+def _answered(group: pa.Table) -> pa.Table:
+    """What a range tells each portion of the hashes it sent, and the words of the range.
+
+    Of n-grams: which are kept, their totals, and which of those it owns. Of contexts: which have arcs, and their
+    failure weights.
+    """
     out = {c.split()[0]: [] for c in _KEPT.split(", ")}
-    for order, rows, ends, keys, (n,) in _received(group, ["u8"]):
+
+    def tell(*values):
+        for c, x in zip(out, values):
+            out[c].append(x)
+
+    for order, rows, ends, keys, numbers in _received(group):
         value, head, which = np.unique(keys, return_index=True, return_inverse=True)
-        total = np.bincount(which, weights=n, minlength=len(value)).astype(np.uint64)
-        keep = (total >= (1 if order == 1 else 2))[which]
+        sums = [np.bincount(which, weights=x, minlength=len(value)) for x in numbers]
+        if order > 0:
+            known, number = sums[0] >= (1 if order == 1 else 2), sums[0].astype(np.uint64)
+        else:
+            known, number = sums[0] > 0, np.log10(np.maximum(1 - sums[0], 1e-12) / np.maximum(1 - sums[1], 1e-12))
         own = np.zeros(len(keys), bool)
-        own[head] = True
+        own[head] = order > 0
         for i, a, b in zip(rows, [0, *ends.tolist()], ends.tolist()):
-            mine = keep[a:b]
-            for c, x in zip(out, (group["portion"][i].as_py(), group["part"][i].as_py(), order, b - a, np.packbits(mine).tobytes(),
-                                  np.packbits(own[a:b][mine]).tobytes(), packed_planes([total[which[a:b][mine]]]), None, None)):
-                out[c].append(x)
+            here = which[a:b]
+            mine = known[here]
+            tell(group["portion"][i].as_py(), group["part"][i].as_py(), order, b - a, np.packbits(mine).tobytes(),
+                 np.packbits(own[a:b][mine]).tobytes(), packed_planes([number[here][mine]]), None, None)
         if order == 1:
-            for c, x in zip(out, (-1, 0, 0, 0, b"", b"", b"", int(total.sum()), int((total > 0).sum()))):
-                out[c].append(x)
+            tell(-1, 0, 0, 0, b"", b"", b"", int(sums[0].sum()), int((sums[0] > 0).sum()))
     return as_table(_KEPT, **out)
 
 
-def _weigh(group: pa.Table) -> pa.Table:
-    """The failure weight of each context that a portion sent, where it has arcs at all."""
-    out = {c.split()[0]: [] for c in _WEIGHTS.split(", ")}
-    for order, rows, ends, keys, sums in _received(group, ["f8", "f8"]):
-        value, which = np.unique(keys, return_inverse=True)
-        above, below = (np.bincount(which, weights=x, minlength=len(value)) for x in sums)
-        weight = np.log10(np.maximum(1 - above, 1e-12) / np.maximum(1 - below, 1e-12))
-        arcs = above > 0
-        for i, a, b in zip(rows, [0, *ends.tolist()], ends.tolist()):
-            own = which[a:b]
-            mine = arcs[own]
-            for c, x in zip(out, (group["portion"][i].as_py(), group["part"][i].as_py(), order, b - a, np.packbits(mine).tobytes(),
-                                  packed_planes([weight[own][mine]]))):
-                out[c].append(x)
-    return as_table(_WEIGHTS, **out)
-
-
-def _answer(answers: pa.Table, order: int, kind: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _answer(answers: pa.Table, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For the hashes a portion sent of an order: whether kept, the numbers of those kept, and whether owned."""
+    kind = "u8" if order > 0 else "f8"
     given = answers.to_pydict()
     rows = sorted((i for i, o in enumerate(given["ord"]) if o == order), key=lambda i: given["part"][i])
     none = np.zeros(0, bool)
     kept = [unpacked_bits(given["kept"][i], given["n"][i]) for i in rows]
     numbers = [unpacked_planes(given["numbers"][i], int(k.sum()), [kind])[0] for i, k in zip(rows, kept)]
-    owned = [unpacked_bits(given["owned"][i], int(k.sum())) if given.get("owned", [None])[0] is not None else none for i, k in zip(rows, kept)]
+    owned = [unpacked_bits(given["owned"][i], int(k.sum())) for i, k in zip(rows, kept)]
     return tuple(np.concatenate([empty, *x]) for empty, x in ((none, kept), (np.zeros(0, "<" + kind), numbers), (none, owned)))
 
 
@@ -181,7 +175,7 @@ class Portion:
                 fit = self.place >= order - 1
             self.grams.append(Distinct(self.keys[order - 1], fit))
             if answers is not None:
-                kept, numbers, owned = _answer(answers, order, "u8")
+                kept, numbers, owned = _answer(answers, order)
                 if len(kept) == len(self.grams[-1].keys):
                     total, own = np.zeros(len(kept) + 1), np.zeros(len(kept), bool)  # the last stands for no n-gram
                     total[:-1][kept] = numbers
@@ -197,50 +191,39 @@ class Portion:
         return self.total[order - 1][self.grams[order - 1].of]
 
 
-def _send_grams(orders: tuple[int, ...], most: int, ranges: int):
-    """The portion's distinct n-grams of these orders, of a first pass or with what is known of the shorter ones."""
+    def arcs_of_contexts(self, c: int, total: int, kinds: int) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The kept contexts of c tokens, with the probabilities of the arcs owned here, above and below the failure arc."""
+        here, context = self.grams[c], self.grams[c - 1]
+        n, of = self.totals(c + 1), self.totals(c)
+        at = here.head[self.owned[c] & (self.total[c][:-1] > 0)]  # each owned arc, at one of its tokens
+        above = (n[at] - DISCOUNT) / of[at - 1]
+        below = 10 ** _root(of[at], total, kinds) if c == 1 else (of[at] - DISCOUNT) / self.totals(c - 1)[at - 1]
+        kept = self.total[c - 1][:-1] > 0
+        return context.keys[kept], [np.bincount(context.of[at - 1], weights=x, minlength=len(kept) + 1)[:-1][kept] for x in (above, below)]
+
+
+def _send(counts: tuple[int, ...], contexts: tuple[int, ...], ranges: int, total: int = 0, kinds: int = 0):
+    """A portion's distinct n-grams of the orders ``counts`` and its contexts of the lengths ``contexts``."""
     def send(rows: pa.Table, answers: pa.Table | None) -> pa.Table:
         if not rows.num_rows:
             return _sent(0, ranges, [])
-        portion = Portion(rows, answers, most)
-        return _sent(rows.column("portion")[0].as_py(), ranges, [
-            (k, portion.grams[k - 1].keys, [portion.grams[k - 1].counted(portion.weight)]) for k in orders if k <= len(portion.grams)])
+        portion = Portion(rows, answers, max([*counts, *(c + 1 for c in contexts)]))
+        out = [(k, portion.grams[k - 1].keys, [portion.grams[k - 1].counted(portion.weight)]) for k in counts if k <= len(portion.grams)]
+        out += [(-c, *portion.arcs_of_contexts(c, total, kinds)) for c in contexts if c < len(portion.total)]
+        return _sent(rows.column("portion")[0].as_py(), ranges, out)
 
     def first(rows: pa.Table) -> pa.Table:
         return send(rows, None)
 
     def later(rows: pa.Table, answers: pa.Table) -> pa.Table:
         return send(rows, answers)
-    return first if min(orders) == 1 else later
+    return later if contexts else first
 
 
 def _root(n: np.ndarray, total: int, kinds: int) -> np.ndarray:
     return np.log10((n + ADDED) / (total + ADDED * (kinds + 1)))
 
 
-def _send_contexts(orders: int, ranges: int, total: int, kinds: int):
-    """Of every context of a portion the probabilities of the arcs it owns, above and below the failure arc."""
-    def send(rows: pa.Table, answers: pa.Table) -> pa.Table:
-        if not rows.num_rows:
-            return _sent(0, ranges, [])
-        portion, out = Portion(rows, answers, orders), []
-        count = [portion.totals(k) for k in range(1, len(portion.total) + 1)]
-        lower = 10 ** _root(count[0], total, kinds)
-        for k in range(2, len(count) + 1):
-            here, context = portion.grams[k - 1], portion.grams[k - 2]
-            at = here.head[portion.owned[k - 1] & (portion.total[k - 1][:-1] > 0)]  # each owned arc, at one of its tokens
-            above = (count[k - 1][at] - DISCOUNT) / count[k - 2][at - 1]
-            sums = [np.bincount(context.of[at - 1], weights=x, minlength=len(context.keys) + 1)[:-1] for x in (above, lower[at])]
-            kept = portion.total[k - 2][:-1] > 0
-            out.append((k - 1, context.keys[kept], [x[kept] for x in sums]))
-            share = np.zeros(len(portion.place))
-            known = count[k - 1] > 0
-            share[known] = (count[k - 1][known] - DISCOUNT) / count[k - 2][np.flatnonzero(known) - 1]
-            lower = share
-        return _sent(rows.column("portion")[0].as_py(), ranges, out)
-    return send
-
-
 def walk(first: np.ndarray, arcs: list[np.ndarray], fails: list[np.ndarray], states: list[np.ndarray]) -> np.ndarray:
     """The log probability of every text, walked from left to right.
 
@@ -279,9 +262,7 @@ def _walked(orders: int, total: int, kinds: int, kind: pa.DataType):
     def run(rows: pa.Table, told: pa.Table) -> pa.Table:
         if not rows.num_rows:
             return pa.table([pa.array([], t) for t in (kind, *[pa.int64()] * 3, *[pa.float64()] * 2)], names=names)
-        with_totals = pc.is_valid(told.column("owned"))
-        portion = Portion(rows, told.filter(with_totals), orders)
-        weights = told.filter(pc.invert(with_totals))
+        portion = Portion(rows, told, orders)
         count = [portion.totals(k) for k in range(1, len(portion.total) + 1)]
         root = _root(count[0], total, kinds)
         arcs, fails, states = [root], [], []
@@ -291,7 +272,7 @@ def _walked(orders: int, total: int, kinds: int, kind: pa.DataType):
             arc[known] = np.log10((count[k - 1][known] - DISCOUNT) / count[k - 2][known - 1])
             arcs.append(arc)
             context = portion.grams[k - 2]
-            kept, number, _ = _answer(weights, k - 1, "f8")
+            kept, number, _ = _answer(told, 1 - k)
             sent = np.flatnonzero(portion.total[k - 2][:-1] > 0)
             fail = np.zeros(len(context.keys) + 1)
             fail[sent[kept]] = number
@@ -319,28 +300,26 @@ def score(docs: DataFrame, training, orders: int = ORDER) -> DataFrame:
             .agg(F.first("text").alias("text"), F.first("train").alias("train"), F.count("*").alias("copies")).drop("hash"))
     learning = rows.select("portion", "text", "train", "copies").groupBy("portion")
 
-    counted = learning.applyInArrow(_send_grams((1, 2), 2, ranges), _SENT)
-    answers = stored(counted.groupBy("part").applyInArrow(_add_up, _KEPT), "kept-1")
-    release(spark)
-    words = answers.agg(F.sum("total").alias("total"), F.sum("kinds").alias("kinds")).first()
-    total, kinds = words["total"] or 0, words["kinds"] or 0
-    tables = [answers]
-    answers = answers.where("portion >= 0")
-    for k in range(3, orders + 1):
-        counted = learning.cogroup(answers.groupBy("portion")).applyInArrow(_send_grams((k,), k, ranges), _SENT)
-        tables.append(stored(counted.groupBy("part").applyInArrow(_add_up, _KEPT), f"kept-{k}"))
+    def answered(sent: DataFrame, name: str) -> DataFrame:
+        out = stored(sent.groupBy("part").applyInArrow(_answered, _KEPT), name)
         release(spark)
-        answers = answers.unionByName(tables[-1].where("portion >= 0"))
-    contexts = learning.cogroup(answers.groupBy("portion")).applyInArrow(_send_contexts(orders, ranges, total, kinds), _SENT)
-    weights = stored(contexts.groupBy("part").applyInArrow(_weigh, _WEIGHTS), "weights")
-    release(spark)
-    told = answers.unionByName(weights, allowMissingColumns=True)
+        return out
+
+    tables = [answered(learning.applyInArrow(_send((1, 2)[:orders], (), ranges), _SENT), "kept-1")]
+    words = tables[0].agg(F.sum("total").alias("total"), F.sum("kinds").alias("kinds")).first()
+    total, kinds = words["total"] or 0, words["kinds"] or 0
+    told = tables[0].where("portion >= 0")
+    for k in range(3, orders + 2):  # contexts follow as soon as their arcs are known
+        counts, contexts = ((k,), (k - 2,)) if k <= orders else ((), (orders - 1,))
+        sent = learning.cogroup(told.groupBy("portion")).applyInArrow(_send(counts, contexts, ranges, total, kinds), _SENT)
+        tables.append(answered(sent, f"kept-{k}"))
+        told = told.unionByName(tables[-1].where("portion >= 0"))
     kind = dict(docs.dtypes)["doc_id"]
     walked = rows.groupBy("portion").cogroup(told.groupBy("portion")).applyInArrow(
         _walked(orders, total, kinds, to_arrow_type(docs.schema["doc_id"].dataType)),
         f"doc_id {kind}, copies long, n_tokens long, n_known long, base_score double, score double")
     scored = stored(walked, "scored")
-    for table in (*tables, weights):
+    for table in tables:
         forget(table)
     release(spark)
     return (scored.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies")))
