@@ -15,9 +15,13 @@ full sets decide:
    meet with full sets. Members of one component are not compared, and a task returns no more links than it
    has members, however many pairs are similar.
 
-Null and empty texts have no set and link with nothing. Repeated rows of one id are copies of each other's
-text only if the text is the same; an id's component is the smallest its rows reach. Extra columns are not
-looked at. An empty table gives no rows.
+Classes have numbers of their own, given once when they are written, so an id may stand in several classes and a
+class need not have an id. Rows that share an id, with whatever texts, are one document: all links of its texts
+are links of the id. Rows without id are documents of their own; their texts link like any other, their component is
+the smallest id they reach (null if none), and they are always kept, since nothing names them. Null and empty texts
+have no set and link with nothing, whatever their id. Repeated rows each give a row. Very long texts are cut into
+shingles whole, batch by batch. Ties for the closest class go to the smaller number, which changes no result. Extra
+columns are not looked at. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,13 +38,14 @@ from meterline.llm.storage import forget, stored
 from meterline.llm.textbytes import U, Words, chunks, mix, shingles, text_bytes
 
 REGISTERS = 128
-BAND = 4  # registers of a key: 32 keys, which miss a pair at similarity 0.75 with probability 1e-5
+BAND = 4  # registers of a key: 32 keys, which miss a pair at similarity 0.75 with probability 5e-6
 MANTISSA = 10
 MARGIN = 6.0  # standard deviations an estimate may lie below the threshold
 BLOCK = 256  # classes of a family in one block
 PIECE = 1024  # classes of a key compared in one piece
 PAIRS = 25_000  # estimates computed at once
 
+SAME = ["digest_a", "digest_b", "n"]  # equal for equal sets
 SKETCH = "doc_id long, n long, digest_a long, digest_b long, registers binary, keys array<long>"
 
 
@@ -96,13 +101,10 @@ def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
             for i, j in chunks(offsets):
                 value, row = shingles(Words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]), words)
                 n = np.bincount(row, minlength=j - i)
-                digests = [np.zeros(j - i, np.uint64) for _ in range(2)]
-                for d, salt in zip(digests, (U(0x1F83D9ABFB41BD6B), U(0x5BE0CD19137E2179))):
-                    np.add.at(d, row, mix(value ^ salt))
                 sketch = registers(value, row, j - i)
                 keys = band_keys(sketch)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), *(pa.array(d.view(np.int64)) for d in digests),
+                    [batch.column(0).slice(i, j - i), pa.array(n, pa.int64()), *_digests(value, row, j - i),
                      pa.array([s.tobytes() for s in sketch], pa.binary()),
                      pa.array([k[k > 0].view(np.int64) for k in keys], pa.list_(pa.int64()))],
                     names=["doc_id", "n", "digest_a", "digest_b", "registers", "keys"])
@@ -110,8 +112,16 @@ def sketches(docs: DataFrame, words: int = 5) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, SKETCH)
 
 
+def _digests(value: np.ndarray, row: np.ndarray, rows: int) -> list[pa.Array]:
+    """Two digests of each row's set, whatever the order of its hashes."""
+    out = [np.zeros(rows, np.uint64) for _ in range(2)]
+    for digest, salt in zip(out, (U(0x1F83D9ABFB41BD6B), U(0x5BE0CD19137E2179))):
+        np.add.at(digest, row, mix(value ^ salt))
+    return [pa.array(d.view(np.int64)) for d in out]
+
+
 def full_sets(docs: DataFrame, words: int = 5) -> DataFrame:
-    """id and shingle hashes of whole texts."""
+    """Digests, size and shingle hashes of whole texts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = text_bytes(batch.column(1))
@@ -119,10 +129,11 @@ def full_sets(docs: DataFrame, words: int = 5) -> DataFrame:
                 value, row = shingles(Words(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]), words)
                 cuts = np.searchsorted(row, np.arange(j - i + 1))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i),
-                     pa.LargeListArray.from_arrays(cuts, value.view(np.int64)).cast(pa.list_(pa.int64()))], names=["id", "shingles"])
+                    [*_digests(value, row, j - i), pa.array(np.diff(cuts), pa.int64()),
+                     pa.LargeListArray.from_arrays(cuts, value.view(np.int64)).cast(pa.list_(pa.int64()))],
+                    names=[*SAME, "shingles"])
         pa.default_memory_pool().release_unused()
-    return docs.select("doc_id", "text").mapInArrow(run, "id long, shingles array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "digest_a long, digest_b long, n long, shingles array<long>")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -304,19 +315,21 @@ def _promising(percent: int):
 def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
     drawn = stored(sketches(docs, words), "sketches")
-    same = ["digest_a", "digest_b", "n"]
-    heads = drawn.where("n > 0").groupBy(*same).agg(F.min("doc_id").alias("id"))
-    classes = stored(drawn.where("n > 0").join(heads, same).where(F.col("doc_id") == F.col("id"))
-                     .dropDuplicates(["id", *same]).select("id", "n", "registers", "keys"), "classes")
+    heads = drawn.where("n > 0").groupBy(*SAME).agg(F.min("doc_id").alias("head"))
+    classes = stored(drawn.where("n > 0").join(heads, SAME).where(F.col("doc_id").eqNullSafe(F.col("head")))
+                     .dropDuplicates(SAME)
+                     .select(F.monotonically_increasing_id().alias("id"), "head", *SAME, "registers", "keys"), "classes")
     keyed = classes.select("id", F.explode("keys").alias("key"))
     hubs = keyed.groupBy("key").agg(F.min("id").alias("hub"), F.count("*").alias("size")).where("size > 1")
     shared = stored(keyed.join(hubs, "key"), "keys")
     first = shared.where("id > hub").groupBy("hub", "id").agg(F.count("*").alias("times"))
     first = stored(first, "hubs")
 
-    wanted = shared.select("id").distinct()
-    sets = stored(full_sets(docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("id"), "left_semi"), words)
-                  .dropDuplicates(["id"]), "sets")
+    wanted = classes.join(shared.select("id").distinct(), "id", "left_semi").select("id", "head", *SAME)
+    read = docs.select("doc_id", "text")
+    read = (read.join(wanted.select("head"), F.col("doc_id") == F.col("head"), "left_semi")
+            .unionByName(read.where(F.col("doc_id").isNull())))
+    sets = stored(full_sets(read, words).dropDuplicates(SAME).join(wanted, SAME).select("id", "shingles"), "sets")
     closest = first.groupBy("id").agg(F.max_by("hub", F.struct("times", -F.col("hub"))).alias("hub"))
     known = classes.select("id", "n", "registers")
     pairs = (closest.join(known, "id").select(F.col("hub").alias("a"), F.col("id").alias("b"), F.col("n").alias("m"), F.col("registers").alias("y"))
@@ -340,15 +353,19 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
         "id", "component", "n", "registers", F.xxhash64("family", F.col("component") == F.col("main"), dealt).alias("block")), "blocks")
 
     keys = shared.select("key", "id").join(members.select("id", "component"), "id")
-    mixed = (keys.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                     F.count("*").alias("size")).where("low < high"))
-    pieces = F.ceil(F.col("size") / PIECE).cast("int")
-    rows = stored(keys.join(mixed, "key").select(
-        "key", "id", (F.col("component") == F.col("low")).alias("settled"), pieces.alias("pieces"),
-        F.pmod(F.xxhash64("id"), pieces).cast("int").alias("piece")), "mixed-keys")
-    every = F.sequence(F.lit(0), F.col("pieces") - 1)
-    loose = rows.where(~F.col("settled")).select("key", "id", F.col("piece").alias("i"), F.explode(every).alias("j"), F.lit(True).alias("left"))
-    others = rows.select("key", "id", F.explode(every).alias("i"), F.col("piece").alias("j"), F.lit(False).alias("left"))
+    mixed = (keys.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+             .where("low < high").select("key"))
+    mixed = stored(keys.join(mixed, "key", "left_semi").select("key", "id", "component"), "mixed-keys")
+    # of the components of a key the largest is settled; the classes of the others are held against all
+    tallies = (mixed.groupBy("key", "component").agg(F.count("*").alias("size"))
+               .groupBy("key").agg(F.max_by("component", F.struct("size", -F.col("component"))).alias("main"),
+                                   F.max("size").alias("most"), F.sum("size").alias("size")))
+    across, along = (F.ceil(c / PIECE).cast("int") for c in (F.col("size") - F.col("most"), F.col("size")))
+    rows = stored(mixed.join(tallies, "key").select(
+        "key", "id", (F.col("component") == F.col("main")).alias("settled"), across.alias("across"), along.alias("along")), "dealt-keys")
+    place, each = (lambda c: F.pmod(F.xxhash64("id"), c).cast("int")), (lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1)))
+    loose = rows.where(~F.col("settled")).select("key", "id", place("across").alias("i"), each("along").alias("j"), F.lit(True).alias("left"))
+    others = rows.select("key", "id", each("across").alias("i"), place("along").alias("j"), F.lit(False).alias("left"))
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = (loose.unionByName(others).join(members, "id").select("key", "i", "j", "left", "component", "n", "registers", "block")
            .repartition(tasks, "key", "i", "j").sortWithinPartitions("key", "i", "j")
@@ -362,12 +379,23 @@ def near_duplicates(docs: DataFrame, percent: int = 75, words: int = 5) -> DataF
     more = (sides[0].unionByName(sides[1]).repartition(tasks, "i", "j").sortWithinPartitions("i", "j")
             .mapInArrow(_linked(percent), "a long, b long"))
     links = stored(links.unionByName(more), "links-2")
-    for frame in (shared, first, sets, members, rows, assigned, met, classes):
+    # texts of one id belong together
+    several = (drawn.where("n > 0 AND doc_id IS NOT NULL").groupBy("doc_id")
+               .agg(*(f(c).alias(f"{g}_{c}") for c in SAME for g, f in (("low", F.min), ("high", F.max))))
+               .where(" OR ".join(f"low_{c} < high_{c}" for c in SAME)).select("doc_id"))
+    texts = stored(drawn.where("n > 0").join(several, "doc_id", "left_semi").select("doc_id", *SAME).distinct()
+                   .join(classes.select("id", *SAME), SAME).select("doc_id", "id"), "texts-of-ids")
+    joint = texts.groupBy("doc_id").agg(F.min("id").alias("a")).join(texts, "doc_id").where("a < id").select("a", F.col("id").alias("b"))
+    found = components(links.unionByName(joint))
+
+    numbered = classes.select("id", "head", *SAME)
+    linked = stored(found.join(numbered, "id").select("id", "component", "head"), "linked")
+    least = linked.groupBy("component").agg(F.min("head").alias("least"))
+    rooted = stored(numbered.join(linked.join(least, "component").select("id", "least"), "id", "left")
+                    .select(*SAME, F.coalesce("least", "head").alias("root")), "roots")
+    out = drawn.select("doc_id", *SAME).join(rooted, SAME, "left")
+    for frame in (shared, first, sets, members, mixed, rows, assigned, met, classes, texts, links, linked):
         forget(frame)
-    found = components(links)
-
-    rooted = labelled(heads, "id", "component", found).select(*same, "component")
-    out = drawn.select("doc_id", *same).join(rooted, same, "left")
-    component = F.coalesce("component", "doc_id")
+    component = F.coalesce("root", "doc_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      (F.col("doc_id") == component).alias("kept"))
+                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))

@@ -68,6 +68,33 @@ def test_near_copies_against_all_pairs(docs, prose, block, monkeypatch):
     assert near.near_duplicates(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("piece", [near.PIECE, 3])
+def test_near_copies_with_repeated_and_missing_ids(docs, prose, piece, monkeypatch):
+    """Ids of several texts, rows without id, and one key of many settled classes with a few loose ones."""
+    monkeypatch.setattr(near, "BLOCK", piece)
+    monkeypatch.setattr(near, "PIECE", piece)
+    a, b, c, d = (prose(40, k) for k in range(4))
+    rows = [(5, a), (5, b), (6, a + " x"), (7, b + " y"), (7, None), (None, c), (None, c + " z"), (9, c + " z w"), (None, d), (None, d),
+            (None, None), (None, ""), (20, prose(30, 9)), (20, ""), (21, prose(30, 8)), (22, prose(30, 8)), (20, prose(30, 8) + " v")]
+    r = random.Random(3)
+    base = prose(60, 77).split()
+    for k in range(25):
+        words = list(base)
+        words[r.randrange(60)] = prose(1, r.random())
+        rows.append((40 + k % 20, " ".join(words)))
+    sets = [shingle_set(t) for _, t in rows]
+    similar = [(x, y) for x in range(len(rows)) for y in range(x) if sets[x] and sets[y]
+               and (100 * len(sets[x] & sets[y]) >= 75 * len(sets[x] | sets[y]) or (rows[x][0] is not None and rows[x][0] == rows[y][0]))]
+    group = closure(range(len(rows)), similar)
+    wanted = []
+    for k, (doc, _) in enumerate(rows):
+        least = min((rows[m][0] for m in range(len(rows)) if group[m] == group[k] and rows[m][0] is not None), default=None)
+        wanted.append((str(doc), len(sets[k]), str(least), doc is None or doc == least))
+    found = [(str(x["doc_id"]), x["n_shingles"], str(x["component_id"]), x["kept"]) for x in near.near_duplicates(docs(rows)).collect()]
+    assert sorted(found) == sorted(wanted)
+    assert ("6", 37, "5", False) in found and ("7", 37, "5", False) in found
+
+
 def test_estimates_are_near_the_similarity():
     r = np.random.default_rng(2)
     shared, own = r.integers(0, (1 << 64) - 1, 900, np.uint64), r.integers(0, (1 << 64) - 1, 100, np.uint64)
