@@ -1,12 +1,17 @@
 """Licences, packing, mixing and scoring on small tables, each against a plain computation."""
 
 import math
+import pathlib
 import re
+import textwrap
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -35,9 +40,61 @@ def test_licence_scan(spark, docs):
     assert licences.scan(docs([]), licences.known_digests(spark)).count() == 0
 
 
-def test_licence_spellings():
-    # American and British forms of one text are one text
-    assert ("is(e|ed" in licences.STEPS[3][0]) and len({k for k, _ in licences.KNOWN}) > 8
+ISC_FILE = """ISC License
+
+Copyright (c) 2021, Someone <someone@example.org>
+
+Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES
+WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR
+ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES
+WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
+ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF
+OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.
+"""
+PUBLISHED = {"Apache-2.0": "Apache-2.0", "Artistic": "Artistic-1.0-Perl", "BSD": "BSD-3-Clause", "CC0-1.0": "CC0-1.0",
+             "GFDL-1.2": "GFDL-1.2", "GFDL-1.3": "GFDL-1.3", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0",
+             "LGPL-2": "LGPL-2.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-1.1": "MPL-1.1", "MPL-2.0": "MPL-2.0"}
+
+
+def test_whole_licences_by_spark_and_by_words(spark, docs, tmp_path):
+    """Full texts, titles, usual wrapping and holders' lines; the SQL goes line by line and word by word."""
+    known = dict(reversed(licences.KNOWN))
+    mit, bsd = licences.KNOWN[0][1], next(t for n, t in licences.KNOWN if n == "BSD-3-Clause")
+    two = next(t for n, t in licences.KNOWN if n == "BSD-2-Clause")
+    texts = {"MIT License\n\nCopyright (c) 2020 Jane Doe\n\n" + mit: "MIT", "The MIT License (MIT)\nCopyright The Authors\n" + mit: "MIT",
+             ISC_FILE: "ISC", ISC_FILE.replace("\n", "\r\n"): "ISC", ISC_FILE.replace("(c) 2021, ", "© "): "ISC",
+             "BSD 3-Clause License\n\nCopyright 2019, X. All rights reserved.\n\n" + "\n".join(textwrap.wrap(bsd, 40)): "BSD-3-Clause",
+             "BSD 2-Clause \"Simplified\" License\n" + two.replace("1. ", " * ").replace("2. ", " * "): "BSD-2-Clause",
+             "MIT License": "MIT", "MIT License\n\nprose of another kind": None, "": None, "copyright notice\nnon commercial licence\nsub-licence": None,
+             "(c) You must retain\n(c) 1999 Someone\n© nobody\nhttps our colours realise\n\nMIT License\n": None}
+    folder = pathlib.Path("/usr/share/common-licenses")
+    for name, licence in PUBLISHED.items():
+        if (folder / name).exists():
+            text = (folder / name).read_text()
+            texts[text] = licence
+            texts[text.upper().replace(" ", "  ")] = licence
+            texts[text.partition("END OF TERMS AND CONDITIONS")[0] + ("END OF TERMS AND CONDITIONS" if "END OF TERMS AND" in text else "")] = licence
+    assert known["MIT"] == mit
+    rows = list(enumerate(texts)) + [(None, None), (None, "Copyright notices and more"), (0, "word " * 200_000)]
+    found = [tuple(x) for x in licences.scan(docs(rows), licences.known_digests(spark)).collect()]
+    assert {k: w for k, _, w, _ in found if k} == {k: w for k, w in enumerate(texts.values()) if k}
+    pq.write_table(pa.table({"doc_id": pa.array([k for k, _ in rows], pa.int64()), "text": [t for _, t in rows]}), tmp_path / "d.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d.parquet'")
+    assert sorted(map(str, db.execute(licences.scan_sql()).fetchall())) == sorted(map(str, found))
+
+
+def test_digests_of_a_folder(spark, docs, tmp_path):
+    (tmp_path / "House-1").write_text("Copyright 2020 Us\nUse it well.\nEND OF TERMS AND CONDITIONS\nHow to apply")
+    known = licences.digests_of_files(spark, str(tmp_path))
+    texts = ["use IT well\nend of terms and conditions", "Use it well. End of terms and conditions. How to apply", "Use it"]
+    found = {x["doc_id"]: x["whole_license"] for x in licences.scan(docs(list(enumerate(texts))), known).collect()}
+    assert found == {0: "House-1", 1: "House-1", 2: None}
 
 
 # packing
