@@ -1,14 +1,15 @@
 """Quality scores by nearest-neighbour voting among labelled latent-semantic vectors.
 
-Terms of a text are the written forms of its words (runs of letters, capitals, digits and signs), pairs of
-forms that follow each other, and words that repeat. Term weights use document frequencies over the whole
-corpus. A bounded sample of labelled rows gives a low-rank basis and the vectors that vote: every document is
-projected, its cosines to all labelled vectors are computed in blocks, and the nearest vote with a weight that
+Terms of a text are its words, pairs of words that follow each other, the written forms of words (runs of letters,
+capitals, digits and signs), pairs of these, and how much repeats. Term weights use document frequencies over the
+whole corpus. A bounded sample of labelled rows, at most VOTERS, gives a low-rank basis and the vectors that vote:
+where ids repeat, that many rows by the hash of their id. Every document is projected, its cosines to all labelled vectors are computed in blocks, and the nearest vote with a weight that
 falls with the angle.
 
 Null and empty texts have no terms; they get the share of label 1 among the voters. Repeated rows are scored
-each by themselves. Labels that are null don't vote. Without any labelled row every score is 0.5. An empty
-table gives no rows.
+each by themselves, rows without id too, which never vote. Labels that are null don't vote. Without any labelled
+row every score is 0.5. Very long texts are counted whole, one at a time. Which of equally near neighbours vote is left
+to the order of the voters, which is fixed. Further columns travel along untouched. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from pyspark.sql import types as T
 from meterline.llm.textbytes import U, Words, chunks, mix, shingles, text_bytes
 
 VOTERS = 4096  # bound of the labelled sample
-TERMS = 4096  # hashed terms: half forms, half pairs of forms, the last 16 for repetition
+TERMS = 4096  # hashed terms: a quarter each for forms, pairs of forms, words and pairs of words, the last 16 for repetition
+WORD_WEIGHT = 0.5  # of words beside forms
 RANK = 64
 NEIGHBOURS = 25
 BLOCK = 512  # documents compared at once
@@ -39,20 +41,25 @@ _FORM[[0x20, *range(0x09, 0x0E)]] = 32
 
 def terms(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Weighted term counts, a row per text."""
-    rows, half = len(offsets) - 1, TERMS // 2
+    rows, quarter = len(offsets) - 1, TERMS // 4
     form = _FORM[data]
     keep = np.ones(len(form), bool)
     keep[1:] = form[1:] != form[:-1]
     keep[offsets[:-1][offsets[:-1] < len(form)]] = True
     places = np.concatenate([[0], np.cumsum(keep)])[offsets]
     forms = Words(form[keep], places)
-    n = np.diff(forms.first)
-    one = forms.row * TERMS + (forms.hash % U(half)).astype(np.int64)
-    pair = np.flatnonzero(forms.row[1:] == forms.row[:-1])
-    two = forms.row[pair] * TERMS + half + (mix(forms.hash[pair] * U(3) + forms.hash[pair + 1]) % U(half - 16)).astype(np.int64)
-    counts = np.bincount(np.concatenate([one, two]), minlength=rows * TERMS).reshape(rows, TERMS).astype(np.float32)
-    out = np.sqrt(counts / np.maximum(n, 1)[:, None])
     words = Words(data, offsets)
+    places = []
+    for k, found in enumerate((forms, words)):
+        pair = np.flatnonzero(found.row[1:] == found.row[:-1])
+        begin = 2 * k * quarter
+        places.append(found.row * TERMS + begin + (found.hash % U(quarter)).astype(np.int64))
+        places.append(found.row[pair] * TERMS + begin + quarter
+                      + (mix(found.hash[pair] * U(3) + found.hash[pair + 1]) % U(quarter - 16)).astype(np.int64))
+    out = np.bincount(np.concatenate(places), minlength=rows * TERMS).reshape(rows, TERMS).astype(np.float32)
+    for found, part in ((forms, slice(0, 2 * quarter)), (words, slice(2 * quarter, TERMS))):
+        out[:, part] = np.sqrt(out[:, part] / np.maximum(np.diff(found.first), 1)[:, None])
+    out[:, 2 * quarter:] *= WORD_WEIGHT
     n = np.maximum(np.diff(words.first), 1)
     same = words.row[1:][(words.hash[1:] == words.hash[:-1]) & (words.row[1:] == words.row[:-1])]
     stutter = np.bincount(same, minlength=rows) / n
@@ -107,8 +114,9 @@ def fit(docs: DataFrame, labelled: DataFrame, label: str, voters: int = VOTERS)
     chosen = (labelled.where(F.col(label).isNotNull()).select("doc_id", F.col(label).cast("int").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(voters))
     rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "doc_id", "label")
-            .mapInArrow(_sparse, "doc_id long, label int, at array<long>, value array<float>"))
-    sample = sorted(rows.collect(), key=lambda r: (r["doc_id"], r["label"], r["at"]))[:2 * voters]
+            .mapInArrow(_sparse, "doc_id long, label int, at array<long>, value array<float>")
+            .orderBy(F.xxhash64("doc_id"), "doc_id", "label", F.xxhash64("at", "value")).limit(voters))
+    sample = rows.collect()
     x = np.zeros((len(sample), TERMS), np.float32)
     for k, r in enumerate(sample):
         x[k, r["at"]] = r["value"]

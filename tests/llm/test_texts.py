@@ -2,6 +2,7 @@
 
 import math
 import pathlib
+import random
 import re
 import textwrap
 import zlib
@@ -253,6 +254,20 @@ def test_quality_on_held_out_rows(spark, docs, prose):
     assert quality.score(docs([]), quality.fitted(docs([]), labels)).count() == 0
 
 
+def test_quality_that_shows_in_words_only(spark, docs, monkeypatch):
+    """Texts of one form (lower-case words, a full stop): only their vocabulary tells them apart."""
+    bad, good = "buy cheap pills cash win prize now spam bonus click".split(), "rain over the old town kept the market quiet today".split()
+    r = random.Random(4)
+    rows = [(k, " ".join(r.choice(bad if k % 2 else good) for _ in range(30)) + ".") for k in range(200)]
+    labels = spark.createDataFrame([(k, 1 - k % 2) for k in range(200)], "doc_id long, quality int")
+    model = quality.fitted(docs(rows), labels)
+    out = {x["doc_id"]: x["score"] for x in quality.score(docs(rows + [(None, rows[1][1])]), model).collect()}
+    assert all((out[k] >= 0.5) == (k % 2 == 0) for k in range(200)) and out[None] < 0.3
+    # ids of many rows: the voters stay bounded
+    many = quality.fit(docs(rows * 3), labels, "quality", voters=50)
+    assert len(many.labels) == 50
+
+
 def test_scores_ignore_other_columns(docs, spark, prose):
     labels = spark.createDataFrame([(k, k % 2) for k in range(40)], "doc_id long, quality int")
     rows = [(k, prose(10, k) + (" | | |" if k % 2 else "")) for k in range(40)]
