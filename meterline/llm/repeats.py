@@ -5,9 +5,9 @@ have the same smallest hash of their 16-byte grams, so windows are dealt by that
 of one text with the same smallest hash is a stretch, and all windows equal to one of its own lie in stretches
 of the same hash. A hash that occurs once, in a stretch with one gram of that hash, has nothing to find. Stretches of equal bytes are one content; a content
 that occurs twice is repeated as a whole. Where a hash has several contents, they are dealt to shards of bounded
-size, whole hashes together, and each shard sorts its suffixes by Larsson-Sadakane refinement: ranks of 8 bytes
-are doubled to 128, sorting only groups that are not settled, and two ranks of 128 bytes give the order and the
-classes of the windows. Neighbours of one class have a common prefix of the whole window.
+size, whole hashes together. Each shard sorts its suffixes by Larsson-Sadakane refinement, ranks of 7 bytes being
+doubled until no two are tied, and finds the common prefixes of neighbours by Kasai's scan. Windows between
+which no common prefix is shorter than a window are equal.
 
 A hash with more contents than a shard takes is split over shards. Its windows that no neighbour matched are
 merged across shards: their digests, dealt by value, are looked up in the sorted digests by binary search.
@@ -34,6 +34,7 @@ GRAM = 16
 PORTION = 1 << 17  # bytes hashed at once, so that arrays stay in the processor's cache
 LONGEST = 1024  # windows of a stretch; a longer run is cut
 SHARD = 2 << 20  # bytes of one suffix array
+LANE = 512  # consecutive starts that one lane of Kasai's scan walks
 SPLIT = 8 << 20  # bytes of one hash's contents above which they are spread over shards
 
 _BASE = 0x9E3779B97F4A7C15
@@ -137,43 +138,84 @@ def _contents(length: int):
     return run
 
 
-def window_classes(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """The windows at ``starts`` in suffix order, and whether each has the whole window in common with the one before.
+def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All suffixes in order, the place of each, and each suffix's first 7 bytes as a number.
 
-    Larsson-Sadakane refinement: ranks by the first 8 bytes, then by twice as many, sorting again only what is
-    still tied; the last step lets two ranks overlap, so that they cover the window exactly.
+    Larsson-Sadakane refinement: ranks by the first 7 bytes, then by twice as many, sorting again only what is
+    still tied, until nothing is. A suffix that ends comes before its continuations.
     """
     n = len(data)
-    padded = np.concatenate([data, np.zeros(length + 8, np.uint8)])
-    key = np.zeros(n, np.uint64)
-    for k in range(8):
-        key = (key << U(8)) | padded[k:n + k]
+    padded = np.concatenate([data, np.zeros(7, np.uint8)])
+    words = np.zeros(n, np.uint64)
+    for k in range(7):
+        words = (words << U(8)) | padded[k:n + k]
+    key = (words << U(8)) | np.minimum(n - np.arange(n), 7).astype(np.uint64)
     order = np.argsort(key)
     first = np.ones(n, bool)
     first[1:] = key[order][1:] != key[order][:-1]
-    rank = np.empty(n + length, np.int64)
-    rank[n:] = 0
+    rank = np.zeros(n + 1, np.int64)  # the last entry stands for all places after the end
     rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0)) + 1
-    size = 8
-    while size * 2 <= length:
-        last = np.ones(n, bool)
-        last[:-1] = first[1:]
-        tied = np.flatnonzero(~(first & last))  # places in the order that share a rank
-        if not len(tied):
-            break
+    size = 7
+    last = np.ones(n, bool)
+    last[:-1] = first[1:]
+    tied = np.flatnonzero(~(first & last))  # places in the order that share a rank
+    while len(tied):
         at = order[tied]
-        pair = (rank[at] << 32) | rank[at + size]
+        pair = (rank[at] << 32) | rank[np.minimum(at + size, n)]
         turn = np.argsort(pair)
         order[tied] = at[turn]
         pair = pair[turn]
-        first[tied[1:]] = pair[1:] != pair[:-1]
-        fresh = np.maximum.accumulate(np.where(first[tied], tied, 0)) + 1
-        rank[order[tied]] = fresh
+        fresh = np.ones(len(tied) + 1, bool)
+        fresh[1:-1] = pair[1:] != pair[:-1]
+        rank[order[tied]] = np.maximum.accumulate(np.where(fresh[:-1], tied, 0)) + 1
+        tied = tied[~(fresh[:-1] & fresh[1:])]
         size *= 2
-    pair = (rank[starts] << 32) | rank[starts + length - size]
-    turn = np.argsort(pair)
+    return order, rank[:n] - 1, words
+
+
+def common_prefixes(order: np.ndarray, words: np.ndarray, most: int) -> np.ndarray:
+    """Length of the prefix that each suffix, by its start, has in common with the one before it in order, up to ``most``.
+
+    Kasai's scan: from one start to the next the prefix loses one byte at most, so only what may be new is compared.
+    Lanes of ``LANE`` consecutive starts advance together, each with the prefix it carries, 7 bytes at a time.
+    """
+    n = len(order)
+    before = np.full(n, n)
+    before[order[1:]] = order[:-1]
+    out = np.zeros(n, np.int64)
+    at = np.arange(0, n, LANE)
+    same = np.zeros(len(at), np.int64)
+    for _ in range(min(n, LANE)):
+        if at[-1] >= n:
+            at, same = at[:-1], same[:-1]
+        other = before[at]
+        room = np.minimum(n - np.maximum(at, other), most)
+        same = np.maximum(same - 1, 0)
+        lanes = np.flatnonzero(same < room)
+        while len(lanes):
+            unlike = words[at[lanes] + same[lanes]] ^ words[other[lanes] + same[lanes]]
+            bits = np.frexp((unlike & ~(unlike >> U(1))).astype(np.float64))[1]  # the second bit is off: no rounding up
+            gain = (56 - bits) >> 3
+            same[lanes] += gain
+            lanes = lanes[(gain == 7) & (same[lanes] < room[lanes])]
+        same = np.minimum(same, room)
+        out[at] = same
+        at = at + 1
+    return out
+
+
+def window_classes(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows at ``starts`` in suffix order, and whether each has the whole window in common with the one before.
+
+    Two windows are equal if all common prefixes from the one to the other in the order have their length.
+    """
+    order, place, words = suffix_array(data)
+    classes = np.cumsum(common_prefixes(order, words, length)[order] < length)
+    places = place[starts]
+    turn = np.argsort(places)
+    mine = classes[places[turn]]
     same = np.zeros(len(starts), bool)
-    same[1:] = pair[turn][1:] == pair[turn][:-1]
+    same[1:] = mine[1:] == mine[:-1]
     return turn, same
 
 

@@ -1,6 +1,7 @@
 """Licences, packing, mixing and scoring on small tables, each against a plain computation."""
 
 import math
+import os
 import pathlib
 import random
 import re
@@ -306,6 +307,20 @@ def test_repeats_against_plain_search(docs, prose, split, monkeypatch):
     assert repeats.cut_texts(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("lane", [1, 7, 512])
+def test_suffix_array_and_common_prefixes(lane, prose, monkeypatch):
+    monkeypatch.setattr(repeats, "LANE", lane)
+    shared = prose(12, 9).encode()
+    for raw in (b"", b"a", b"a" * 70, b"x\0\0", b"\0" * 20, b"ab" * 40 + b"\0a", shared + prose(9, 1).encode() + shared + shared, bytes(range(256)) * 2):
+        order, place, words = repeats.suffix_array(np.frombuffer(raw, np.uint8))
+        assert order.tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
+        assert place[order].tolist() == list(range(len(raw)))
+        for most in (5, 40, 1000):
+            found = repeats.common_prefixes(order, words, most).tolist()
+            for a, b in zip(order.tolist(), order[1:].tolist()):
+                assert found[b] == min(most, len(os.path.commonprefix([raw[a:], raw[b:]])))
+
+
 def test_long_texts_in_parts(docs, prose, monkeypatch):
     monkeypatch.setattr(repeats, "PORTION", 500)
     shared = prose(60, 5)
