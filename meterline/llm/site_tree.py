@@ -5,9 +5,11 @@ presentation importance is the entropy of its child sequences over the pages, it
 entropy of its texts; both are 0 where every page shows the same and 1 where every page differs. Branches whose
 two importances are low are the site's frame and are removed from each page that has them. Elements that
 declare what they are (navigation, forms, adverts, comments, ...) are removed as such. A page that declares
-its article is reduced to it. What the article holds is in the tree too, as nodes of its own: the declaration weighs
+its article is reduced to it; inside it an element declares itself by whole names only ("share-buttons", but not
+"share-price"), a paragraph not at all. What the article holds is in the tree too, as nodes of its own, by path and, as
+siblings, by their place on the path from its first and from its last block: the declaration weighs
 against removal by a lower importance, a text goes only where that very text is on several pages of the host, and
-an article that would lose all its text keeps it.
+an article that would lose all its text, or half of it by its siblings, keeps it.
 
 Only counts by host, node and feature are shuffled, aggregated map-side, so one host may have any share of the
 pages. Copies of a page, rows of one host with the same html, take part in the tree as one.
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -43,13 +46,21 @@ NOISE_TAGS = frozenset("nav header footer aside form menu dialog search button f
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
 NOISE_WORDS = frozenset("ad ads adv advert adverts advertisement advertising adsense banner sponsor sponsored sponsors promo promotion promoted menu nav navbar navigation breadcrumb breadcrumbs sidebar footer masthead comment comments disqus respond reply replies notice notices cookie cookies consent gdpr popup modal overlay newsletter subscribe subscription signup login social share sharing related recommended widget toolbar pagination pager skip".split())
 OPEN_WORDS = frozenset("article post entry story".split())  # beside one of these, "header" is the article's own
+PART_WORDS = frozenset("area bar block body bottom box button buttons card cards container content form group icons inline inner item items left link links list modal outer panel post posts right row section slot thread title top unit wrap wrapper".split())  # say only how a part looks
 
 _TOKEN = re.compile(r"""<(?:!--.*?(?:-->|\Z)|(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<more>(?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z)|[!?/][^>]*(?:>|\Z))""", re.S)
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 _WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|\d+")
 
 
-def _is_noise(tag: str, attributes: dict[str, str]) -> bool:
+def _named_noise(name: str) -> bool:
+    """A whole class or id that names frame: a listed word, and beside it only such and words for parts of a page."""
+    words = {w.lower() for w in _WORD.findall(name)} - {w for w in _WORD.findall(name) if w.isdigit()}
+    return bool(words & NOISE_WORDS) and words <= NOISE_WORDS | PART_WORDS
+
+
+def _is_noise(tag: str, attributes: dict[str, str], article: bool = False) -> bool:
+    """Whether an element declares itself no content; inside an article by its whole names, and not where it is a paragraph."""
     if tag in NOISE_TAGS:
         return True
     if not attributes:
@@ -58,9 +69,11 @@ def _is_noise(tag: str, attributes: dict[str, str]) -> bool:
         return True
     if attributes.get("role", "").lower() in NOISE_ROLES:
         return True
-    words = {w.lower() for name in ("class", "id") for w in _WORD.findall(attributes.get(name, ""))}
     if tag in ("html", "body", "main"):
         return False
+    if article and tag != "article":
+        return tag != "p" and any(_named_noise(name) for kind in ("class", "id") for name in attributes.get(kind, "").split())
+    words = {w.lower() for name in ("class", "id") for w in _WORD.findall(attributes.get(name, ""))}
     if tag == "article":
         return bool(words & {"comment", "comments", "reply"})
     return bool(words & NOISE_WORDS) or ("header" in words and not words & OPEN_WORDS)
@@ -120,7 +133,7 @@ class Page:
         if tag in BLOCKS:
             self.children.setdefault(path, []).append(tag)
             path = f"{path}/{tag}" + ("." + ".".join(sorted(attributes["class"].split())) if attributes.get("class") else "")
-        noise = noise or _is_noise(tag, attributes)
+        noise = noise or _is_noise(tag, attributes, article)
         declared = tag in ("article", "main") or attributes.get("role") == "main" or attributes.get("itemprop") == "articleBody"
         self.stack.append((tag, path, noise, article or (declared and not noise)))
 
@@ -161,11 +174,27 @@ class Page:
 INSIDE = "\n"  # begins the path of a node inside a declared article
 
 
+def _article_nodes(blocks: list[tuple[str, str]]) -> list[tuple[str, str, str]]:
+    """The nodes of each block of an article: its path, and as a sibling its place on that path from the first and from the last."""
+    total, seen, out = Counter(path for path, _ in blocks), Counter(), []
+    for path, _ in blocks:
+        out.append((INSIDE + path, f"{INSIDE}{path}\t{seen[path]}", f"{INSIDE}{path}\t-{total[path] - seen[path]}"))
+        seen[path] += 1
+    return out
+
+
 def main_text(source: str, frame: set[str] = frozenset()) -> str:
-    """The page's article; ``frame`` are paths of the site's frame."""
+    """The page's article; ``frame`` are nodes of the site's frame."""
     blocks = Page(source).blocks
     whole = [(path, text) for path, noise, article, text in blocks if article and not noise]
-    kept = [text for path, text in whole if INSIDE + path not in frame] or [text for _, text in whole]
+    kept = [text for _, text in whole]
+    if frame and whole:
+        nodes = _article_nodes(whole)
+        by_path = [i for i, (path, _, _) in enumerate(nodes) if path not in frame] or list(range(len(whole)))
+        siblings = [i for i in by_path if frame.isdisjoint(nodes[i][1:])]
+        if 2 * sum(len(kept[i]) for i in siblings) <= sum(len(kept[i]) for i in by_path):
+            siblings = by_path  # most of it is shared: a version of other pages, no article with a frame in it
+        kept = [kept[i] for i in siblings]
     if not kept:
         def framed(path: str) -> bool:
             parts = path.split("/")
@@ -185,13 +214,18 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: dict[str, list] = {"key": [], "host": [], "path": [], "style": [], "content": []}
         for key, host, source in zip(*(c.to_pylist() for c in batch.columns)):
             page = Page(source or "")
+            inside = [(path, text) for path, noise, article, text in page.blocks if article and not noise]
             texts: dict[str, list[str]] = {}
             for path, noise, article, text in page.blocks:
-                if not noise:
-                    texts.setdefault(INSIDE + path if article else path, []).append(text)
-            for path, own in texts.items():
-                for name, value in (("key", key), ("host", host), ("path", path),
-                                    ("style", digest(page.children.get(path.removeprefix(INSIDE), []))), ("content", digest(own))):
+                if not noise and not article:
+                    texts.setdefault(path, []).append(text)
+            for nodes, (_, text) in zip(_article_nodes(inside), inside):
+                for node in nodes:
+                    texts.setdefault(node, []).append(text)
+            for node, own in texts.items():
+                path = node.removeprefix(INSIDE).partition("\t")[0]
+                for name, value in (("key", key), ("host", host), ("path", node),
+                                    ("style", digest(page.children.get(path, []))), ("content", digest(own))):
                     out[name].append(value)
         yield pa.RecordBatch.from_arrays([pa.array(v, pa.string() if k in ("host", "path") else pa.int64()) for k, v in out.items()],
                                          names=list(out))

@@ -216,3 +216,23 @@ def test_frame_inside_articles_is_removed(spark, prose):
     found = texts(spark, rows)
     assert all(found[k] == prose(9, k) for k in range(30))
     assert found[30] == "Only here" and found[40] == f"{prose(9, 0)}\nJoin us today"
+
+
+def test_names_inside_articles(spark, prose):
+    inner = ("<section id='related-work'><p>one</p></section><div class='share-price'>two</div><p class='notice'>three</p>"
+             "<div class='share-buttons'>no</div><div class='wide ad'>no</div><ul class='relatedPosts'><li>no</ul><div id=ad-slot-3>no</div>")
+    assert texts(spark, [(1, "http://a.example/", page(f"<article>{inner}</article>"))]) == {1: "one\ntwo\nthree"}
+
+
+def test_siblings_are_judged_by_their_place(spark, prose):
+    rows = [(k, f"http://site.example/{k}", page("<article><p>Read this first</p>", *(f"<p>{prose(20, 100 * k + i)}</p>" for i in range(1 + k % 4)),
+                                                 "<p>Subscribe to our daily letter today</p></article>")) for k in range(30)]
+    found = texts(spark, rows)
+    assert all(found[k] == "\n".join(prose(20, 100 * k + i) for i in range(1 + k % 4)) for k in range(30))
+
+
+def test_versions_of_an_article_stay_whole(spark, prose):
+    shared = [prose(20, i) for i in range(5)]
+    rows = [(k, f"http://site.example/{k}", page("<article>", *(f"<p>{t}</p>" for t in [*shared, prose(20, 50 + k)]), "</article>")) for k in range(30)]
+    found = texts(spark, rows)
+    assert all(found[k] == "\n".join([*shared, prose(20, 50 + k)]) for k in range(30))
