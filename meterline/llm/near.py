@@ -44,6 +44,7 @@ MARGIN = 6.0  # standard deviations an estimate may lie below the threshold
 BLOCK = 256  # classes of a family in one block
 PIECE = 1024  # classes of a key compared in one piece
 PAIRS = 25_000  # estimates computed at once
+MET = 1 << 18  # pairs of blocks a task holds to give each of them once
 
 SAME = ["digest_a", "digest_b", "n"]  # equal for equal sets
 SKETCH = "doc_id long, n long, digest_a long, digest_b long, registers binary, keys array<long>"
@@ -270,8 +271,12 @@ def _runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tab
 
 
 def _promising_blocks(percent: int):
-    """Pairs of blocks with a pair of classes that share a key and may be similar, of different components."""
+    """Pairs of blocks with a pair of classes that share a key and may be similar, of different components.
+
+    Two blocks meet under many keys; a task gives a pair of them once, or again after ``MET`` others.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met, held = [np.zeros((2, 0), np.int64)], 0
         for table in _runs(batches, ["key", "i", "j"]):
             table = table.combine_chunks()
             key, i, j, block, left = (table.column(c).to_numpy() for c in ("key", "i", "j", "block", "left"))
@@ -294,9 +299,17 @@ def _promising_blocks(percent: int):
                 x, y = x[other], y[other]
                 hope = _hopeful(rows, x, y, percent / 100)
                 p, q = np.minimum(block[x[hope]], block[y[hope]]), np.maximum(block[x[hope]], block[y[hope]])
-                found = np.unique(np.stack([p, q]), axis=1) if len(p) else np.zeros((2, 0), np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["i", "j"])
+                if len(p):
+                    met.append(np.unique(np.stack([p, q]), axis=1))
+                    held += met[-1].shape[1]
+                if held >= 2 * MET:
+                    met = [np.unique(np.concatenate(met, axis=1), axis=1)]
+                    held = met[0].shape[1]
+                    if held >= MET:
+                        yield pa.RecordBatch.from_arrays(list(map(pa.array, met[0])), names=["i", "j"])
+                        met, held = [np.zeros((2, 0), np.int64)], 0
                 done = stop
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, np.unique(np.concatenate(met, axis=1), axis=1))), names=["i", "j"])
     return run
 
 

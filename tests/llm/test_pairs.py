@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,6 +96,15 @@ def test_near_copies_with_repeated_and_missing_ids(docs, prose, piece, monkeypat
     assert ("6", 37, "5", False) in found and ("7", 37, "5", False) in found
 
 
+def test_blocks_that_meet_under_many_keys_are_given_once():
+    sketch = near.registers(np.random.default_rng(3).integers(0, 1 << 63, 500).astype(np.uint64), np.zeros(500, np.int64), 1).tobytes()
+    rows = [{"key": key, "i": 0, "j": 0, "left": k < 200, "component": k, "n": 500, "registers": sketch, "block": k % 7}
+            for key in range(5) for k in range(400)]
+    batches = pa.Table.from_pylist(rows).to_batches(300)
+    found = pa.Table.from_batches(list(near._promising_blocks(75)(iter(batches)))).to_pylist()
+    assert sorted((r["i"], r["j"]) for r in found) == [(a, b) for a in range(7) for b in range(a, 7)]
+
+
 def test_estimates_are_near_the_similarity():
     r = np.random.default_rng(2)
     shared, own = r.integers(0, (1 << 64) - 1, 900, np.uint64), r.integers(0, (1 << 64) - 1, 100, np.uint64)
