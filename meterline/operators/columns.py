@@ -11,6 +11,9 @@ from meterline import schemas
 from meterline.functions.scalars import finite_or_null
 
 
+_WHOLE = r"^[\x00-\x20\x7F]*[+-]?[0-9]+[\x00-\x20\x7F]*$"  # the text that casts to bigint, range aside
+
+
 def rename(df: DataFrame, names: dict[str, str]) -> DataFrame:
     return df.withColumnsRenamed(names)
 
@@ -59,7 +62,9 @@ def coerce(df: DataFrame, ints: list[str] = (), floats: list[str] = (),
     """
     plan: dict[str, Column] = {}
     for c in ints:
-        plan[c] = F.coalesce(F.col(c).try_cast("bigint"), F.col(c).try_cast("double").try_cast("bigint"))
+        # A cast that fails costs many times one that succeeds, so text that is no whole number isn't tried as one.
+        whole = F.when(F.col(c).rlike(_WHOLE), F.col(c)) if dict(df.dtypes).get(c) == "string" else F.col(c)
+        plan[c] = F.coalesce(whole.try_cast("bigint"), F.col(c).try_cast("double").try_cast("bigint"))
     for c in floats:
         plan[c] = finite_or_null(F.col(c).try_cast("double"))
     for c in timestamps:

@@ -161,3 +161,24 @@ def test_convert_once(spark, tmp_path):
     source = text_file(tmp_path / "c.csv", "a,b\n1,x\n")
     assert S.convert_once(spark, source, str(tmp_path / "c"), "a int, b string")
     assert not S.convert_once(spark, source, str(tmp_path / "c"), "a int, b string")
+
+
+def test_month_files_come_from_one_join(spark, monkeypatch):
+    from meterline import fixtures
+    from meterline.catalog import files
+    calls, trips = [], fixtures.trips
+    counted = lambda *a: (calls.append(a), trips(*a))[1]
+    monkeypatch.setattr(fixtures, "trips", counted)
+    monkeypatch.setattr(files, "trips", counted)
+    assert files.read_months(spark, "/root/testdata/sf0.001").count() > 0 and len(calls) == 1
+
+
+def test_text_that_is_no_whole_number_is_not_cast_to_one_first(spark):
+    from meterline.operators.columns import coerce
+    texts = ["7", " 7\t", "+7", "-7", "7.0", "7.9", "1e3", "", " ", "x", "+", "0x1", "٣", "NaN", "9223372036854775807", "99999999999999999999", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    out = coerce(df, ints=["t"])
+    assert "RLIKE" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert [r.t for r in out.collect()] == [7, 7, 7, -7, 7, 7, 1000, None, None, None, None, None, None, None, 9223372036854775807, None, None]
+    plain = coerce(df.select(F.lit(2.0).alias("d"), F.lit(3).alias("i")), ints=["d", "i"]).first()
+    assert (plain.d, plain.i) == (2, 3)
