@@ -11,7 +11,7 @@ from meterline.lookups import PAYMENT_DESCRIPTIONS, PAYMENT_NAMES, VENDOR_NAMES,
 from meterline.operators import columns as P
 from meterline.operators.sets import union_trips
 from meterline.plans import models as M
-from meterline.session import load_table, work_path
+from meterline.session import load_table, stored, work_path
 from meterline.sinks.materialize import current
 
 
@@ -62,12 +62,13 @@ fact AS (
        LEFT JOIN zones d ON dropoff_location_id = d.LocationID)"""
 
 
-def _tables(spark, folder, only=None):
-    """Raw tables with gaps: some vendors and some payment codes are missing. ``only`` restricts the trips."""
+def _tables(spark, folder, only=None, rows=None):
+    """Raw tables with gaps: some vendors and some payment codes are missing. ``only`` restricts the trips,
+    ``rows`` are trips at hand."""
     out = {}
     for service in ("Green", "Yellow"):
         prefix = {"Green": "lpep", "Yellow": "tpep"}[service]
-        part = trips(spark, folder).filter(F.col("service_type") == service)
+        part = (trips(spark, folder) if rows is None else rows).filter(F.col("service_type") == service)
         part = part if only is None else part.filter(only)
         shaped = part.select(
             F.when(F.col("source_part") % 17 != 0, F.col("vendor_id")).alias("vendorid"),
@@ -182,9 +183,11 @@ _IN_TIME = f"""source_part % 17 <> 0 AND NOT (source_part % 19 = 0 AND pickup_da
 def fct_trips_incremental(spark, folder):
     """Loaded up to a date, then twice with everything there is."""
     target = work_path(spark, "fct-trips")
-    M.load_fct_trips(_tables(spark, folder, _EARLY), target)
+    raw = stored(trips(spark, folder).drop(
+        "congestion_surcharge", "dispatching_base_num", "source_order", "source_line", "source_supplier"), "raw-trips")
+    M.load_fct_trips(_tables(spark, folder, _EARLY, raw), target)
     for _ in range(2):
-        M.load_fct_trips(_tables(spark, folder), target)
+        M.load_fct_trips(_tables(spark, folder, rows=raw), target)
     return _plain(current(spark, target))
 
 

@@ -248,3 +248,23 @@ def test_older_versions_stay_readable_until_expired(spark, tmp_path):
     assert first.first()["id"] == 0
     M.expire_versions(spark, path, keep=1)
     assert M.current(spark, path).first()["id"] == 3
+
+
+def test_the_fact_is_loaded_from_one_join(spark, monkeypatch):
+    from meterline import fixtures
+    from meterline.catalog import models
+    calls, trips = [], fixtures.trips
+    counted = lambda *a: (calls.append(a), trips(*a))[1]
+    monkeypatch.setattr(models, "trips", counted)
+    assert models.fct_trips_incremental(spark, "/root/testdata/sf0.001").count() > 0 and len(calls) == 1
+
+
+def test_only_whole_keys_count_as_shared(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "a"), (2, None)], "i int, s string")
+    same = F.lit(0)  # all hashes alike
+    for hashed in (F.xxhash64, lambda *keys: same):
+        monkeypatch.setattr(M.F, "xxhash64", hashed)
+        M._refuse_shared_keys(df, ["i", "s"])
+        for copy in ((1, "b"), (None, "a"), (2, None)):
+            with pytest.raises(ValueError):
+                M._refuse_shared_keys(df.unionByName(spark.createDataFrame([copy], df.schema)), ["i", "s"])
