@@ -365,8 +365,9 @@ def tips_by_payment(spark, folder):
 @query("A24 P18", """
 SELECT value, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM documents) GROUP BY 1""")
 def items_per_value(spark, folder):
+    """Lines by count. Most occur once, and a hash deals those of one count over the tasks of the sort."""
     docs = load_table(spark, folder, "documents").withColumn("lines", F.split("text", "\n"))
-    return A.count_by(P.child_table(docs, "doc_id", "lines"), "value").orderBy(F.desc("n"))
+    return A.count_by(P.child_table(docs, "doc_id", "lines"), "value").orderBy(F.desc("n"), F.xxhash64("value"))
 
 
 @query("P18", """

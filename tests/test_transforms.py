@@ -166,3 +166,14 @@ def test_monthly_revenue_job_by_arguments(spark, tmp_path):
     assert sorted((r.service_type, r.revenue_zone, r.revenue_monthly_total_amount, r.avg_monthly_trip_distance)
                   for r in out.collect()) == [("green", 7, 3.0, 3.0), ("yellow", 7, 3.0, 3.0)]
     assert len(list((tmp_path / "out").glob("part-*.parquet"))) == 1
+
+
+def test_lines_that_occur_once_are_sorted_by_all_tasks(spark):
+    from pyspark.sql import functions as F
+    from meterline.catalog.reports import items_per_value
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in items_per_value(spark, "/root/testdata/sf0.001").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) > 100 and max(sizes) < 0.5 * sum(sizes)
