@@ -149,19 +149,24 @@ def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     words = np.zeros(n, np.uint64)
     for k in range(7):
         words = (words << U(8)) | padded[k:n + k]
-    key = (words << U(8)) | np.minimum(n - np.arange(n), 7).astype(np.uint64)
-    order = np.argsort(key)
+    key = words << U(8)
+    key |= U(7)
+    key[max(0, n - 7):] = (words[max(0, n - 7):] << U(8)) | np.arange(min(n, 7), 0, -1).astype(np.uint64)
+    order = np.argsort(key).astype(np.int32)
+    key = key[order]
     first = np.ones(n, bool)
-    first[1:] = key[order][1:] != key[order][:-1]
-    rank = np.zeros(n + 1, np.int64)  # the last entry stands for all places after the end
-    rank[order] = np.maximum.accumulate(np.where(first, np.arange(n), 0)) + 1
+    first[1:] = key[1:] != key[:-1]
+    del key
+    rank = np.zeros(n + 1, np.int32)  # the last entry stands for all places after the end
+    rank[order] = np.maximum.accumulate(np.where(first, np.arange(n, dtype=np.int32), np.int32(0))) + 1
     size = 7
     last = np.ones(n, bool)
     last[:-1] = first[1:]
-    tied = np.flatnonzero(~(first & last))  # places in the order that share a rank
+    tied = np.flatnonzero(~(first & last)).astype(np.int32)  # places in the order that share a rank
+    del first, last
     while len(tied):
         at = order[tied]
-        pair = (rank[at] << 32) | rank[np.minimum(at + size, n)]
+        pair = (rank[at].astype(np.int64) << 32) | rank[np.minimum(at.astype(np.int64) + size, n)]
         turn = np.argsort(pair)
         order[tied] = at[turn]
         pair = pair[turn]
@@ -180,9 +185,9 @@ def common_prefixes(order: np.ndarray, words: np.ndarray, most: int) -> np.ndarr
     Lanes of ``LANE`` consecutive starts advance together, each with the prefix it carries, 7 bytes at a time.
     """
     n = len(order)
-    before = np.full(n, n)
+    before = np.full(n, n, np.int32)
     before[order[1:]] = order[:-1]
-    out = np.zeros(n, np.int64)
+    out = np.zeros(n, np.int32)
     at = np.arange(0, n, LANE)
     same = np.zeros(len(at), np.int64)
     for _ in range(min(n, LANE)):
@@ -210,9 +215,10 @@ def window_classes(data: np.ndarray, starts: np.ndarray, length: int) -> tuple[n
     Two windows are equal if all common prefixes from the one to the other in the order have their length.
     """
     order, place, words = suffix_array(data)
-    classes = np.cumsum(common_prefixes(order, words, length)[order] < length)
+    classes = np.cumsum(common_prefixes(order, words, length)[order] < length, dtype=np.int32)
+    del order, words
     places = place[starts]
-    turn = np.argsort(places)
+    turn = np.argsort(places).astype(np.int32)
     mine = classes[places[turn]]
     same = np.zeros(len(starts), bool)
     same[1:] = mine[1:] == mine[:-1]
@@ -226,9 +232,10 @@ def _shard_ranges(length: int):
         keys, digests, shards, n = (rows.column(c).to_numpy() for c in ("hash", "digest", "shard", "n"))
         data, places = _binary(rows.column("bytes"))
         windows = np.diff(places) - length + 1
-        owner = np.repeat(np.arange(len(windows)), windows)
-        inner = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-        starts = places[owner] + inner
+        # 32 bits are enough for places in a shard; the largest have several MB, so wider ones would tell
+        owner = np.repeat(np.arange(len(windows), dtype=np.int32), windows)
+        inner = np.arange(len(owner), dtype=np.int32) - np.repeat((np.cumsum(windows) - windows).astype(np.int32), windows)
+        starts = places.astype(np.int32)[owner] + inner
         turn, same = window_classes(data, starts, length)
         repeated = np.zeros(len(starts), bool)
         repeated[turn[same]] = True
@@ -253,11 +260,12 @@ def _shard_ranges(length: int):
             for a, b in zip(cuts, cuts[1:]):
                 if a == b:
                     continue
-                if held and size > SHARD and (key[a], shard[a]) != last:
+                more = int(length_of[a:b].sum())
+                if held and size + more > SHARD and (key[a], shard[a]) != last:
                     yield from solve(pa.Table.from_batches(held))
                     held, size = [], 0
                 held.append(batch.slice(a, b - a))
-                size += int(length_of[a:b].sum())
+                size += more
                 last = (key[a], shard[a])
         if held:
             yield from solve(pa.Table.from_batches(held))

@@ -366,3 +366,21 @@ def test_long_texts_are_walked_in_stretches(monkeypatch):
     for stretch in (1, 7, 1024):
         monkeypatch.setattr(backoff_lm, "STRETCH", stretch)
         assert np.allclose(backoff_lm.walk(first, [root, pair], [fail], [of]), wanted)
+
+
+def test_a_shard_of_near_copies_takes_few_bytes_a_byte():
+    import tracemalloc
+
+    import pyarrow as pa
+    r = np.random.default_rng(1)
+    base, texts = r.integers(97, 105, 300).astype(np.uint8), []
+    for _ in range(3000):
+        texts.append(base.copy())
+        texts[-1][r.integers(0, 300, 6)] = 97 + r.integers(0, 8)
+    batch = pa.table({"hash": np.zeros(3000, np.int64), "digest": np.arange(3000), "shard": np.full(3000, -1, np.int32),
+                      "n": np.ones(3000, np.int32), "bytes": pa.array([t.tobytes() for t in texts], pa.binary())}).to_batches()[0]
+    tracemalloc.start()
+    found = list(repeats._shard_ranges(200)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(f.num_rows for f in found) > 100 and peak < 85 * 900_000
