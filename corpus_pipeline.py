@@ -6,7 +6,7 @@ empty texts pass all stages; null ids take part in none of the comparisons and p
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from meterline.llm import mixing, near, packing, quality, repeats
@@ -45,8 +45,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their place in sequences of 1024 tokens."""
-    return packing.pack(docs, RANKS, length=1024, end_id=2)
+    """Token pieces with their place in sequences of 1024 tokens, numbered in the order in which the mix comes to them."""
+    file, row, before, place = (free(c, docs.columns) for c in ("file", "row", "before", "place"))
+    rows = docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+    sizes = rows.groupBy(file).agg(F.count("*").alias(before))  # a row per file
+    ends = sizes.withColumn(before, F.sum(before).over(Window.orderBy(file)) - F.col(before))
+    ordered = rows.join(F.broadcast(ends), file).withColumn(place, F.col(before) + F.col(row))
+    return packing.pack(ordered, RANKS, length=1024, end_id=2, order=place)
 
 
 STAGES = [

@@ -8,7 +8,7 @@ elite to the next one. Bins that stay under-filled are then dealt anew, whole, a
 together with those of other shards, starting from the packing they came with, so a level never gets worse.
 
 Null and empty texts are a piece with the end token alone. Repeated rows are packed as often as they occur.
-An empty table gives no rows. Columns of the input other than the id and the text are not looked at.
+An empty table gives no rows. Columns of the input other than the id, the text and a named order are not looked at.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ GENERATIONS = 12
 POPULATION = 4
 FULL_ENOUGH = 0.99  # bins below this fill are dealt anew on the second level
 
-PIECES = ("doc_id long, piece int, start long, length int, ids_crc32 long")
+PIECES = ("doc_id long, place long, piece int, start long, length int, ids_crc32 long")
 ELITE = "shard long, island int, uids array<long>, lengths array<int>, bins array<int>, n_bins int, fill double"
 
 _ENCODINGS: dict[str, object] = {}
@@ -66,21 +66,26 @@ def cut(n: int, length: int) -> list[tuple[int, int]]:
 
 
 def token_pieces(docs: DataFrame, ranks_file: str, length: int, end_id: int) -> DataFrame:
-    """One row per piece of every document: place in the document, length and checksum of its ids."""
+    """One row per piece of every document (doc_id, text): place in the document, length and checksum of its ids.
+
+    A third column is the document's own place, 0 without it.
+    """
+    docs = docs if len(docs.columns) > 2 else docs.withColumn("place", F.lit(0).cast("long"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for doc, text in zip(batch.column(0), batch.column(1)):
+            for doc, text, place in zip(batch.column(0), batch.column(1), batch.column(2)):
                 ids = token_ids(ranks_file, text.as_py() or "")
                 ids.append(end_id)
                 packed = np.array(ids, "<u4")
-                out += [(doc.as_py(), k, s, n, zlib.crc32(packed[s:s + n].tobytes()))
+                out += [(doc.as_py(), place.as_py(), k, s, n, zlib.crc32(packed[s:s + n].tobytes()))
                         for k, (s, n) in enumerate(cut(len(ids), length))]
             if out:
                 columns = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()))],
-                    names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                    [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int64()))],
+                    names=["doc_id", "place", "piece", "start", "length", "ids_crc32"])
     return docs.mapInArrow(run, PIECES)
 
 
@@ -236,12 +241,15 @@ def pack_level(items: DataFrame, shards: DataFrame, capacity: int, name: str) ->
     return stored(rows, name)
 
 
-def pack(docs: DataFrame, ranks_file: str, length: int = 1024, end_id: int = 2) -> DataFrame:
+def pack(docs: DataFrame, ranks_file: str, length: int = 1024, end_id: int = 2, order: str | None = None) -> DataFrame:
     """Pack the documents (doc_id, text) into sequences of at most ``length`` tokens.
 
-    Returns one row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+    Returns one row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset. ``order`` names a column
+    with each document's place, from 0 and below 2**40: sequences are then numbered in the order of their first piece,
+    by place and piece.
     """
-    pieces = stored(token_pieces(docs.select("doc_id", "text"), ranks_file, length, end_id)
+    place = F.lit(0) if order is None else F.col(order)
+    pieces = stored(token_pieces(docs.select("doc_id", "text", place.cast("long").alias("place")), ranks_file, length, end_id)
                     .withColumn("uid", F.monotonically_increasing_id()), "pieces")
     short = pieces.where(F.col("length") < length).select("uid", "length")
 
@@ -259,5 +267,10 @@ def pack(docs: DataFrame, ranks_file: str, length: int = 1024, end_id: int = 2)
     full = pieces.where(F.col("length") == length).withColumns(
         {"sequence_id": F.col("uid") + F.lit(1 << 61), "offset": F.lit(0).cast("long")})
     columns = ["doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset"]
-    return (pieces.where(F.col("length") < length).join(placed, "uid").select(*columns)
-            .unionByName(full.select(*columns)))
+    key = F.shiftleft("place", 20) + F.col("piece")
+    parts = pieces.where(F.col("length") < length).join(placed, "uid")
+    if order is not None:
+        first = parts.groupBy("sequence_id").agg(F.min(key).alias("first"))
+        parts = parts.join(first, "sequence_id").drop("sequence_id").withColumnRenamed("first", "sequence_id")
+        full = full.withColumn("sequence_id", key)
+    return parts.select(*columns).unionByName(full.select(*columns))

@@ -111,3 +111,16 @@ def test_sequences_hold_every_token(kept):
 def test_run(spark, kept, folder):
     out = pipeline.run(spark, folder)
     assert out.columns == kept[5].columns and out.count() == kept[5].count()
+
+
+def test_sequences_follow_the_mix(kept, spark, folder):
+    paths = sorted(kept[4].inputFiles())
+    mixed = [r["doc_id"] for path in paths for r in spark.read.parquet(path).collect()]
+    place = {doc: k for k, doc in enumerate(mixed)}
+    rows = kept[5].collect()
+    first = {}
+    for r in rows:
+        at = (place[r["doc_id"]], r["piece"])
+        first[r["sequence_id"]] = min(first.get(r["sequence_id"], at), at)
+    by_number = [first[s] for s in sorted(first)]
+    assert by_number == sorted(by_number) and len(by_number) > 5
