@@ -33,7 +33,7 @@ from meterline.llm.textbytes import U, chunks, mix, text_bytes
 GRAM = 16
 PORTION = 1 << 17  # bytes hashed at once, so that arrays stay in the processor's cache
 LONGEST = 1024  # windows of a stretch; a longer run is cut
-SHARD = 2 << 20  # bytes of one suffix array
+SHARD = 1 << 20  # bytes of one suffix array
 LANE = 512  # consecutive starts that one lane of Kasai's scan walks
 SPLIT = 8 << 20  # bytes of one hash's contents above which they are spread over shards
 
@@ -122,6 +122,7 @@ def _stretches(length: int):
                     [doc.take(pa.array(rows + row)), pa.array(text[rows + row]), pa.array((begin - places[rows] + shift).astype(np.int32)),
                      pa.array(windows.astype(np.int32)), pa.array(least.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(twice)],
                     names=["doc_id", "text_hash", "start", "windows", "hash", "digest", "twice"])
+        pa.default_memory_pool().release_unused()  # the worker lives on beside the executor's other stages
     return run
 
 
@@ -135,9 +136,20 @@ def _contents(length: int):
                 parts = [raw[s:s + n + length - 1] for s, n in zip(columns["start"].tolist(), columns["windows"].tolist())]
                 yield pa.RecordBatch.from_arrays([*(marks.field(f) for f in ("hash", "digest", "shard", "n")), pa.array(parts, pa.binary())],
                                                  names=["hash", "digest", "shard", "n", "bytes"])
+        pa.default_memory_pool().release_unused()
     return run
 
 
+def _words(data: np.ndarray) -> np.ndarray:
+    """The 7 bytes from each place on as a number, 0 for bytes after the end."""
+    n = len(data)
+    words = np.zeros(n, np.uint64)
+    for k in range(7):
+        words <<= U(8)
+        words[:max(0, n - k)] |= data[k:]
+    return words
+
+
 def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All suffixes in order, the place of each, and each suffix's first 7 bytes as a number.
 
@@ -145,13 +157,10 @@ def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     still tied, until nothing is. A suffix that ends comes before its continuations.
     """
     n = len(data)
-    padded = np.concatenate([data, np.zeros(7, np.uint8)])
-    words = np.zeros(n, np.uint64)
-    for k in range(7):
-        words = (words << U(8)) | padded[k:n + k]
-    key = words << U(8)
+    key = _words(data)
+    key <<= U(8)
     key |= U(7)
-    key[max(0, n - 7):] = (words[max(0, n - 7):] << U(8)) | np.arange(min(n, 7), 0, -1).astype(np.uint64)
+    key[max(0, n - 7):] += np.arange(min(n, 7), 0, -1).astype(np.uint64) - U(7)
     order = np.argsort(key).astype(np.int32)
     key = key[order]
     first = np.ones(n, bool)
@@ -166,16 +175,21 @@ def suffix_array(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     del first, last
     while len(tied):
         at = order[tied]
-        pair = (rank[at].astype(np.int64) << 32) | rank[np.minimum(at.astype(np.int64) + size, n)]
+        pair = rank[at].astype(np.int64)
+        pair <<= 32
+        pair |= rank[np.minimum(at + np.int32(size), np.int32(n))]
         turn = np.argsort(pair)
         order[tied] = at[turn]
+        del at
         pair = pair[turn]
+        del turn
         fresh = np.ones(len(tied) + 1, bool)
         fresh[1:-1] = pair[1:] != pair[:-1]
-        rank[order[tied]] = np.maximum.accumulate(np.where(fresh[:-1], tied, 0)) + 1
+        del pair
+        rank[order[tied]] = np.maximum.accumulate(np.where(fresh[:-1], tied, np.int32(0))) + 1
         tied = tied[~(fresh[:-1] & fresh[1:])]
         size *= 2
-    return order, rank[:n] - 1, words
+    return order, rank[:n] - 1, _words(data)
 
 
 def common_prefixes(order: np.ndarray, words: np.ndarray, most: int) -> np.ndarray:
@@ -269,6 +283,8 @@ def _shard_ranges(length: int):
                 last = (key[a], shard[a])
         if held:
             yield from solve(pa.Table.from_batches(held))
+            held = []
+        pa.default_memory_pool().release_unused()
     return run
 
 
@@ -382,6 +398,24 @@ def merge(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
 CUT = ("kept_bytes", "n_bytes", "n_removed", "n_spans")
 
 
+def _with_ranges(docs: DataFrame, length: int, split: int) -> DataFrame:
+    """The documents and, as the last column, the ranges of their repeated windows."""
+    names = docs.columns
+    id_, hash_, found_ = (free(c, names) for c in ("range_id", "range_hash", "ranges"))
+    ranges = repeated_ranges(docs, length, split).select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("ranges").alias(found_))
+    joined = docs.join(ranges, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(hash_)), "left")
+    return joined.select(*(F.col(f"`{c}`") for c in names), found_)
+
+
+def _cut(text: pa.Scalar, found: pa.Scalar) -> tuple[bytes, int, list[tuple[int, int]]]:
+    """The bytes that are left of a text, its size, and the maximal runs removed."""
+    raw = (text.as_py() or "").encode()
+    marks = found.values
+    runs = merge(list(zip(marks.field("b").to_pylist(), marks.field("e").to_pylist()))) if found.is_valid else []
+    ends = [0, *(e for _, e in runs)]
+    return b"".join(raw[a:b] for a, b in zip(ends, [*(b for b, _ in runs), len(raw)])), len(raw), runs
+
+
 def cut_texts(docs: DataFrame, length: int = 200, split: int = SPLIT, added: tuple[str, ...] = CUT) -> DataFrame:
     """The documents with the bytes that are left, the size, the bytes and the maximal runs removed.
 
@@ -389,38 +423,36 @@ def cut_texts(docs: DataFrame, length: int = 200, split: int = SPLIT, added: tup
     """
     docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in added))
     names = docs.columns
-    id_, hash_, found_ = (free(c, names) for c in ("range_id", "range_hash", "ranges"))
-    ranges = repeated_ranges(docs, length, split).select(F.col("doc_id").alias(id_), F.col("text_hash").alias(hash_), F.col("ranges").alias(found_))
-    joined = docs.join(ranges, F.col("doc_id").eqNullSafe(F.col(id_)) & (F.xxhash64("text") == F.col(hash_)), "left")
     fields = [T.StructField(c, T.BinaryType() if k == 0 else T.LongType()) for k, c in enumerate(added)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, sizes, removed, spans = [], [], [], []
             for text, found in zip(batch.column(names.index("text")), batch.column(len(names))):
-                raw = (text.as_py() or "").encode()
-                marks = found.values
-                runs = merge(list(zip(marks.field("b").to_pylist(), marks.field("e").to_pylist()))) if found.is_valid else []
-                ends = [0, *(e for _, e in runs)]
-                kept.append(b"".join(raw[a:b] for a, b in zip(ends, [*(b for b, _ in runs), len(raw)])))
-                sizes.append(len(raw))
+                left, size, runs = _cut(text, found)
+                kept.append(left)
+                sizes.append(size)
                 removed.append(sum(e - b for b, e in runs))
                 spans.append(len(runs))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(names)], pa.array(kept, pa.binary()), *(pa.array(c, pa.int64()) for c in (sizes, removed, spans))],
                 names=[*names, *added])
-    return joined.select(*(F.col(f"`{c}`") for c in names), found_).mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))
+        pa.default_memory_pool().release_unused()
+    return _with_ranges(docs, length, split).mapInArrow(run, T.StructType([*docs.schema.fields, *fields]))
 
 
-def without_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
-    """The documents with what is left of their texts; a character that lost some of its bytes goes with them."""
-    cut = cut_texts(docs, length, added=tuple(free(c, docs.columns) for c in CUT))
+def without_repeats(docs: DataFrame, length: int = 200, split: int = SPLIT) -> DataFrame:
+    """The documents with what is left of their texts; a character that lost some of its bytes goes with them.
+
+    Texts are cut and decoded in one Python step: a second one would have a worker of its own in each task.
+    """
     names, place = docs.columns, docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns = list(batch.columns[:len(names)])
-            columns[place] = pa.array([v.as_py().decode(errors="ignore") if t.is_valid else None
-                                       for t, v in zip(columns[place], batch.column(len(names)))], pa.string())
+            columns[place] = pa.array([_cut(t, found)[0].decode(errors="ignore") if t.is_valid else None
+                                       for t, found in zip(columns[place], batch.column(len(names)))], pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)
-    return cut.mapInArrow(run, docs.schema)
+        pa.default_memory_pool().release_unused()
+    return _with_ranges(docs, length, split).mapInArrow(run, docs.schema)

@@ -384,3 +384,31 @@ def test_a_shard_of_near_copies_takes_few_bytes_a_byte():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert sum(f.num_rows for f in found) > 100 and peak < 85 * 900_000
+
+
+def test_texts_are_cut_in_one_python_step(spark, docs, prose):
+    shared = prose(80, 1)
+    rows = [(1, prose(20, 2) + " é" + shared), (2, shared + "é" + prose(20, 3)), (3, None)]
+    cut = repeats.without_repeats(docs(rows))
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    left = {r["doc_id"]: r["text"] for r in cut.collect()}
+    bytes_left = {r["doc_id"]: bytes(r["kept_bytes"]) for r in repeats.cut_texts(docs(rows)).collect()}
+    assert left == {1: bytes_left[1].decode(errors="ignore"), 2: bytes_left[2].decode(errors="ignore"), 3: None}
+    assert len(left[1]) < len(rows[0][1]) - len(shared) + 2
+
+
+def test_many_small_hashes_take_little_memory_at_once():
+    import tracemalloc
+
+    r = np.random.default_rng(2)
+    texts = [r.integers(97, 105, 460).astype(np.uint8) for _ in range(2000)]
+    texts = [t for t in texts for _ in range(4)]  # 3.7 MB in groups of 1.8 kB
+    n = len(texts)
+    batch = pa.table({"hash": np.arange(n) // 4, "digest": np.arange(n), "shard": np.full(n, -1, np.int32),
+                      "n": np.ones(n, np.int32), "bytes": pa.array([t.tobytes() for t in texts], pa.binary())}).to_batches()[0]
+    tracemalloc.start()
+    found = list(repeats._shard_ranges(200)(iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(f.num_rows for f in found) == n and peak < 90 << 20
