@@ -30,7 +30,7 @@ TERMS = 4096  # hashed terms: a quarter each for forms, pairs of forms, words an
 WORD_WEIGHT = 0.5  # of words beside forms
 RANK = 64
 NEIGHBOURS = 25
-BLOCK = 512  # documents compared at once
+BLOCK = 512  # documents compared or weighted at once
 
 _FORM = np.arange(256, dtype=np.uint8)
 _FORM[[*range(97, 123), *range(128, 256)]] = 97
@@ -101,8 +101,18 @@ def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             dense = terms(data[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i])
             at = [np.flatnonzero(row) for row in dense]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(1).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array(at, pa.list_(pa.int64())),
-                 pa.array([row[k] for row, k in zip(dense, at)], pa.list_(pa.float32()))], names=["doc_id", "label", "at", "value"])
+                [batch.column(1).slice(i, j - i), batch.column(2).slice(i, j - i), pa.array([k.astype(np.uint16).tobytes() for k in at], pa.binary()),
+                 pa.array([row[k].tobytes() for row, k in zip(dense, at)], pa.binary())], names=["doc_id", "label", "at", "value"])
+
+
+def _weighted(sample: list, idf: np.ndarray) -> np.ndarray:
+    """Weighted term vectors of length 1, a row per row of the sample; only the vectors themselves are held whole."""
+    x = np.zeros((len(sample), TERMS), np.float32)
+    for k, r in enumerate(sample):
+        x[k, np.frombuffer(r["at"], np.uint16)] = np.frombuffer(r["value"], np.float32)
+    for k in range(0, len(x), BLOCK):
+        x[k:k + BLOCK] = _unit(x[k:k + BLOCK] * idf)
+    return x
 
 
 def fit(docs: DataFrame, labelled: DataFrame, label: str, voters: int = VOTERS) -> Voters:
@@ -114,13 +124,10 @@ def fit(docs: DataFrame, labelled: DataFrame, label: str, voters: int = VOTERS)
     chosen = (labelled.where(F.col(label).isNotNull()).select("doc_id", F.col(label).cast("int").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(voters))
     rows = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "doc_id", "label")
-            .mapInArrow(_sparse, "doc_id long, label int, at array<long>, value array<float>")
+            .mapInArrow(_sparse, "doc_id long, label int, at binary, value binary")
             .orderBy(F.xxhash64("doc_id"), "doc_id", "label", F.xxhash64("at", "value")).limit(voters))
     sample = rows.collect()
-    x = np.zeros((len(sample), TERMS), np.float32)
-    for k, r in enumerate(sample):
-        x[k, r["at"]] = r["value"]
-    x = _unit(x * idf)
+    x = _weighted(sample, idf)
     basis = np.random.default_rng(7).standard_normal((TERMS, min(RANK + 16, TERMS))).astype(np.float32)
     for _ in range(4 if len(sample) else 0):  # subspace iteration towards the leading right singular vectors
         basis, _ = np.linalg.qr(x.T @ (x @ basis))

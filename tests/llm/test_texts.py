@@ -412,3 +412,23 @@ def test_many_small_hashes_take_little_memory_at_once():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert sum(f.num_rows for f in found) == n and peak < 90 << 20
+
+
+def test_voters_are_weighted_with_little_beside_their_vectors():
+    import tracemalloc
+
+    r, n = np.random.default_rng(3), 2048
+    at = [np.sort(r.choice(quality.TERMS, 400, replace=False)) for _ in range(n)]
+    value = [r.random(400).astype(np.float32) for _ in range(n)]
+    value[7][:] = 0
+    idf = (1 + r.random(quality.TERMS)).astype(np.float32)
+    sample = [{"at": a.astype(np.uint16).tobytes(), "value": v.tobytes()} for a, v in zip(at, value)]
+    tracemalloc.start()
+    x = quality._weighted(sample, idf)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    whole = np.zeros((n, quality.TERMS), np.float32)
+    for k in range(n):
+        whole[k, at[k]] = value[k]
+    assert (x == quality._unit(whole * idf)).all() and peak < 2 * x.nbytes
+    assert quality._weighted([], idf).shape == (0, quality.TERMS)
